@@ -1,0 +1,25 @@
+"""Join strategy helpers.
+
+Broadcasts are only forced when the caller can *prove* a row bound (a
+parameter such as the number of classes, or a bound derived from a
+threshold). Everything else is left to Spark: the optimizer broadcasts by
+measured size (autoBroadcastJoinThreshold), AQE re-plans with runtime
+sizes and splits skewed partitions of sort-merge joins.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest proven row count we are willing to ship to every executor.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_bounded(df: DataFrame, row_bound: int | None,
+                         max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` when ``row_bound`` (a proven upper bound of its rows)
+    is within ``max_rows``; otherwise return it unchanged for a shuffle join."""
+    if row_bound is not None and 0 <= row_bound <= max_rows:
+        return F.broadcast(df)
+    return df
