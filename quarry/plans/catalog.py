@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import itemsets as its
+from ..operators import rank as rk
 from ..sources import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +69,57 @@ def q_association_rules(spark, sf):
         F.round("support", 6).alias("support"))
 
 
+# ---------------------------------------------------------------- link ranking
+RANK_ROUNDS = 10
+DAMPING = 0.85
+
+
+def _rank9(df: DataFrame, col: str = "rank") -> DataFrame:
+    return df.withColumn(col, F.round(col, 9))
+
+
+def q_pagerank_edges(spark, sf):
+    return rk.distinct_edges(tb.supply_edges(spark, sf, closed=False))
+
+
+def q_pagerank_out_degree(spark, sf):
+    return rk.out_degree(rk.distinct_edges(tb.supply_edges(spark, sf, closed=False)))
+
+
+def _leaky_graph(spark, sf):
+    return rk.LinkGraph(rk.distinct_edges(tb.supply_edges(spark, sf, closed=False)))
+
+
+def q_pagerank_initial(spark, sf):
+    return _rank9(_leaky_graph(spark, sf).initial().select("id", "rank"))
+
+
+def q_pagerank_contributions(spark, sf):
+    g = _leaky_graph(spark, sf)
+    c = rk.contributions(g.weighted, g.initial())
+    return _rank9(c, "contribution")
+
+
+def q_pagerank_iter1(spark, sf):
+    return _rank9(_leaky_graph(spark, sf).run(1))
+
+
+def q_pagerank_10(spark, sf):
+    return _rank9(rk.pagerank(tb.supply_edges(spark, sf, closed=True), RANK_ROUNDS))
+
+
+def q_pagerank_10_leaky(spark, sf):
+    return _rank9(_leaky_graph(spark, sf).run(RANK_ROUNDS))
+
+
+def q_pagerank_3_leaky(spark, sf):
+    return _rank9(_leaky_graph(spark, sf).run(3))
+
+
+def q_pagerank_damped(spark, sf):
+    return _rank9(rk.pagerank(tb.supply_edges(spark, sf, closed=True), RANK_ROUNDS, damping=DAMPING))
+
+
 REGISTRY: dict[str, Query] = {
     "apriori_item_counts": q_apriori_item_counts,
     "apriori_frequent_items": q_apriori_frequent_items,
@@ -76,6 +128,15 @@ REGISTRY: dict[str, Query] = {
     "apriori_frequent_pairs": q_apriori_frequent_pairs,
     "fpgrowth_itemsets": q_fpgrowth_itemsets,
     "association_rules": q_association_rules,
+    "pagerank_edges": q_pagerank_edges,
+    "pagerank_out_degree": q_pagerank_out_degree,
+    "pagerank_initial": q_pagerank_initial,
+    "pagerank_contributions": q_pagerank_contributions,
+    "pagerank_iter1": q_pagerank_iter1,
+    "pagerank_10": q_pagerank_10,
+    "pagerank_10_leaky": q_pagerank_10_leaky,
+    "pagerank_3_leaky": q_pagerank_3_leaky,
+    "pagerank_damped": q_pagerank_damped,
 }
 
 

@@ -6,8 +6,8 @@ arithmetic as Spark (a bare 0.24 is DECIMAL in DuckDB).
 
 from __future__ import annotations
 
-from .catalog import (BRAND_SUPPORT, FP_SUPPORT, RULE_CONFIDENCE, RULE_SUPPORT,
-                      TYPE_SUPPORT)
+from .catalog import (BRAND_SUPPORT, DAMPING, FP_SUPPORT, RANK_ROUNDS, RULE_CONFIDENCE,
+                      RULE_SUPPORT, TYPE_SUPPORT)
 
 
 def _baskets(attr: str, distinct: bool = True) -> str:
@@ -91,5 +91,47 @@ FROM rules r JOIN sets a ON list_sort(a.items) = list_sort(r.ante)
 WHERE r.f_union::DOUBLE / a.freq >= {RULE_CONFIDENCE}::DOUBLE"""
 
 
+def _supply_edges(closed: bool) -> str:
+    back = "" if closed else (" WHERE l_returnflag = 'R' AND l_suppkey IN "
+                              "(SELECT s_suppkey FROM supplier WHERE s_acctbal >= 5000)")
+    return (f"SELECT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem "
+            f"UNION ALL SELECT 's' || l_suppkey, 'p' || l_partkey FROM lineitem{back}")
+
+
+def _rank_ctes(closed: bool, rounds: int, damping: float | None = None) -> str:
+    """Rounds unrolled as CTEs r0 .. r<rounds>."""
+    ctes = [f"e AS (SELECT DISTINCT src, dst FROM ({_supply_edges(closed)}))",
+            "d AS (SELECT src, count(*) AS out_degree FROM e GROUP BY src)",
+            "ew AS (SELECT e.src, e.dst, d.out_degree::DOUBLE AS out_degree FROM e JOIN d ON e.src = d.src)",
+            "n AS (SELECT count(*)::DOUBLE AS n FROM d)",
+            "r0 AS (SELECT src AS id, 1.0::DOUBLE / (SELECT n FROM n) AS rank FROM d)"]
+    for i in range(1, rounds + 1):
+        s = "sum(r.rank / ew.out_degree)"
+        if damping is not None:
+            s = f"(1.0::DOUBLE - {damping}::DOUBLE) / (SELECT n FROM n) + {damping}::DOUBLE * {s}"
+        ctes.append(f"r{i} AS (SELECT ew.dst AS id, {s} AS rank "
+                    f"FROM ew JOIN r{i - 1} r ON r.id = ew.src GROUP BY ew.dst)")
+    return ",\n    ".join(ctes)
+
+
+ORACLE["pagerank_edges"] = f"SELECT DISTINCT src, dst FROM ({_supply_edges(False)})"
+ORACLE["pagerank_out_degree"] = f"""
+WITH e AS (SELECT DISTINCT src, dst FROM ({_supply_edges(False)}))
+SELECT src, count(*) AS out_degree FROM e GROUP BY src"""
+ORACLE["pagerank_initial"] = f"WITH {_rank_ctes(False, 0)} SELECT id, round(rank, 9) AS rank FROM r0"
+ORACLE["pagerank_contributions"] = f"""
+WITH {_rank_ctes(False, 0)}
+SELECT ew.src, ew.dst, round(r0.rank / ew.out_degree, 9) AS contribution
+FROM ew JOIN r0 ON r0.id = ew.src"""
+ORACLE["pagerank_iter1"] = f"WITH {_rank_ctes(False, 1)} SELECT id, round(rank, 9) AS rank FROM r1"
+ORACLE["pagerank_10"] = (f"WITH {_rank_ctes(True, RANK_ROUNDS)} "
+                         f"SELECT id, round(rank, 9) AS rank FROM r{RANK_ROUNDS}")
+ORACLE["pagerank_10_leaky"] = (f"WITH {_rank_ctes(False, RANK_ROUNDS)} "
+                               f"SELECT id, round(rank, 9) AS rank FROM r{RANK_ROUNDS}")
+ORACLE["pagerank_3_leaky"] = f"WITH {_rank_ctes(False, 3)} SELECT id, round(rank, 9) AS rank FROM r3"
+ORACLE["pagerank_damped"] = (f"WITH {_rank_ctes(True, RANK_ROUNDS, DAMPING)} "
+                             f"SELECT id, round(rank, 9) AS rank FROM r{RANK_ROUNDS}")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -40,9 +40,10 @@ def supply_edges(spark: SparkSession, sf_dir: str, closed: bool = True) -> DataF
 
     Every lineitem row gives a link part -> supplier. In the closed graph it
     also gives supplier -> part, so every page has out-links and rank mass is
-    kept. In the leaky graph only returned lines (flag 'R') link back, which
-    leaves sinks (suppliers with no returned line) and pages without in-links
-    (parts with no returned line), the two cases the undamped rank leaks on.
+    kept. In the leaky graph only returned lines (flag 'R') of suppliers with
+    an account balance of at least 5000 link back, which leaves sinks (the
+    other suppliers) and pages without in-links (parts with no such line),
+    the two cases the undamped rank leaks on.
     Each edge comes from a single row: no per-order window or self-join, so
     a hot order or part cannot pile up in one task here.
     """
@@ -50,7 +51,12 @@ def supply_edges(spark: SparkSession, sf_dir: str, closed: bool = True) -> DataF
     p = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
     s = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
     fwd = li.select(p.alias("src"), s.alias("dst"))
-    back = li if closed else li.filter(F.col("l_returnflag") == "R")
+    if closed:
+        back = li
+    else:
+        # supplier is a dimension table: broadcast only by measured size
+        sup = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 5000).select("s_suppkey")
+        back = li.filter(F.col("l_returnflag") == "R").join(sup, li.l_suppkey == sup.s_suppkey, "left_semi")
     return fwd.unionByName(back.select(s.alias("src"), p.alias("dst")))
 
 
