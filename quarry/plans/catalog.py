@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import itemsets as its
 from ..operators import rank as rk
+from ..operators import similarity as sim
 from ..sources import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +121,50 @@ def q_pagerank_damped(spark, sf):
     return _rank9(rk.pagerank(tb.supply_edges(spark, sf, closed=True), RANK_ROUNDS, damping=DAMPING))
 
 
+# ---------------------------------------------------------------- similarity
+SHINGLE_K = 3
+SIM_THRESHOLD = 0.8
+SIM_THRESHOLD_LOW = 0.5
+
+
+def _sets(spark, sf):
+    return sim.shingle_sets(tb.documents(spark, sf), SHINGLE_K)
+
+
+def q_doc_shingles(spark, sf):
+    return sim.doc_shingles(_sets(spark, sf))
+
+
+def q_shingle_vocabulary(spark, sf):
+    return sim.shingle_vocabulary(sim.doc_shingles(_sets(spark, sf)))
+
+
+def q_characteristic_matrix(spark, sf):
+    post = sim.doc_shingles(_sets(spark, sf))
+    return sim.characteristic_matrix(post, sim.shingle_vocabulary(post))
+
+
+def q_doc_copy_groups(spark, sf):
+    sets = _sets(spark, sf)
+    return sim.copy_members(sets, sim.copy_groups(sets))
+
+
+def _sim6(df: DataFrame) -> DataFrame:
+    return df.withColumn("similarity", F.round("similarity", 6))
+
+
+def q_jaccard_similar_pairs(spark, sf):
+    return _sim6(sim.similar_pairs(_sets(spark, sf), SIM_THRESHOLD))
+
+
+def q_jaccard_similar_pairs_05(spark, sf):
+    return _sim6(sim.similar_pairs(_sets(spark, sf), SIM_THRESHOLD_LOW))
+
+
+def q_minhash_similar_pairs(spark, sf):
+    return _sim6(sim.minhash_similar_pairs(_sets(spark, sf), SIM_THRESHOLD))
+
+
 REGISTRY: dict[str, Query] = {
     "apriori_item_counts": q_apriori_item_counts,
     "apriori_frequent_items": q_apriori_frequent_items,
@@ -137,6 +182,13 @@ REGISTRY: dict[str, Query] = {
     "pagerank_10_leaky": q_pagerank_10_leaky,
     "pagerank_3_leaky": q_pagerank_3_leaky,
     "pagerank_damped": q_pagerank_damped,
+    "doc_shingles": q_doc_shingles,
+    "shingle_vocabulary": q_shingle_vocabulary,
+    "characteristic_matrix": q_characteristic_matrix,
+    "doc_copy_groups": q_doc_copy_groups,
+    "jaccard_similar_pairs": q_jaccard_similar_pairs,
+    "jaccard_similar_pairs_05": q_jaccard_similar_pairs_05,
+    "minhash_similar_pairs": q_minhash_similar_pairs,
 }
 
 

@@ -7,7 +7,9 @@ arithmetic as Spark (a bare 0.24 is DECIMAL in DuckDB).
 from __future__ import annotations
 
 from .catalog import (BRAND_SUPPORT, DAMPING, FP_SUPPORT, RANK_ROUNDS, RULE_CONFIDENCE,
-                      RULE_SUPPORT, TYPE_SUPPORT)
+                      RULE_SUPPORT, SHINGLE_K, SIM_THRESHOLD, SIM_THRESHOLD_LOW, TYPE_SUPPORT)
+
+WS = "[ \\t\\n\\x0B\\f\\r]"
 
 
 def _baskets(attr: str, distinct: bool = True) -> str:
@@ -133,5 +135,40 @@ ORACLE["pagerank_damped"] = (f"WITH {_rank_ctes(True, RANK_ROUNDS, DAMPING)} "
                              f"SELECT id, round(rank, 9) AS rank FROM r{RANK_ROUNDS}")
 
 
+def _shingle_ctes(k: int = SHINGLE_K) -> str:
+    return f"""
+    w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '{WS}+'), lambda x: x <> '') AS ws
+          FROM documents),
+    s AS (SELECT doc_id, list_sort(list_distinct(list_transform(range(1, len(ws) - {k - 2}),
+                 lambda i: array_to_string(ws[i:i + {k - 1}], ' ')))) AS sh FROM w),
+    post AS (SELECT doc_id, unnest(sh) AS shingle FROM s),
+    vocab AS (SELECT row_number() OVER (ORDER BY shingle) - 1 AS term_index, shingle, doc_freq
+              FROM (SELECT shingle, count(*) AS doc_freq FROM post GROUP BY shingle)),
+    grp AS (SELECT sh, min(doc_id) AS rep_id, count(*) AS copies, len(sh) AS n
+            FROM s WHERE len(sh) > 0 GROUP BY sh),
+    rp AS (SELECT rep_id, n, unnest(sh) AS shingle FROM grp),
+    shared AS (SELECT a.rep_id AS doc_a, b.rep_id AS doc_b, count(*) AS inter,
+                      any_value(a.n) AS na, any_value(b.n) AS nb
+               FROM rp a JOIN rp b ON a.shingle = b.shingle AND a.rep_id < b.rep_id GROUP BY 1, 2)"""
+
+
+def _pairs_at(t: float) -> str:
+    return (f"WITH {_shingle_ctes()} SELECT doc_a, doc_b, "
+            f"round(inter::DOUBLE / (na + nb - inter), 6) AS similarity FROM shared "
+            f"WHERE inter::DOUBLE / (na + nb - inter) >= {t}::DOUBLE")
+
+
+ORACLE["doc_shingles"] = f"WITH {_shingle_ctes()} SELECT doc_id, shingle FROM post"
+ORACLE["shingle_vocabulary"] = f"WITH {_shingle_ctes()} SELECT term_index, shingle, doc_freq FROM vocab"
+ORACLE["characteristic_matrix"] = (f"WITH {_shingle_ctes()} SELECT p.doc_id, v.term_index "
+                                   f"FROM post p JOIN vocab v ON p.shingle = v.shingle")
+ORACLE["doc_copy_groups"] = (f"WITH {_shingle_ctes()} SELECT s.doc_id, g.rep_id, g.copies "
+                             f"FROM s JOIN grp g ON s.sh = g.sh WHERE g.copies > 1")
+ORACLE["jaccard_similar_pairs"] = _pairs_at(SIM_THRESHOLD)
+ORACLE["jaccard_similar_pairs_05"] = _pairs_at(SIM_THRESHOLD_LOW)
+# MinHash can only miss pairs; the oracle is the exact answer (recall 1 expected here)
+ORACLE["minhash_similar_pairs"] = _pairs_at(SIM_THRESHOLD)
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
