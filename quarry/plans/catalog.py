@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ..operators import itemsets as its
 from ..operators import rank as rk
 from ..operators import similarity as sim
+from ..operators import bayes as nb
+from ..sources import parse as ps
 from ..sources import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,6 +167,100 @@ def q_minhash_similar_pairs(spark, sf):
     return _sim6(sim.minhash_similar_pairs(_sets(spark, sf), SIM_THRESHOLD))
 
 
+# ---------------------------------------------------------------- naive bayes
+NB_FOLDS = 5
+
+
+def _labelled(spark, sf):
+    return tb.labelled_documents(spark, sf)
+
+
+def q_nb_tokens(spark, sf):
+    d = tb.documents(spark, sf)
+    t = d.select("doc_id", nb.filtered_tokens(F.col("text")).alias("kept"),
+                 F.size(nb.tokenize_only(F.col("text"))).alias("n_tokens"))
+    return t.select("doc_id", "n_tokens", F.size("kept").alias("n_kept"), F.array_join("kept", " ").alias("kept"))
+
+
+def _nb_all(spark, sf):
+    return nb.fit(_labelled(spark, sf))
+
+
+def q_nb_vocabulary(spark, sf):
+    return _nb_all(spark, sf).vocabulary.select("term", "count")
+
+
+def q_nb_priors(spark, sf):
+    return _nb_all(spark, sf).priors.select("label", "n_docs", "total_terms",
+                                            F.round("log_prior", 6).alias("log_prior"),
+                                            F.round("log_denom", 6).alias("log_denom"))
+
+
+def q_nb_model(spark, sf):
+    return _nb_all(spark, sf).theta.select("label", "term", "count", F.round("log_theta", 6).alias("log_theta"))
+
+
+def q_nb_predictions(spark, sf):
+    return nb.predict(_nb_all(spark, sf), tb.documents(spark, sf))
+
+
+def _cv(spark, sf):
+    d = _labelled(spark, sf).withColumn("fold", F.pmod(F.col("doc_id"), F.lit(NB_FOLDS)).cast("int"))
+    return nb.cross_validate(d, NB_FOLDS)
+
+
+def q_nb_cv_predictions(spark, sf):
+    return _cv(spark, sf)
+
+
+def q_nb_accuracy(spark, sf):
+    return nb.accuracy(_cv(spark, sf)).withColumn("accuracy", F.round("accuracy", 6))
+
+
+# ---------------------------------------------------------------- parsers
+def q_basket_parse(spark, sf):
+    li = tb.table(spark, sf, "lineitem")
+    line = F.when(F.col("l_linenumber") == 7, F.lit("{}")).when(
+        (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1),
+        F.concat(F.lit("{"), F.col("l_partkey").cast("string"), F.lit(","), F.col("l_returnflag"), F.lit("}"))
+    ).otherwise(F.concat(F.lit("{"), F.col("l_partkey").cast("string"), F.lit(", "),
+                         F.col("l_suppkey").cast("string"), F.lit(","), F.col("l_linenumber").cast("string"),
+                         F.lit("}")))
+    p = ps.parse_baskets(li.select(line.alias("value")))
+    return p.select(F.col("value").alias("line"), F.size("items").alias("n_items"),
+                    F.when(F.col("ok"), F.array_join("items", ",")).alias("items"), "ok")
+
+
+def q_transaction_parse(spark, sf):
+    part = tb.table(spark, sf, "part").select("p_partkey", "p_name")
+    p = ps.parse_transactions(part, "p_name")
+    return p.select(F.col("p_partkey").alias("basket"), its.sorted_joined("items").alias("items"),
+                    F.size("items").alias("n_items"), "ok")
+
+
+def q_link_parse(spark, sf):
+    li = tb.table(spark, sf, "lineitem")
+    src = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
+    line = F.when(F.col("l_linenumber") == 7, src).otherwise(
+        F.concat(src, F.lit(" s"), F.col("l_suppkey").cast("string")))
+    p = ps.parse_links(li.select(line.alias("value")))
+    return p.select("src", "dst", "ok")
+
+
+def _category_lines(spark, sf):
+    langs = tb.table(spark, sf, "documents").select(F.col("lang").alias("category")).distinct()
+    idx = sim.dense_index(langs, "category", "label")
+    return idx.select(F.concat("category", F.lit(" "), F.col("label").cast("string")).alias("value"))
+
+
+def q_labelled_doc_parse(spark, sf):
+    cats, _ = ps.split_rejects(ps.parse_categories(_category_lines(spark, sf)))
+    docs = tb.table(spark, sf, "documents").select(
+        "doc_id", F.concat(F.col("lang"), F.lit("|"), F.col("text")).alias("text"))
+    p = ps.parse_labelled_docs(docs, cats)
+    return p.select("doc_id", "category", "label", "content", "ok")
+
+
 REGISTRY: dict[str, Query] = {
     "apriori_item_counts": q_apriori_item_counts,
     "apriori_frequent_items": q_apriori_frequent_items,
@@ -189,6 +285,17 @@ REGISTRY: dict[str, Query] = {
     "jaccard_similar_pairs": q_jaccard_similar_pairs,
     "jaccard_similar_pairs_05": q_jaccard_similar_pairs_05,
     "minhash_similar_pairs": q_minhash_similar_pairs,
+    "nb_tokens": q_nb_tokens,
+    "nb_vocabulary": q_nb_vocabulary,
+    "nb_priors": q_nb_priors,
+    "nb_model": q_nb_model,
+    "nb_predictions": q_nb_predictions,
+    "nb_cv_predictions": q_nb_cv_predictions,
+    "nb_accuracy": q_nb_accuracy,
+    "basket_parse": q_basket_parse,
+    "transaction_parse": q_transaction_parse,
+    "link_parse": q_link_parse,
+    "labelled_doc_parse": q_labelled_doc_parse,
 }
 
 

@@ -6,7 +6,8 @@ arithmetic as Spark (a bare 0.24 is DECIMAL in DuckDB).
 
 from __future__ import annotations
 
-from .catalog import (BRAND_SUPPORT, DAMPING, FP_SUPPORT, RANK_ROUNDS, RULE_CONFIDENCE,
+from ..functions.text import ENGLISH_STOP_WORDS
+from .catalog import (BRAND_SUPPORT, DAMPING, FP_SUPPORT, NB_FOLDS, RANK_ROUNDS, RULE_CONFIDENCE,
                       RULE_SUPPORT, SHINGLE_K, SIM_THRESHOLD, SIM_THRESHOLD_LOW, TYPE_SUPPORT)
 
 WS = "[ \\t\\n\\x0B\\f\\r]"
@@ -170,5 +171,114 @@ ORACLE["jaccard_similar_pairs_05"] = _pairs_at(SIM_THRESHOLD_LOW)
 ORACLE["minhash_similar_pairs"] = _pairs_at(SIM_THRESHOLD)
 
 
+WS_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS) + "]"
+
+
+def _tokens(col: str) -> str:
+    """Tokenizer: lower-case, split on single whitespace, trailing empties dropped."""
+    stripped = f"rtrim(lower({col}), {WS_CHARS})"
+    return (f"(CASE WHEN {stripped} = '' AND {col} <> '' THEN []::VARCHAR[] "
+            f"ELSE string_split_regex({stripped}, '{WS}') END)")
+
+
+def _kept(col: str) -> str:
+    return f"list_filter({_tokens(col)}, lambda x: NOT list_contains({STOP}, x))"
+
+
+def _nb_ctes(cv: bool) -> str:
+    if cv:
+        train = (f"SELECT f.model, ld.doc_id, ld.label, ld.text FROM ld JOIN "
+                 f"(SELECT unnest(range({NB_FOLDS})) AS model) f ON ld.fold <> f.model")
+        test = "SELECT fold AS model, doc_id, text FROM ld"
+    else:
+        train = "SELECT 0 AS model, doc_id, label, text FROM ld"
+        test = "SELECT 0 AS model, doc_id, text FROM documents"
+    return f"""
+    ld AS (SELECT d.doc_id, l.quality AS label, d.text, CAST(((d.doc_id % {NB_FOLDS}) + {NB_FOLDS}) % {NB_FOLDS} AS INTEGER) AS fold
+           FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+    tr AS ({train}),
+    tf AS (SELECT model, doc_id, label, term, count(*) AS tf
+           FROM (SELECT model, doc_id, label, unnest({_kept('text')}) AS term FROM tr) GROUP BY ALL),
+    ct AS (SELECT model, label, term, CAST(sum(tf) AS BIGINT) AS count FROM tf GROUP BY ALL),
+    voc AS (SELECT model, term, CAST(sum(count) AS BIGINT) AS count FROM ct GROUP BY ALL),
+    vs AS (SELECT model, count(*) AS V FROM voc GROUP BY ALL),
+    tot AS (SELECT model, label, CAST(sum(count) AS BIGINT) AS total_terms FROM ct GROUP BY ALL),
+    nd AS (SELECT model, label, count(*) AS n_docs FROM tr GROUP BY ALL),
+    pm AS (SELECT model, sum(n_docs) AS N, count(*) AS K FROM nd GROUP BY ALL),
+    pri AS (SELECT nd.model, nd.label, nd.n_docs, coalesce(tot.total_terms, 0) AS total_terms,
+                   ln(nd.n_docs + 1.0) - ln(pm.N + pm.K * 1.0) AS log_prior,
+                   ln(coalesce(tot.total_terms, 0) + vs.V * 1.0) AS log_denom
+            FROM nd LEFT JOIN tot ON tot.model = nd.model AND tot.label = nd.label
+                    JOIN pm ON pm.model = nd.model JOIN vs ON vs.model = nd.model),
+    te AS ({test}),
+    dt AS (SELECT model, doc_id, term, count(*) AS tf
+           FROM (SELECT model, doc_id, unnest({_kept('text')}) AS term FROM te) GROUP BY ALL),
+    hit AS (SELECT dt.* FROM dt JOIN voc ON voc.model = dt.model AND voc.term = dt.term),
+    nv AS (SELECT model, doc_id, sum(tf) AS n FROM hit GROUP BY ALL),
+    sp AS (SELECT h.model, h.doc_id, ct.label, sum(h.tf * ln(ct.count + 1.0)) AS s
+           FROM hit h JOIN ct ON ct.model = h.model AND ct.term = h.term GROUP BY ALL),
+    sc AS (SELECT t.model, t.doc_id, p.label,
+                  p.log_prior - coalesce(nv.n, 0) * p.log_denom + coalesce(sp.s, 0) AS score
+           FROM te t JOIN pri p ON p.model = t.model
+                LEFT JOIN nv ON nv.model = t.model AND nv.doc_id = t.doc_id
+                LEFT JOIN sp ON sp.model = t.model AND sp.doc_id = t.doc_id AND sp.label = p.label),
+    pred AS (SELECT model, doc_id, label AS prediction FROM
+             (SELECT *, row_number() OVER (PARTITION BY model, doc_id ORDER BY score DESC, label) AS rn FROM sc)
+             WHERE rn = 1)"""
+
+
+ORACLE["nb_tokens"] = f"""
+SELECT doc_id, CAST(len({_tokens('text')}) AS INTEGER) AS n_tokens, CAST(len({_kept('text')}) AS INTEGER) AS n_kept,
+       array_to_string({_kept('text')}, ' ') AS kept FROM documents"""
+ORACLE["nb_vocabulary"] = f"WITH {_nb_ctes(False)} SELECT term, count FROM voc"
+ORACLE["nb_priors"] = (f"WITH {_nb_ctes(False)} SELECT label, n_docs, total_terms, round(log_prior, 6) AS log_prior, "
+                       f"round(log_denom, 6) AS log_denom FROM pri")
+ORACLE["nb_model"] = (f"WITH {_nb_ctes(False)} SELECT ct.label, ct.term, ct.count, "
+                      f"round(ln(ct.count + 1.0) - pri.log_denom, 6) AS log_theta "
+                      f"FROM ct JOIN pri ON pri.model = ct.model AND pri.label = ct.label")
+ORACLE["nb_predictions"] = f"WITH {_nb_ctes(False)} SELECT doc_id, prediction FROM pred"
+ORACLE["nb_cv_predictions"] = (f"WITH {_nb_ctes(True)} SELECT p.doc_id, CAST(p.model AS INTEGER) AS fold, "
+                               f"ld.label, p.prediction FROM pred p JOIN ld ON ld.doc_id = p.doc_id")
+ORACLE["nb_accuracy"] = (f"WITH {_nb_ctes(True)} SELECT count(*) AS n, "
+                         f"CAST(sum(CASE WHEN ld.label = p.prediction THEN 1 ELSE 0 END) AS BIGINT) AS correct, "
+                         f"round(sum(CASE WHEN ld.label = p.prediction THEN 1 ELSE 0 END)::DOUBLE / count(*), 6) "
+                         f"AS accuracy FROM pred p JOIN ld ON ld.doc_id = p.doc_id")
+
+ORACLE["basket_parse"] = """
+WITH l AS (SELECT CASE WHEN l_linenumber = 7 THEN '{}'
+                       WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN '{' || l_partkey || ',' || l_returnflag || '}'
+                       ELSE '{' || l_partkey || ', ' || l_suppkey || ',' || l_linenumber || '}' END AS line
+           FROM lineitem),
+p AS (SELECT line, list_transform(string_split(substr(line, 2, greatest(length(line) - 2, 0)), ','),
+                                  lambda t: TRY_CAST(trim(t) AS INTEGER)) AS items FROM l)
+SELECT line, CAST(len(items) AS INTEGER) AS n_items,
+       CASE WHEN list_bool_and(list_transform(items, lambda x: x IS NOT NULL))
+            THEN array_to_string(items, ',') END AS items,
+       coalesce(list_bool_and(list_transform(items, lambda x: x IS NOT NULL)), false) AS ok
+FROM p"""
+ORACLE["transaction_parse"] = """
+WITH p AS (SELECT p_partkey AS basket,
+                  list_distinct(list_filter(string_split(p_name, ' '), lambda x: x <> '')) AS items FROM part)
+SELECT basket, array_to_string(list_sort(items), ',') AS items, CAST(len(items) AS INTEGER) AS n_items,
+       len(items) > 0 AS ok FROM p"""
+ORACLE["link_parse"] = """
+WITH l AS (SELECT CASE WHEN l_linenumber = 7 THEN 'p' || l_partkey
+                       ELSE 'p' || l_partkey || ' s' || l_suppkey END AS line FROM lineitem),
+t AS (SELECT string_split(line, ' ') AS tok FROM l)
+SELECT tok[1] AS src, CASE WHEN len(tok) >= 2 THEN tok[2] END AS dst,
+       coalesce(len(tok) >= 2 AND tok[1] <> '', false) AS ok FROM t"""
+ORACLE["labelled_doc_parse"] = """
+WITH cats AS (SELECT lang AS category, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS label
+              FROM (SELECT DISTINCT lang FROM documents)),
+d AS (SELECT doc_id, lang || '|' || text AS t FROM documents)
+SELECT d.doc_id,
+       CASE WHEN strpos(t, '|') > 0 THEN substr(t, 1, strpos(t, '|') - 1) END AS category,
+       c.label,
+       CASE WHEN strpos(t, '|') > 0 THEN substr(t, strpos(t, '|') + 1) END AS content,
+       coalesce(strpos(t, '|') > 0 AND c.label IS NOT NULL, false) AS ok
+FROM d LEFT JOIN cats c ON c.category = CASE WHEN strpos(t, '|') > 0 THEN substr(t, 1, strpos(t, '|') - 1) END"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
