@@ -79,12 +79,10 @@ def fit(docs: DataFrame, label_col: str = "label", text_col: str = "text", id_co
         model_col: str | None = None, smoothing: float = 1.0) -> NaiveBayesModel:
     """N7+N9: train on (id, label, text[, model]) rows."""
     lam = float(smoothing)
-    if model_col is None:  # a single model: constant key, same code path
-        docs, model_col = docs.withColumn("_model", F.lit(0)), "_model"
-    m = [model_col]
+    m = [model_col] if model_col else []
     d = docs.select(*m, id_col, F.col(label_col).alias("label"), text_col)
     labels = class_labels(d, "label")
-    n_models = d.select(*m).distinct().count()
+    n_models = d.select(*m).distinct().count() if m else 1
     tf = term_frequencies(d, m + [id_col, "label"], text_col)
     ct = tf.groupBy(*m, "label", "term").agg(F.sum("tf").alias("count"))
     vocab = ct.groupBy(*m, "term").agg(F.sum("count").alias("count"))
@@ -93,9 +91,13 @@ def fit(docs: DataFrame, label_col: str = "label", text_col: str = "text", id_co
     ndocs = d.groupBy(*m, "label").agg(F.count(F.lit(1)).alias("n_docs"))
     per_model = ndocs.groupBy(*m).agg(F.sum("n_docs").alias("N"), F.count(F.lit(1)).alias("K"))
     on = m + ["label"]
-    # one row per model: bounded by the model count
-    pri = ndocs.join(totals, on, "left").join(broadcast_if_bounded(per_model, n_models), m, "left") \
-        .join(broadcast_if_bounded(v_size, n_models), m, "left")
+    pri = ndocs.join(totals, on, "left")
+    if m:  # one row per model: bounded by the model count
+        pri = pri.join(broadcast_if_bounded(per_model, n_models), m, "left") \
+            .join(broadcast_if_bounded(v_size, n_models), m, "left")
+    else:  # a single model: N, K and V are three scalars
+        st, vs = per_model.first(), v_size.first()
+        pri = pri.select("*", F.lit(st["N"]).alias("N"), F.lit(st["K"]).alias("K"), F.lit(vs["V"]).alias("V"))
     priors = pri.select(
         *m, "label", "n_docs", F.coalesce("total_terms", F.lit(0)).cast("bigint").alias("total_terms"),
         (F.log(F.col("n_docs") + lam) - F.log(F.col("N") + F.col("K") * lam)).alias("log_prior"),
@@ -111,9 +113,6 @@ def predict(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id", tex
     the smallest label, as Spark ML's argmax does."""
     m = model.model_cols
     lam = model.smoothing
-    single = m == ["_model"] and "_model" not in docs.columns
-    if single:
-        docs = docs.withColumn("_model", F.lit(0))
     d = docs.select(*m, id_col, text_col)
     tf = term_frequencies(d, m + [id_col], text_col)
     per_term = model.theta.groupBy(*m, "term").agg(
@@ -131,8 +130,7 @@ def predict(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id", tex
         .select(*m, id_col, "label",
                 (F.col("log_prior") - F.col("n") * F.col("log_denom") + F.coalesce("s", F.lit(0.0))).alias("score"))
     best = scored.groupBy(*m, id_col).agg(F.max(F.struct("score", (-F.col("label")).alias("neg"))).alias("b"))
-    out = best.select(*m, id_col, (-F.col("b.neg")).alias("prediction"))
-    return out.drop("_model") if single else out
+    return best.select(*m, id_col, (-F.col("b.neg")).alias("prediction"))
 
 
 def cross_validate(docs: DataFrame, folds: int = 5, fold_col: str = "fold", label_col: str = "label",

@@ -43,8 +43,8 @@ def parse_transactions(lines: DataFrame, col: str = "value") -> DataFrame:
 def parse_categories(lines: DataFrame, col: str = "value") -> DataFrame:
     """``name index`` separated by any whitespace -> (category, label)."""
     tok = F.filter(java_whitespace_split(F.col(col)), lambda x: x != "")
-    out = lines.select(tok.getItem(0).alias("category"),
-                       tok.getItem(1).try_cast("int").alias("label"))
+    out = lines.select(F.get(tok, 0).alias("category"),
+                       F.get(tok, 1).try_cast("int").alias("label"))
     return out.withColumn("ok", F.col("category").isNotNull() & F.col("label").isNotNull())
 
 
@@ -67,6 +67,6 @@ def parse_labelled_docs(docs: DataFrame, categories: DataFrame, text_col: str =
 def parse_links(lines: DataFrame, col: str = "value") -> DataFrame:
     """``src dst`` split on one space, first two tokens; fewer -> reject."""
     tok = F.split(F.col(col), " ")
-    return lines.select("*", tok.getItem(0).alias("src"),
-                        F.when(F.size(tok) >= 2, tok.getItem(1)).alias("dst")) \
+    return lines.select("*", F.get(tok, 0).alias("src"),
+                        F.get(tok, 1).alias("dst")) \
         .withColumn("ok", F.col("dst").isNotNull() & (F.col("src") != ""))
