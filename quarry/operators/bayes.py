@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import remove_stop_words, tokenize
 from ..plans.joins import broadcast_if_bounded
+from ..plans.partitioning import ensure_parallel
 
 MAX_CLASSES = 100_000
 
@@ -80,7 +81,7 @@ def fit(docs: DataFrame, label_col: str = "label", text_col: str = "text", id_co
     """N7+N9: train on (id, label, text[, model]) rows."""
     lam = float(smoothing)
     m = [model_col] if model_col else []
-    d = docs.select(*m, id_col, F.col(label_col).alias("label"), text_col)
+    d = ensure_parallel(docs.select(*m, id_col, F.col(label_col).alias("label"), text_col), id_col)
     labels = class_labels(d, "label")
     n_models = d.select(*m).distinct().count() if m else 1
     tf = term_frequencies(d, m + [id_col, "label"], text_col)
@@ -113,7 +114,7 @@ def predict(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id", tex
     the smallest label, as Spark ML's argmax does."""
     m = model.model_cols
     lam = model.smoothing
-    d = docs.select(*m, id_col, text_col)
+    d = ensure_parallel(docs.select(*m, id_col, text_col), id_col)
     tf = term_frequencies(d, m + [id_col], text_col)
     per_term = model.theta.groupBy(*m, "term").agg(
         F.collect_list(F.struct("label", F.log(F.col("count") + lam).alias("lc"))).alias("cl"))
@@ -139,7 +140,7 @@ def cross_validate(docs: DataFrame, folds: int = 5, fold_col: str = "fold", labe
     the k-1 training sets it belongs to (model key = held-out fold), all k
     models are fitted together, and each document is predicted by the
     model that did not see it. Returns (id, fold, label, prediction)."""
-    d = docs.select(id_col, fold_col, F.col(label_col).alias("label"), text_col)
+    d = ensure_parallel(docs.select(id_col, fold_col, F.col(label_col).alias("label"), text_col), id_col)
     others = F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda h: h != F.col(fold_col))
     train = d.select(F.explode(others).alias("model"), id_col, "label", text_col)
     model = fit(train, "label", text_col, id_col, model_col="model", smoothing=smoothing)

@@ -10,13 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.partitioning import ensure_parallel
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def lineitem(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    """The fact table, pruned to ``cols``; spread over the default
+    parallelism only when the scan has fewer splits (no-op at scale)."""
+    return ensure_parallel(table(spark, sf_dir, "lineitem").select(*cols))
+
+
 def _line_parts(spark: SparkSession, sf_dir: str, attr: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    li = lineitem(spark, sf_dir, "l_orderkey", "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", F.col(attr).alias("item"))
     # part is a dimension table: Spark broadcasts it only when its measured
     # size is under autoBroadcastJoinThreshold (AQE re-checks at runtime);
@@ -47,7 +55,7 @@ def supply_edges(spark: SparkSession, sf_dir: str, closed: bool = True) -> DataF
     Each edge comes from a single row: no per-order window or self-join, so
     a hot order or part cannot pile up in one task here.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag")
+    li = lineitem(spark, sf_dir, "l_partkey", "l_suppkey", "l_returnflag")
     p = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
     s = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
     fwd = li.select(p.alias("src"), s.alias("dst"))
