@@ -67,6 +67,11 @@ class NaiveBayesModel:
     model_cols: list
     smoothing: float
     n_models: int
+    counts: DataFrame | None = None  # persisted (model.., label, term, count)
+
+    def unpersist(self) -> None:
+        if self.counts is not None:
+            self.counts.unpersist()
 
 
 def class_labels(docs: DataFrame, label_col: str) -> list:
@@ -79,26 +84,36 @@ def class_labels(docs: DataFrame, label_col: str) -> list:
 def fit(docs: DataFrame, label_col: str = "label", text_col: str = "text", id_col: str = "doc_id",
         model_col: str | None = None, smoothing: float = 1.0) -> NaiveBayesModel:
     """N7+N9: train on (id, label, text[, model]) rows."""
-    lam = float(smoothing)
     m = [model_col] if model_col else []
     d = ensure_parallel(docs.select(*m, id_col, F.col(label_col).alias("label"), text_col), id_col)
     labels = class_labels(d, "label")
     n_models = d.select(*m).distinct().count() if m else 1
     tf = term_frequencies(d, m + [id_col, "label"], text_col)
     ct = tf.groupBy(*m, "label", "term").agg(F.sum("tf").alias("count"))
+    ndocs = d.groupBy(*m, "label").agg(F.count(F.lit(1)).alias("n_docs"))
+    return fit_counts(ct, ndocs, labels, m, n_models, smoothing)
+
+
+def fit_counts(ct: DataFrame, ndocs: DataFrame, labels: list, m: list, n_models: int,
+               smoothing: float = 1.0) -> NaiveBayesModel:
+    """Model from aggregated counts: ``ct`` (model.., label, term, count) and
+    ``ndocs`` (model.., label, n_docs)."""
+    lam = float(smoothing)
+    # the count table is the model (classes x vocabulary rows, much smaller
+    # than the corpus); every model table below reads it, so keep it
+    ct = ct.persist()
     vocab = ct.groupBy(*m, "term").agg(F.sum("count").alias("count"))
     v_size = vocab.groupBy(*m).agg(F.count(F.lit(1)).alias("V"))
     totals = ct.groupBy(*m, "label").agg(F.sum("count").alias("total_terms"))
-    ndocs = d.groupBy(*m, "label").agg(F.count(F.lit(1)).alias("n_docs"))
     per_model = ndocs.groupBy(*m).agg(F.sum("n_docs").alias("N"), F.count(F.lit(1)).alias("K"))
     on = m + ["label"]
     pri = ndocs.join(totals, on, "left")
     if m:  # one row per model: bounded by the model count
         pri = pri.join(broadcast_if_bounded(per_model, n_models), m, "left") \
             .join(broadcast_if_bounded(v_size, n_models), m, "left")
-    else:  # a single model: N, K and V are three scalars
-        st, vs = per_model.first(), v_size.first()
-        pri = pri.select("*", F.lit(st["N"]).alias("N"), F.lit(st["K"]).alias("K"), F.lit(vs["V"]).alias("V"))
+    else:  # a single model: N, K and V are scalar subqueries (no action, no join)
+        pri = pri.select("*", per_model.select("N").scalar().alias("N"), per_model.select("K").scalar().alias("K"),
+                         v_size.select("V").scalar().alias("V"))
     priors = pri.select(
         *m, "label", "n_docs", F.coalesce("total_terms", F.lit(0)).cast("bigint").alias("total_terms"),
         (F.log(F.col("n_docs") + lam) - F.log(F.col("N") + F.col("K") * lam)).alias("log_prior"),
@@ -106,16 +121,23 @@ def fit(docs: DataFrame, label_col: str = "label", text_col: str = "text", id_co
     bound = len(labels) * n_models
     theta = ct.join(broadcast_if_bounded(priors.select(*on, "log_denom"), bound), on).select(
         *m, "label", "term", "count", (F.log(F.col("count") + lam) - F.col("log_denom")).alias("log_theta"))
-    return NaiveBayesModel(labels, priors, theta, vocab, m, lam, n_models)
+    return NaiveBayesModel(labels, priors, theta, vocab, m, lam, n_models, ct)
 
 
 def predict(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(model.., id, prediction) for every input document; ties go to
     the smallest label, as Spark ML's argmax does."""
     m = model.model_cols
-    lam = model.smoothing
     d = ensure_parallel(docs.select(*m, id_col, text_col), id_col)
-    tf = term_frequencies(d, m + [id_col], text_col)
+    return predict_tf(model, term_frequencies(d, m + [id_col], text_col), d.select(*m, id_col), id_col)
+
+
+def predict_tf(model: NaiveBayesModel, tf: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Prediction from term frequencies ``tf`` (model.., id, term, tf) for
+    the documents ``ids`` (model.., id) — documents without any known term
+    get the class with the largest prior."""
+    m = model.model_cols
+    lam = model.smoothing
     per_term = model.theta.groupBy(*m, "term").agg(
         F.collect_list(F.struct("label", F.log(F.col("count") + lam).alias("lc"))).alias("cl"))
     hit = tf.join(per_term, m + ["term"])
@@ -123,7 +145,7 @@ def predict(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id", tex
     sparse = hit.select(*m, id_col, "tf", F.explode("cl").alias("c")) \
         .groupBy(*m, id_col, F.col("c.label").alias("label")).agg(F.sum(F.col("tf") * F.col("c.lc")).alias("s"))
     classes = F.array(*[F.lit(x) for x in model.labels])
-    base = d.select(*m, id_col).join(n_voc, m + [id_col], "left") \
+    base = ids.join(n_voc, m + [id_col], "left") \
         .select(*m, id_col, F.coalesce("n", F.lit(0)).alias("n"), F.explode(classes).alias("label"))
     pri = broadcast_if_bounded(model.priors.select(*m, "label", "log_prior", "log_denom"),
                                len(model.labels) * model.n_models)
@@ -136,16 +158,28 @@ def predict(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id", tex
 
 def cross_validate(docs: DataFrame, folds: int = 5, fold_col: str = "fold", label_col: str = "label",
                    id_col: str = "doc_id", text_col: str = "text", smoothing: float = 1.0) -> DataFrame:
-    """k-fold cross-validation in one pass: every document is copied into
-    the k-1 training sets it belongs to (model key = held-out fold), all k
-    models are fitted together, and each document is predicted by the
-    model that did not see it. Returns (id, fold, label, prediction)."""
-    d = ensure_parallel(docs.select(id_col, fold_col, F.col(label_col).alias("label"), text_col), id_col)
-    others = F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda h: h != F.col(fold_col))
-    train = d.select(F.explode(others).alias("model"), id_col, "label", text_col)
-    model = fit(train, "label", text_col, id_col, model_col="model", smoothing=smoothing)
-    test = d.select(F.col(fold_col).alias("model"), id_col, text_col)
-    pred = predict(model, test, id_col, text_col)
+    """k-fold cross-validation in one pass; returns (id, fold, label, prediction).
+
+    Every document is tokenized once. Counts are aggregated per (fold,
+    class, term); model h (trained without fold h) gets the sum over the
+    other folds, obtained by copying each aggregated count row to the k-1
+    models it belongs to — the copies are of counts, not of documents. All
+    k models are fitted together (model key = held-out fold) and each
+    document is scored by the model that did not see it."""
+    d = ensure_parallel(docs.select(id_col, F.col(fold_col).cast("int").alias("fold"),
+                                    F.col(label_col).alias("label"), text_col), id_col)
+    labels = class_labels(d, "label")
+    others = F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda h: h != F.col("fold"))
+    tf = term_frequencies(d, [id_col, "fold", "label"], text_col)
+    ct = tf.groupBy("fold", "label", "term").agg(F.sum("tf").alias("count")) \
+        .select(F.explode(others).alias("model"), "label", "term", "count") \
+        .groupBy("model", "label", "term").agg(F.sum("count").alias("count"))
+    nd = d.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n_docs")) \
+        .select(F.explode(others).alias("model"), "label", "n_docs") \
+        .groupBy("model", "label").agg(F.sum("n_docs").alias("n_docs"))
+    model = fit_counts(ct, nd, labels, ["model"], folds, smoothing)
+    test_tf = tf.select(F.col("fold").alias("model"), id_col, "term", "tf")
+    pred = predict_tf(model, test_tf, d.select(F.col("fold").alias("model"), id_col), id_col)
     return pred.join(d.select(id_col, "label"), id_col).select(
         id_col, F.col("model").alias(fold_col), "label", "prediction")
 
