@@ -9,12 +9,12 @@ def ensure_parallel(df: DataFrame, key: str | None = None) -> DataFrame:
     """Spread an under-partitioned input before heavy per-row work.
 
     A large input already has many splits (files, row groups) and is
-    returned unchanged — no shuffle. Only an input with fewer partitions
-    than the default parallelism (e.g. one small file holding one row
-    group) is hash-repartitioned on ``key`` (round-robin without a key), so
-    tokenizing or shingling does not run in a single task.
+    returned unchanged — no shuffle. Only a clearly under-partitioned input
+    (fewer splits than half the default parallelism, e.g. one small file
+    holding one row group) is hash-repartitioned on ``key`` (round-robin
+    without a key), so tokenizing or shingling does not run in one task.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if df.rdd.getNumPartitions() * 2 >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)
