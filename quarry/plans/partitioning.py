@@ -4,17 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# Inputs up to this estimated size may be spread by one shuffle; the cost
+# of that shuffle is bounded by it. Larger inputs are left alone.
+SPREAD_MAX_BYTES = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Optimizer's size estimate of ``df`` (file sizes for a scan)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
+
 
 def ensure_parallel(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread an under-partitioned input before heavy per-row work.
+    """Spread a small input over the default parallelism before heavy
+    per-row work (tokenizing, shingling).
 
-    A large input already has many splits (files, row groups) and is
-    returned unchanged — no shuffle. Only a clearly under-partitioned input
-    (fewer splits than half the default parallelism, e.g. one small file
-    holding one row group) is hash-repartitioned on ``key`` (round-robin
-    without a key), so tokenizing or shingling does not run in one task.
+    A parquet file is split by row groups: a small file written as one row
+    group is read by one task however many splits Spark plans for it. An
+    input under ``SPREAD_MAX_BYTES`` is therefore hash-repartitioned on
+    ``key`` (round-robin without a key) — a bounded shuffle. A large input
+    is returned unchanged: it spans many files and row groups, and
+    reshuffling it would cost far more than it saves.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 >= target:
+    if target <= 1 or estimated_bytes(df) > SPREAD_MAX_BYTES:
         return df
     return df.repartition(target, key) if key else df.repartition(target)
