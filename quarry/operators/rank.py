@@ -83,6 +83,10 @@ class LinkGraph:
         stats = self.weighted.agg(F.count_distinct("src").alias("n")).first()
         self.n_pages = int(stats["n"])
 
+    def unpersist(self) -> None:
+        """Release the cached edge table (after the result has been used)."""
+        self.weighted.unpersist()
+
     def initial(self) -> DataFrame:
         """Initial vector with each page's salt count: (id, rank, n_salt)."""
         return self.nodes.select(F.col("src").alias("id"),

@@ -70,3 +70,24 @@ def parse_links(lines: DataFrame, col: str = "value") -> DataFrame:
     return lines.select("*", F.get(tok, 0).alias("src"),
                         F.get(tok, 1).alias("dst")) \
         .withColumn("ok", F.col("dst").isNotNull() & (F.col("src") != ""))
+
+
+def basket_table(lines: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Text lines of baskets -> ((basket, item) long form, rejected lines).
+
+    The basket id is ``monotonically_increasing_id()``: unique, and stable
+    for a file scan (it is derived from the split and the row position)."""
+    good, bad = split_rejects(parse_baskets(lines, col).withColumn("basket", F.monotonically_increasing_id()))
+    return good.select("basket", F.explode("items").alias("item")), bad
+
+
+def transaction_table(lines: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Text lines of space-separated items -> ((basket, item), rejects)."""
+    good, bad = split_rejects(parse_transactions(lines, col).withColumn("basket", F.monotonically_increasing_id()))
+    return good.select("basket", F.explode("items").alias("item")), bad
+
+
+def edge_table(lines: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Text lines ``src dst`` -> ((src, dst), rejects)."""
+    good, bad = split_rejects(parse_links(lines, col))
+    return good.select("src", "dst"), bad
