@@ -26,8 +26,8 @@ def test_streaming_item_counts(spark):
 
 def test_read_documents_base_name(spark):
     d = tempfile.mkdtemp(prefix="quarry-docs-", dir="/tmp")
-    for name, text in [("LSH_1.txt", "a b c d\nsecond line"), ("LSH_10.txt", "b c d e")]:
+    for name, text in [("doc_1.txt", "a b c d\nsecond line"), ("doc_10.txt", "b c d e")]:
         with open(os.path.join(d, name), "w") as f:
             f.write(text)
-    docs = {r["doc_id"]: r["text"] for r in read_documents(spark, os.path.join(d, "LSH_*.txt")).collect()}
-    assert docs == {"LSH_1.txt": "a b c d\nsecond line", "LSH_10.txt": "b c d e"}
+    docs = {r["doc_id"]: r["text"] for r in read_documents(spark, os.path.join(d, "doc_*.txt")).collect()}
+    assert docs == {"doc_1.txt": "a b c d\nsecond line", "doc_10.txt": "b c d e"}
