@@ -117,7 +117,8 @@ def fit_counts(ct: DataFrame, ndocs: DataFrame, labels: list, m: list, n_models:
     priors = pri.select(
         *m, "label", "n_docs", F.coalesce("total_terms", F.lit(0)).cast("bigint").alias("total_terms"),
         (F.log(F.col("n_docs") + lam) - F.log(F.col("N") + F.col("K") * lam)).alias("log_prior"),
-        F.log(F.coalesce("total_terms", F.lit(0)) + F.coalesce("V", F.lit(0)) * lam).alias("log_denom"))
+        F.log(F.coalesce("total_terms", F.lit(0)) + F.coalesce("V", F.lit(0)) * lam).alias("log_denom"),
+        F.coalesce("V", F.lit(0)).cast("bigint").alias("num_features"))
     bound = len(labels) * n_models
     theta = ct.join(broadcast_if_bounded(priors.select(*on, "log_denom"), bound), on).select(
         *m, "label", "term", "count", (F.log(F.col("count") + lam) - F.col("log_denom")).alias("log_theta"))
@@ -125,8 +126,9 @@ def fit_counts(ct: DataFrame, ndocs: DataFrame, labels: list, m: list, n_models:
 
 
 def predict(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(model.., id, prediction) for every input document; ties go to
-    the smallest label, as Spark ML's argmax does."""
+    """(model.., id, prediction, probability) for every input document;
+    ties go to the smallest label, as Spark ML's argmax does; probability
+    is that of the predicted class."""
     m = model.model_cols
     d = ensure_parallel(docs.select(*m, id_col, text_col), id_col)
     return predict_tf(model, term_frequencies(d, m + [id_col], text_col), d.select(*m, id_col), id_col)
@@ -152,8 +154,12 @@ def predict_tf(model: NaiveBayesModel, tf: DataFrame, ids: DataFrame, id_col: st
     scored = base.join(pri, m + ["label"]).join(sparse, m + [id_col, "label"], "left") \
         .select(*m, id_col, "label",
                 (F.col("log_prior") - F.col("n") * F.col("log_denom") + F.coalesce("s", F.lit(0.0))).alias("score"))
-    best = scored.groupBy(*m, id_col).agg(F.max(F.struct("score", (-F.col("label")).alias("neg"))).alias("b"))
-    return best.select(*m, id_col, (-F.col("b.neg")).alias("prediction"))
+    # per document: the best (score, label) and its K scores (K is bounded)
+    best = scored.groupBy(*m, id_col).agg(F.max(F.struct("score", (-F.col("label")).alias("neg"))).alias("b"),
+                                         F.collect_list("score").alias("ss"))
+    # softmax of the class scores, as Spark ML's probability column
+    norm = F.aggregate("ss", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("b.score")))
+    return best.select(*m, id_col, (-F.col("b.neg")).alias("prediction"), (F.lit(1.0) / norm).alias("probability"))
 
 
 def cross_validate(docs: DataFrame, folds: int = 5, fold_col: str = "fold", label_col: str = "label",

@@ -191,7 +191,7 @@ def q_nb_vocabulary(spark, sf):
 
 
 def q_nb_priors(spark, sf):
-    return _nb_all(spark, sf).priors.select("label", "n_docs", "total_terms",
+    return _nb_all(spark, sf).priors.select("label", "n_docs", "total_terms", "num_features",
                                             F.round("log_prior", 6).alias("log_prior"),
                                             F.round("log_denom", 6).alias("log_denom"))
 
@@ -201,7 +201,8 @@ def q_nb_model(spark, sf):
 
 
 def q_nb_predictions(spark, sf):
-    return nb.predict(_nb_all(spark, sf), tb.documents(spark, sf))
+    p = nb.predict(_nb_all(spark, sf), tb.documents(spark, sf))
+    return p.withColumn("probability", F.round("probability", 6))
 
 
 def _cv(spark, sf):

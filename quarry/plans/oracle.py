@@ -223,8 +223,10 @@ def _nb_ctes(cv: bool) -> str:
            FROM te t JOIN pri p ON p.model = t.model
                 LEFT JOIN nv ON nv.model = t.model AND nv.doc_id = t.doc_id
                 LEFT JOIN sp ON sp.model = t.model AND sp.doc_id = t.doc_id AND sp.label = p.label),
-    pred AS (SELECT model, doc_id, label AS prediction FROM
-             (SELECT *, row_number() OVER (PARTITION BY model, doc_id ORDER BY score DESC, label) AS rn FROM sc)
+    scm AS (SELECT *, max(score) OVER (PARTITION BY model, doc_id) AS mx FROM sc),
+    pred AS (SELECT model, doc_id, label AS prediction, 1.0 / tot AS probability FROM
+             (SELECT *, row_number() OVER (PARTITION BY model, doc_id ORDER BY score DESC, label) AS rn,
+                     sum(exp(score - mx)) OVER (PARTITION BY model, doc_id) AS tot FROM scm)
              WHERE rn = 1)"""
 
 
@@ -232,12 +234,14 @@ ORACLE["nb_tokens"] = f"""
 SELECT doc_id, CAST(len({_tokens('text')}) AS INTEGER) AS n_tokens, CAST(len({_kept('text')}) AS INTEGER) AS n_kept,
        array_to_string({_kept('text')}, ' ') AS kept FROM documents"""
 ORACLE["nb_vocabulary"] = f"WITH {_nb_ctes(False)} SELECT term, count FROM voc"
-ORACLE["nb_priors"] = (f"WITH {_nb_ctes(False)} SELECT label, n_docs, total_terms, round(log_prior, 6) AS log_prior, "
-                       f"round(log_denom, 6) AS log_denom FROM pri")
+ORACLE["nb_priors"] = (f"WITH {_nb_ctes(False)} SELECT pri.label, pri.n_docs, pri.total_terms, "
+                       f"vs.V AS num_features, round(pri.log_prior, 6) AS log_prior, "
+                       f"round(pri.log_denom, 6) AS log_denom FROM pri JOIN vs ON vs.model = pri.model")
 ORACLE["nb_model"] = (f"WITH {_nb_ctes(False)} SELECT ct.label, ct.term, ct.count, "
                       f"round(ln(ct.count + 1.0) - pri.log_denom, 6) AS log_theta "
                       f"FROM ct JOIN pri ON pri.model = ct.model AND pri.label = ct.label")
-ORACLE["nb_predictions"] = f"WITH {_nb_ctes(False)} SELECT doc_id, prediction FROM pred"
+ORACLE["nb_predictions"] = (f"WITH {_nb_ctes(False)} SELECT doc_id, prediction, "
+                            f"round(probability, 6) AS probability FROM pred")
 ORACLE["nb_cv_predictions"] = (f"WITH {_nb_ctes(True)} SELECT p.doc_id, CAST(p.model AS INTEGER) AS fold, "
                                f"ld.label, p.prediction FROM pred p JOIN ld ON ld.doc_id = p.doc_id")
 ORACLE["nb_accuracy"] = (f"WITH {_nb_ctes(True)} SELECT count(*) AS n, "

@@ -48,9 +48,14 @@ def test_predictions_match_spark_ml(spark, small_dir):
                             CountVectorizer(inputCol="f", outputCol="features"),
                             NaiveBayes(labelCol="label")])
     ml = pipe.fit(train.withColumn("label", F.col("label").cast("double")))
-    mlp = {r["doc_id"]: int(r["prediction"]) for r in ml.transform(test).select("doc_id", "prediction").collect()}
-    ours = {r["doc_id"]: r["prediction"] for r in nb.predict(nb.fit(train), test).collect()}
-    assert ours == mlp
+    rows = ml.transform(test).select("doc_id", "prediction", "probability").collect()
+    mlp = {r["doc_id"]: int(r["prediction"]) for r in rows}
+    mlprob = {r["doc_id"]: float(max(r["probability"])) for r in rows}
+    got = nb.predict(nb.fit(train), test).collect()
+    assert {r["doc_id"]: r["prediction"] for r in got} == mlp
+    for r in got:
+        assert abs(r["probability"] - mlprob[r["doc_id"]]) < 1e-9
+        assert 0.5 - 1e-12 <= r["probability"] <= 1.0     # two classes: argmax has at least 1/2
 
 
 def test_cross_validation_covers_every_labelled_doc(spark, small_dir):
