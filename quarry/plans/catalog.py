@@ -55,15 +55,22 @@ def q_apriori_frequent_pairs(spark, sf):
     return its.Apriori(tb.baskets(spark, sf, "p_type"), support=TYPE_SUPPORT).frequent_pairs
 
 
+def _fp_partitions(spark) -> int:
+    """FP-tree groups follow the cluster's shuffle width (a pure performance
+    setting: the itemsets do not depend on it; the reference used 10)."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def q_fpgrowth_itemsets(spark, sf):
-    model = its.fpgrowth(tb.baskets(spark, sf, "p_type"), min_support=FP_SUPPORT)
+    model = its.fpgrowth(tb.baskets(spark, sf, "p_type"), min_support=FP_SUPPORT,
+                         num_partitions=_fp_partitions(spark))
     return model.freqItemsets.select(its.sorted_joined("items").alias("items"),
                                      F.size("items").alias("size"), F.col("freq").cast("bigint").alias("freq"))
 
 
 def q_association_rules(spark, sf):
     model = its.fpgrowth(tb.baskets(spark, sf, "p_brand"), min_support=RULE_SUPPORT,
-                         min_confidence=RULE_CONFIDENCE)
+                         min_confidence=RULE_CONFIDENCE, num_partitions=_fp_partitions(spark))
     return model.associationRules.select(
         its.sorted_joined("antecedent").alias("antecedent"),
         its.sorted_joined("consequent").alias("consequent"),
