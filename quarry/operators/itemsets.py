@@ -80,20 +80,29 @@ class Apriori:
     """Both A-priori passes over long-form baskets, lazily.
 
     Only the scalars ``n_baskets``, ``occurrences`` and ``threshold`` are
-    computed eagerly (one aggregation job)."""
+    computed eagerly (one aggregation job, which also fills the persisted
+    basket table both passes read; ``unpersist()`` releases it)."""
 
     baskets: DataFrame
     support: float = 0.5
     item_col: str = "item"
     basket_col: str = "basket"
     count_mode: str = "occurrence"
+    persist: bool = True
 
     def __post_init__(self):
+        # both passes (and the statistics) read the baskets: keep the narrow
+        # long table (spills to disk when large; recomputed if an executor is lost)
+        if self.persist:
+            self.baskets = self.baskets.select(self.basket_col, self.item_col).persist()
         self.n_baskets, self.occurrences = basket_stats(self.baskets, self.basket_col)
         self.threshold = support_threshold(self.support, self.n_baskets)
         # every frequent item has >= threshold occurrences
         self.max_frequent = self.occurrences // max(self.threshold, 1)
 
+    def unpersist(self) -> None:
+        self.baskets.unpersist()
+
     @property
     def item_counts(self) -> DataFrame:
         return item_counts(self.baskets, self.item_col, self.basket_col, self.count_mode)
