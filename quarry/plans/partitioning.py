@@ -26,7 +26,11 @@ def ensure_parallel(df: DataFrame, key: str | None = None) -> DataFrame:
     is returned unchanged: it spans many files and row groups, and
     reshuffling it would cost far more than it saves.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if target <= 1 or estimated_bytes(df) > SPREAD_MAX_BYTES:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        size = estimated_bytes(df)
+    except Exception:  # no JVM handle (e.g. Spark Connect): leave the input as is
+        return df
+    if target <= 1 or size > SPREAD_MAX_BYTES:
         return df
     return df.repartition(target, key) if key else df.repartition(target)

@@ -44,14 +44,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint folder, setting one only when unset.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; it is
     read from the session. A machine-local temporary folder is only chosen
     in local mode (tests, bench); on a cluster an unset folder is an error.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
