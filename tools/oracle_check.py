@@ -72,6 +72,10 @@ def main():
         td = time.time() - t1
         c1, r1 = rows(sp)
         c2, r2 = rows(dd)
+        t1 = {c: str(sp[c].dtype) for c in sp.columns}
+        t2 = {c: str(dd[c].dtype) for c in dd.columns}
+        if t1 != t2:
+            print(f"{name:32s} dtype difference: spark {t1} duckdb {t2}")
         ok = c1 == c2 and r1 == r2
         if not ok:
             bad += 1
