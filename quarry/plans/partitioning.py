@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame
 SPREAD_MAX_BYTES = 1 << 30
 
 
+def _big(v) -> int:
+    return int(v if isinstance(v, int) else v.toString())
+
+
 def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer's size estimate of ``df`` (file sizes for a scan)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size if isinstance(size, int) else size.toString())
+    """Bytes the plan reads: the sum of its leaf relations' sizes (file
+    sizes for scans). The size estimate of a join without CBO is the
+    product of its inputs, useless for this decision."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(_big(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def ensure_parallel(df: DataFrame, key: str | None = None) -> DataFrame:
