@@ -35,3 +35,15 @@ def test_entry(spark):
     df = e.entry(spark)
     assert df.count() >= 0 and df.columns == ["item_a", "item_b", "n"]
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_small_joined_text_input_is_spread(spark, small_dir):
+    """The labelled documents are a join: spreading must use the bytes read,
+    not the join's (product) size estimate."""
+    from quarry.plans.partitioning import ensure_parallel, estimated_bytes
+    from quarry.sources import tables as tb
+    ld = tb.labelled_documents(spark, small_dir)
+    assert estimated_bytes(ld) < 1 << 30
+    text = plan_text(ensure_parallel(ld, "doc_id"))
+    n = spark.sparkContext.defaultParallelism
+    assert f"hashpartitioning(doc_id" in text and f", {n}), REPARTITION_BY_NUM" in text
