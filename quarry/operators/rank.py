@@ -70,7 +70,9 @@ class LinkGraph:
         e = self.edges
         deg = out_degree(e)
         n_salt = F.greatest(F.lit(1), F.ceil(F.col("out_degree") / F.lit(float(self.edges_per_slice)))).cast("int")
-        nodes = deg.select("src", "out_degree", n_salt.alias("n_salt"))
+        # one row per page with out-links: read by the edge build and by the
+        # initial vector, so kept rather than derived from the edges twice
+        nodes = deg.select("src", "out_degree", n_salt.alias("n_salt")).cache()
         # destination salt count travels with each edge (sinks get 1)
         dst_salt = nodes.select(F.col("src").alias("dst"), F.col("n_salt").alias("dst_salt"))
         w = e.join(nodes, "src").join(dst_salt, "dst", "left") \
@@ -84,8 +86,9 @@ class LinkGraph:
         self.n_pages = int(stats["n"])
 
     def unpersist(self) -> None:
-        """Release the cached edge table (after the result has been used)."""
+        """Release the cached tables (after the result has been used)."""
         self.weighted.unpersist()
+        self.nodes.unpersist()
 
     def initial(self) -> DataFrame:
         """Initial vector with each page's salt count: (id, rank, n_salt)."""
