@@ -32,7 +32,7 @@ RULE_CONFIDENCE = 0.15
 
 # ---------------------------------------------------------------- itemsets
 def q_apriori_item_counts(spark, sf):
-    return its.item_counts(tb.raw_baskets(spark, sf, "p_brand"), mode="occurrence")
+    return its.item_counts(tb.raw_baskets(spark, sf, "p_brand"), mode="occurrence", sort=True)
 
 
 def _brand_apriori(spark, sf):

@@ -15,6 +15,8 @@ def test_apriori_hand_fixture(spark):
     assert (ap.n_baskets, ap.threshold) == (4, 2)
     occ = {r["item"]: r["n"] for r in ap.item_counts.collect()}
     assert occ == {"1": 3, "2": 5, "3": 2}
+    ordered = [r["item"] for r in its.item_counts(b, sort=True).collect()]
+    assert ordered == ["1", "2", "3"]
     basket_mode = {r["item"]: r["n"] for r in its.item_counts(b, mode="basket").collect()}
     assert basket_mode["2"] == 4
     pairs = {(r["item_a"], r["item_b"]): r["n"] for r in ap.frequent_pairs.collect()}
