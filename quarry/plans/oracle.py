@@ -254,8 +254,11 @@ WITH l AS (SELECT CASE WHEN l_linenumber = 7 THEN '{}'
                        WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN '{' || l_partkey || ',' || l_returnflag || '}'
                        ELSE '{' || l_partkey || ', ' || l_suppkey || ',' || l_linenumber || '}' END AS line
            FROM lineitem),
-p AS (SELECT line, list_transform(string_split(substr(line, 2, greatest(length(line) - 2, 0)), ','),
-                                  lambda t: TRY_CAST(trim(t) AS INTEGER)) AS items FROM l)
+i AS (SELECT line, substr(line, 2, greatest(length(line) - 2, 0)) AS inner_text FROM l),
+s AS (SELECT line, inner_text, regexp_replace(inner_text, ',+$', '') AS stripped FROM i),
+p AS (SELECT line, list_transform(CASE WHEN stripped = '' AND inner_text <> '' THEN []::VARCHAR[]
+                                       ELSE string_split(stripped, ',') END,
+                                  lambda t: TRY_CAST(trim(t) AS INTEGER)) AS items FROM s)
 SELECT line, CAST(len(items) AS INTEGER) AS n_items,
        CASE WHEN list_bool_and(list_transform(items, lambda x: x IS NOT NULL))
             THEN array_to_string(items, ',') END AS items,

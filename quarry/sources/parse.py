@@ -22,7 +22,11 @@ def basket_items(line: Column) -> Column:
     """``{1, 2,3}`` -> [1, 2, 3]: drop the first and last character, split on
     ',', trim, cast. A token that is not an integer becomes NULL."""
     inner = F.substring(line, 2, F.greatest(F.length(line) - 2, F.lit(0)))
-    return F.transform(F.split(inner, ","), lambda t: F.trim(t).try_cast("int"))
+    # Java's split drops trailing empty strings: "1,2," -> [1, 2], ",," -> []
+    stripped = F.regexp_replace(inner, ",+$", "")
+    tokens = F.when((stripped == "") & (inner != ""), F.array().cast("array<string>")) \
+        .otherwise(F.split(stripped, ","))
+    return F.transform(tokens, lambda t: F.trim(t).try_cast("int"))
 
 
 def parse_baskets(lines: DataFrame, col: str = "value") -> DataFrame:

@@ -8,15 +8,18 @@ def lines(spark, values):
 
 
 def test_basket_parse(spark):
-    df = ps.parse_baskets(lines(spark, ["{1, 2,3}", "{}", "{1,z}", "{4,4}", "{0, 12}"]))
+    df = ps.parse_baskets(lines(spark, ["{1, 2,3}", "{}", "{1,z}", "{4,4}", "{0, 12}", "{5,6,}", "{,}", "{7, }"]))
     got = {r["value"]: (r["items"], r["ok"]) for r in df.collect()}
     assert got["{1, 2,3}"] == ([1, 2, 3], True)
     assert got["{}"][1] is False
     assert got["{1,z}"] == ([1, None], False)
     assert got["{4,4}"] == ([4, 4], True)          # duplicates kept, as the reference does
     assert got["{0, 12}"] == ([0, 12], True)       # id 0 and sparse ids are fine
+    assert got["{5,6,}"] == ([5, 6], True)         # trailing empty token dropped, as Java's split
+    assert got["{,}"] == ([], True)                # only separators: an empty basket
+    assert got["{7, }"] == ([7, None], False)      # a blank (not empty) token is not a number
     good, bad = ps.split_rejects(df)
-    assert good.count() == 3 and bad.count() == 2
+    assert good.count() == 5 and bad.count() == 3
 
 
 def test_transaction_parse(spark):
