@@ -139,6 +139,7 @@ def transactions(baskets: DataFrame, min_support: float | None = None, item_col:
     """
     b = baskets.select(F.col(basket_col).alias("basket"), F.col(item_col).alias("item")).distinct()
     if min_support is not None:
+        b = b.persist()  # read by the statistics job and by the grouping
         n, occ = basket_stats(b, "basket")
         t = support_threshold(min_support, n)
         freq = b.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= t).select(
@@ -157,7 +158,9 @@ def fpgrowth(baskets: DataFrame, min_support: float = 0.2, min_confidence: float
     consequent, confidence, lift, support)."""
     from pyspark.ml.fpm import FPGrowth
 
-    tx = transactions(baskets, min_support, item_col, basket_col)
+    # FP-growth runs several jobs over its input (count, frequent items,
+    # tree growth): keep the pruned transactions instead of re-deriving them
+    tx = transactions(baskets, min_support, item_col, basket_col).persist()
     fp = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
