@@ -227,6 +227,8 @@ def q_nb_accuracy(spark, sf):
 
 # ---------------------------------------------------------------- parsers
 def q_basket_parse(spark, sf):
+    # one basket line per lineitem row; line number 7 gives "{}" and the first
+    # line of a returned order a non-integer token: both must be rejected
     li = tb.table(spark, sf, "lineitem")
     line = F.when(F.col("l_linenumber") == 7, F.lit("{}")).when(
         (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1),
@@ -247,6 +249,7 @@ def q_transaction_parse(spark, sf):
 
 
 def q_link_parse(spark, sf):
+    # one link line per lineitem row; line number 7 has a single token (reject)
     li = tb.table(spark, sf, "lineitem")
     src = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
     line = F.when(F.col("l_linenumber") == 7, src).otherwise(
@@ -256,6 +259,7 @@ def q_link_parse(spark, sf):
 
 
 def _category_lines(spark, sf):
+    """``name index`` lines for the languages, index in name order."""
     langs = tb.table(spark, sf, "documents").select(F.col("lang").alias("category")).distinct()
     idx = sim.dense_index(langs, "category", "label")
     return idx.select(F.concat("category", F.lit(" "), F.col("label").cast("string")).alias("value"))
