@@ -82,8 +82,8 @@ class LinkGraph:
         parts = self.partitions or int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         self.weighted = w.repartition(parts, "src", "salt").cache()
         self.nodes = nodes
-        stats = self.weighted.agg(F.count_distinct("src").alias("n")).first()
-        self.n_pages = int(stats["n"])
+        # Pages with out-links = rows of the cached per-page table
+        self.n_pages = nodes.count()
 
     def unpersist(self) -> None:
         """Release the cached tables (after the result has been used)."""
