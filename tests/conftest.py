@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,9 +12,9 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from quarry.session import build_session
 
-    ckpt = tempfile.mkdtemp(prefix="quarry-test-ckpt-", dir="/tmp")
-    s = build_session(master="local[4]", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
+    # the checkpoint folder comes from the session (spark.checkpoint.dir);
+    # build_session only creates a temporary one in local mode when it is unset
+    s = build_session(master="local[4]", shuffle_partitions=4, extra={"spark.driver.memory": "4g"})
     yield s
     s.stop()
 
