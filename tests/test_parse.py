@@ -49,3 +49,10 @@ def test_link_parse(spark):
     df = ps.parse_links(lines(spark, ["A B", "A C extra", "lonely"]))
     got = [(r["src"], r["dst"], r["ok"]) for r in df.orderBy("value").collect()]
     assert got == [("A", "B", True), ("A", "C", True), ("lonely", None, False)]
+
+
+def test_repeated_category_name_does_not_duplicate_documents(spark):
+    cats = spark.createDataFrame([("sport", 1), ("sport", 4)], "category string, label int")
+    docs = spark.createDataFrame([(1, "sport|x")], "doc_id int, text string")
+    rows = ps.parse_labelled_docs(docs, cats).collect()
+    assert len(rows) == 1 and rows[0]["label"] == 4
