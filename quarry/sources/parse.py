@@ -62,7 +62,7 @@ def parse_labelled_docs(docs: DataFrame, categories: DataFrame, text_col: str =
     t = F.col(text_col)
     pos = F.instr(t, "|")
     parsed = docs.withColumn("category", F.when(pos > 0, F.substring(t, 1, pos - 1))) \
-        .withColumn("content", F.when(pos > 0, F.expr(f"substring({text_col}, instr({text_col}, '|') + 1)")))
+        .withColumn("content", F.when(pos > 0, F.substring(t, pos + 1, F.length(t) - pos)))
     # one index per name, so no document is duplicated by the join (a name
     # listed twice keeps its largest index; the reference kept the last line's)
     cats = categories.groupBy("category").agg(F.max("label").alias("label"))
