@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dedup
+from . import bpe, dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +20,13 @@ def op1_minhash_near_dedup(spark, sf_dir):
     return dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_bpe_round_trip(spark, sf_dir):
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op4_bpe_round_trip": op4_bpe_round_trip,
 }
 
 #: Words as the operators take them: A-Z lower-cased, split at 0x20 and 0x09-0x0D.
