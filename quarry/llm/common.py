@@ -196,3 +196,12 @@ def running(df: DataFrame, group: str, order: list[str], key: str, value: str, o
     df = df.withColumn("_i", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     df = df.join(sums, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_b") == F.col("_k")))
     return df.withColumn(out, F.col("_o") + F.col("_i")).drop("_h", "_b", "_g", "_k", "_o", "_i", "_s")
+
+
+def ranked(df: DataFrame, order: list[F.Column], out: str) -> DataFrame:
+    """``out``: position of each row in the total order, from 0, without one task for all rows."""
+    d = keep(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offset = d.groupBy("_p").agg(F.count("*").alias("_n")).withColumn("_o", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    d = d.join(offset.select("_p", "_o"), "_p")
+    return d.withColumn(out, F.col("_o") + F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1).drop("_p", "_o")

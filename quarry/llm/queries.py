@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, dedup
+from . import bpe, dedup, mixing, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,9 +24,19 @@ def op4_bpe_round_trip(spark, sf_dir):
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_source_mixing(spark, sf_dir):
+    return mixing.plan(_table(spark, sf_dir, "documents"))
+
+
+def op7_hash_tree_sharding(spark, sf_dir):
+    return sharding.shard(_table(spark, sf_dir, "documents"), sharding.Tree.of(40))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op5_source_mixing": op5_source_mixing,
+    "op7_hash_tree_sharding": op7_hash_tree_sharding,
 }
 
 #: Words as the operators take them: A-Z lower-cased, split at 0x20 and 0x09-0x0D.
