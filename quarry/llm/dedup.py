@@ -5,9 +5,10 @@
    and the low four bits of the minima as packed bit planes.
 2. Documents with equal sets become one class, named by its smallest doc_id.
 3. Classes that share a band key form a bucket. Each member is compared with
-   the bucket's smallest member, so candidates stay linear in the bucket;
-   buckets whose members are then still in different components are compared
-   block by block, only across components. No pair list of a bucket is made
+   the bucket's smallest member, so candidates stay linear in the bucket (and
+   first only with the smallest of all these); buckets whose members are then
+   still in different components are compared block by block, only across
+   components. No pair list of a bucket is made
    before the signatures have judged it.
 4. Signatures are compared by counting differing positions (XOR and OR of the
    planes, bit counts) corrected for chance collisions; pairs far below the
@@ -226,12 +227,10 @@ def _compare(key, parts):
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
-def mixed_candidates(postings: DataFrame, buckets: DataFrame, comp: DataFrame, sigs: DataFrame) -> DataFrame:
+def mixed_candidates(members: DataFrame, comp: DataFrame, sigs: DataFrame) -> DataFrame:
     """Candidate pairs between different components in buckets of three or more
     (the bucket's smallest member has met every other one already)."""
-    big = buckets.filter("n > 2")
-    m = (postings.join(big, "key").filter("node != hub")
-         .join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    m = members.filter("n > 2 and node != hub").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = m.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key")
     m = m.join(mixed, "key").join(sigs, "node")
     m = m.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
@@ -258,14 +257,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     postings = nodes.select("node", F.explode("bands").alias("key"))
     sigs = nodes.select("node", "planes")
-    buckets = keep(postings.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1"))
-    stars = postings.join(buckets, "key").filter("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    buckets = postings.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
+    members = keep(postings.join(buckets, "key").select("key", "node", "hub", "n"))
+    stars = members.filter("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     stars = (stars.join(sigs.select(F.col("node").alias("a"), F.col("planes").alias("pa")), "a")
              .join(sigs.select(F.col("node").alias("b"), F.col("planes").alias("pb")), "b")
              .filter(differing("pa", "pb") <= MOST_DIFFERENT).select("a", "b").distinct())
-    links = keep(confirm(stars, docs))
+    stars = keep(stars)
+
+    # first each member with the smallest of its buckets' smallest members; what that
+    # connects needs no further comparison
+    first = stars.groupBy("b").agg(F.min("a").alias("a"))
+    links = keep(confirm(first.select("a", "b"), docs))
     comp = keep(components(links))
-    more = keep(confirm(keep(mixed_candidates(postings, buckets, comp, sigs)), docs))
+    rest = stars.join(first.withColumnRenamed("a", "met"), "b").filter("a != met").select("a", "b")
+    for side in ("a", "b"):
+        rest = rest.join(comp.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
+    rest = rest.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    more = keep(confirm(keep(rest.union(mixed_candidates(members, comp, sigs)).distinct()), docs))
     if not more.isEmpty():
         comp = keep(components(links.union(more)))
 
