@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, dedup, langid, mixing, sharding
+from . import bpe, dedup, langid, mixing, ngram, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,12 +36,17 @@ def op9_byte_gru_language_id(spark, sf_dir):
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op10_kneser_ney_scoring(spark, sf_dir):
+    return ngram.language_model(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_source_mixing": op5_source_mixing,
     "op7_hash_tree_sharding": op7_hash_tree_sharding,
     "op9_byte_gru_language_id": op9_byte_gru_language_id,
+    "op10_kneser_ney_scoring": op10_kneser_ney_scoring,
 }
 
 #: Words as the operators take them: A-Z lower-cased, split at 0x20 and 0x09-0x0D.
