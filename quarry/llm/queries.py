@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, dedup, langid, mixing, ngram, sharding
+from . import bpe, dedup, langid, mixing, ngram, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,8 +40,13 @@ def op10_kneser_ney_scoring(spark, sf_dir):
     return ngram.language_model(_table(spark, sf_dir, "documents"))
 
 
+def op2_kneser_ney_quality(spark, sf_dir):
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_kneser_ney_quality": op2_kneser_ney_quality,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_source_mixing": op5_source_mixing,
     "op7_hash_tree_sharding": op7_hash_tree_sharding,
