@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, dedup, langid, mixing, ngram, quality, sharding
+from . import ann, bpe, dedup, langid, mixing, ngram, pq, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,12 +45,22 @@ def op2_kneser_ney_quality(spark, sf_dir):
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_pq_embedding_dedup(spark, sf_dir):
+    return pq.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_kmeans_tree_search(spark, sf_dir):
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_kneser_ney_quality": op2_kneser_ney_quality,
+    "op3_pq_embedding_dedup": op3_pq_embedding_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_source_mixing": op5_source_mixing,
     "op7_hash_tree_sharding": op7_hash_tree_sharding,
+    "op8_kmeans_tree_search": op8_kmeans_tree_search,
     "op9_byte_gru_language_id": op9_byte_gru_language_id,
     "op10_kneser_ney_scoring": op10_kneser_ney_scoring,
 }
@@ -78,5 +89,16 @@ classes AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY k, short) AS text_clas
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept,
     coalesce(text_class, d.doc_id) AS text_class
 FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id) LEFT JOIN classes USING (doc_id)
+""",
+    "op3_pq_embedding_dedup": """
+WITH RECURSIVE v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(vec_id, r) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.r),
+least AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
 """,
 }
