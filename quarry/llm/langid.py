@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .common import text_bytes
@@ -239,11 +240,16 @@ def fit(docs: DataFrame, learn: F.Column) -> Network | None:
     """Train on a sample of the rows of ``docs`` for which ``learn`` holds."""
     d = docs.filter(learn).filter("lang is not null and text is not null and doc_id is not null").select("lang", "doc_id", "text")
     d = d.filter(F.col("text").rlike(r"\p{L}"))
-    langs = sorted(r[0] for r in d.select("lang").distinct().collect())  # one row per language
+    counts = {r[0]: r[1] for r in d.groupBy("lang").count().collect()}  # one row per language
+    langs = sorted(counts)
     if not langs:
         return None
     per = max(1, SAMPLE_WINDOWS // (WINDOWS_PER_DOC * len(langs)))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(9), "doc_id"), "doc_id", "text")
+    # rows whose hash is in the lowest part that holds twice as many as wanted; then the exact number of these
+    order = F.xxhash64(F.lit(9), "doc_id")
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (2 * per + 20) / n))])
+    d = d.withColumn("order", order).filter(F.shiftrightunsigned("order", 11) / float(1 << 53) <= F.element_at(share, F.col("lang")))
+    first = Window.partitionBy("lang").orderBy("order", "doc_id", "text")
     d = d.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per)
     got = d.select("lang", "n", "text").mapInArrow(_sample_windows, "lang string, place long, bytes binary").collect()
     got.sort(key=lambda r: (r.lang, r.place))
@@ -276,8 +282,8 @@ def predict(docs: DataFrame, net: Network | None, keep_columns: list[F.Column])
                 score = np.where(known, np.clip(p[np.arange(len(best)), best], 0, 1), 0.0)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(lang, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    schema = T.StructType([*rows.schema[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(run, schema)
 
 
 def held_out(doc_id: F.Column, parts: int, part: int) -> F.Column:

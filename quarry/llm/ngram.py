@@ -28,9 +28,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
 from .common import keep, mix, row_slices, shared_folder, text_bytes, word_hashes
 from .langid import held_out
@@ -378,9 +378,6 @@ class Lookup:
         return n[t], np.log10(np.minimum(p, 1.0))
 
 
-SCORES = "n_tokens long, n_known long, base_score double, score double"
-
-
 def score(docs: DataFrame, model: Model, columns: list[F.Column]) -> DataFrame:
     """``columns`` with n_tokens, n_known, base_score and score of each whole text."""
     rows = docs.select(*columns, F.col("text").alias("_text"))
@@ -401,8 +398,8 @@ def score(docs: DataFrame, model: Model, columns: list[F.Column]) -> DataFrame:
                      pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(log_p, first))],
                     names=[*names, "n_tokens", "n_known", "base_score", "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    return rows.mapInArrow(run, f"{schema}, {SCORES}")
+    new = [("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base_score", T.DoubleType()), ("score", T.DoubleType())]
+    return rows.mapInArrow(run, T.StructType([*rows.schema[:-1], *(T.StructField(n, t) for n, t in new)]))
 
 
 def perplexity(tokens: F.Column, score: F.Column) -> F.Column:

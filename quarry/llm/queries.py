@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, dedup, langid, mixing, ngram, pq, quality, sharding
+from . import ann, bpe, dedup, langid, mixing, ngram, pq, quality, secrets, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,12 +53,17 @@ def op8_kmeans_tree_search(spark, sf_dir):
     return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op6_secret_scan(spark, sf_dir):
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_kneser_ney_quality": op2_kneser_ney_quality,
     "op3_pq_embedding_dedup": op3_pq_embedding_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_source_mixing": op5_source_mixing,
+    "op6_secret_scan": op6_secret_scan,
     "op7_hash_tree_sharding": op7_hash_tree_sharding,
     "op8_kmeans_tree_search": op8_kmeans_tree_search,
     "op9_byte_gru_language_id": op9_byte_gru_language_id,
