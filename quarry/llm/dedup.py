@@ -41,7 +41,7 @@ PERCENT = 75
 #: Pairs with more differing positions are dropped: 5.4 standard deviations above
 #: what similarity 0.75 gives (0.25 * 15/16 of 128 positions: 30, deviation 4.8).
 MOST_DIFFERENT = 56
-BLOCK = 1024
+BLOCK = 512
 
 _rng = np.random.default_rng(5)
 _MULT = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -173,71 +173,119 @@ def _confirm(batches):
             yield pa.RecordBatch.from_arrays([pa.array([key[0]] * len(found), pa.int64()), pa.array(found, pa.int64())], names=["a", "b"])
 
 
+def _with_text(docs: DataFrame, rows: DataFrame, node: str) -> DataFrame:
+    """``rows`` with the text of ``node``. The number of rows has no bound, so they
+    are never broadcast: the plan is the same merge join at every size."""
+    text = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"))
+    return text.hint("merge").join(rows, F.col("_id") == F.col(node))
+
+
 def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full shingle sets are similar enough.
 
     Members stream past their hub's set; a hub with many members is dealt to
     several tasks, each with a copy of the hub's text.
     """
-    text = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"))
     many = pairs.groupBy("a").agg(F.count("*").alias("n"))
     p = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / 256)).alias("salt"))
     heads = p.select("a", "salt").distinct().select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("id"))
     rows = heads.union(p.select("a", "salt", F.lit(1), "b"))
-    rows = text.join(rows, F.col("_id") == F.col("id")).select("a", "salt", "role", "id", "_text")
+    rows = _with_text(docs, rows, "id").select("a", "salt", "role", "id", "_text")
     return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(_confirm, "a long, b long")
 
 
 # ------------------------------------------------------------------ mixed buckets
 
 
-def _across(batches):
-    """Rows sorted by (key, x, y): the members of blocks x and y of a bucket; pairs
-    of different components whose signatures are close."""
+def _segments(batches, keys: int):
+    """(key, table) of all consecutive rows with equal first ``keys`` columns."""
     now, held = None, []
-    for key, part in _runs(batches, 3):
-        if key != now:
-            if now is not None:
-                yield from _compare(now, held)
-            now, held = key, []
+    for key, part in _runs(batches, keys):
+        if key != now and held:
+            yield now, pa.Table.from_batches(held)
+            held = []
+        now = key
         held.append(part)
-    if now is not None:
-        yield from _compare(now, held)
-
-
-def _compare(key, parts):
-    t = pa.Table.from_batches(parts)
-    block, node, comp = (t.column(k).to_numpy() for k in (3, 4, 5))
-    sig = t.column(6).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
-    order = np.argsort(block, kind="stable")
-    block, node, comp, sig = block[order], node[order], comp[order], sig[order]
-    a, b = [], []
-    second = int(np.searchsorted(block, key[2]))
-    for i in range(len(node) if key[1] == key[2] else second):
-        j = i + 1 if key[1] == key[2] else second
-        x = sig[j:] ^ sig[i]
-        differ = np.zeros(len(x), np.int64)
-        for w in range(PERMUTATIONS // 64):
-            differ += np.bitwise_count(np.bitwise_or.reduce(x[:, w :: PERMUTATIONS // 64], axis=1))
-        hit = j + np.flatnonzero((differ <= MOST_DIFFERENT) & (comp[j:] != comp[i]))
-        a.append(np.full(len(hit), node[i]))
-        b.append(node[hit])
-    if a and sum(map(len, a)):
-        a, b = np.concatenate(a), np.concatenate(b)
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-
-def mixed_candidates(members: DataFrame, comp: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Candidate pairs between different components in buckets of three or more
-    (the bucket's smallest member has met every other one already)."""
-    m = members.filter("n > 2 and node != hub").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    if held:
+        yield now, pa.Table.from_batches(held)
+
+
+def _sides(key, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of blocks x and y of a segment (the same rows if they are one block)."""
+    return np.flatnonzero(block == key[1]), np.flatnonzero(block == key[2])
+
+
+def _close(batches):
+    """Of each segment (key, x, y) the members with a close signature in another component."""
+    for key, t in _segments(batches, 3):
+        block, node, comp = (t.column(k).to_numpy() for k in (3, 4, 5))
+        sig = t.column(6).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+        left, right = _sides(key, block)
+        some = np.zeros(len(node), bool)
+        for i in left.tolist():
+            other = right[comp[right] != comp[i]]
+            x = sig[other] ^ sig[i]
+            differ = np.zeros(len(x), np.int64)
+            for w in range(PERMUTATIONS // 64):
+                differ += np.bitwise_count(np.bitwise_or.reduce(x[:, w :: PERMUTATIONS // 64], axis=1))
+            near = other[differ <= MOST_DIFFERENT]
+            if len(near):
+                some[i] = True
+                some[near] = True
+        if some.any():
+            yield pa.RecordBatch.from_arrays([c.combine_chunks() for c in t.select(range(6)).filter(pa.array(some)).columns],
+                                             names=["key", "x", "y", "block", "node", "component"])
+
+
+def _overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets of ``left`` with those of ``right``."""
+    shingle = np.concatenate([sets[j] for j in right])
+    owner = np.repeat(np.arange(len(right)), [len(sets[j]) for j in right])
+    order = np.argsort(shingle, kind="stable")
+    shingle, owner = shingle[order], owner[order]
+    out = np.empty((len(left), len(right)), np.int64)
+    for k, i in enumerate(left.tolist()):
+        a, b = np.searchsorted(shingle, sets[i]), np.searchsorted(shingle, sets[i], "right")
+        n = b - a
+        at = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
+        out[k] = np.bincount(owner[at], minlength=len(right))
+    return out
+
+
+def _linked(batches):
+    """Confirmed links between components in each segment, as a spanning forest."""
+    for key, t in _segments(batches, 3):
+        block, node, comp = (t.column(k).to_numpy().copy() for k in (3, 4, 5))
+        sets = list(shingle_sets(t.column(6)))
+        left, right = _sides(key, block)
+        if not len(left) or not len(right):
+            continue
+        size, a, b = np.array([len(u) for u in sets]), [], []
+        for part in np.array_split(left, -(-len(left) // 64)):
+            common = _overlaps(sets, part, right)
+            i, j = np.nonzero(100 * common >= PERCENT * (size[part][:, None] + size[right] - common))
+            for m, n in zip(part[i].tolist(), right[j].tolist()):
+                if comp[m] != comp[n]:
+                    a.append(node[m])
+                    b.append(node[n])
+                    comp[comp == comp[n]] = comp[m]
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def across_components(members: DataFrame, comp: DataFrame, sigs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between different components in the same bucket."""
+    m = members.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = m.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key")
     m = m.join(mixed, "key").join(sigs, "node")
     m = m.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     m = m.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     m = m.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "node", "component", "planes")
-    return m.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_across, "a long, b long").distinct()
+    columns = "key long, x int, y int, block int, node long, component long"
+    near = keep(m.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_close, columns))
+    rows = _with_text(docs, near, "node").select("key", "x", "y", "block", "node", "component", "_text")
+    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_linked, "a long, b long")
 
 
 # ------------------------------------------------------------------ the operator
@@ -263,18 +311,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = (stars.join(sigs.select(F.col("node").alias("a"), F.col("planes").alias("pa")), "a")
              .join(sigs.select(F.col("node").alias("b"), F.col("planes").alias("pb")), "b")
              .filter(differing("pa", "pb") <= MOST_DIFFERENT).select("a", "b").distinct())
-    stars = keep(stars)
-
-    # first each member with the smallest of its buckets' smallest members; what that
+    # each member with the smallest of its buckets' smallest members; what that
     # connects needs no further comparison
     first = stars.groupBy("b").agg(F.min("a").alias("a"))
     links = keep(confirm(first.select("a", "b"), docs))
     comp = keep(components(links))
-    rest = stars.join(first.withColumnRenamed("a", "met"), "b").filter("a != met").select("a", "b")
-    for side in ("a", "b"):
-        rest = rest.join(comp.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
-    rest = rest.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    more = keep(confirm(keep(rest.union(mixed_candidates(members, comp, sigs)).distinct()), docs))
+    more = keep(across_components(members, comp, sigs, docs))
     if not more.isEmpty():
         comp = keep(components(links.union(more)))
 

@@ -71,15 +71,23 @@ def test_nulls_empties_repeats_case_and_long_texts(spark):
     assert dedup.near_duplicates(frame(spark, rows).limit(0)).count() == 0
 
 
-def test_blocks_of_a_mixed_bucket_find_what_stars_miss(spark, monkeypatch):
+def test_blocks_of_a_mixed_bucket_find_all_links(spark, monkeypatch):
     monkeypatch.setattr(dedup, "BLOCK", 3)
-    low = np.random.default_rng(1).integers(0, 1 << 63, (3, dedup.PERMUTATIONS), dtype=np.uint64)
-    sig = dedup.planes(low)
-    rows = [(7, n, 1, 8, sig[n % 3].tolist()) for n in range(1, 9)]
-    m = spark.createDataFrame(rows, "key long, node long, hub long, n long, planes array<long>")
-    none = spark.createDataFrame([], "node long, component long")
-    pairs = dedup.mixed_candidates(m.drop("planes"), none, m.select("node", "planes"))
-    assert sorted(map(tuple, pairs.collect())) == [(2, 5), (2, 8), (3, 6), (4, 7), (5, 8)]
+    texts = [" ".join(f"{k}w{i}" for i in range(30)) for k in range(3)]
+    docs = spark.createDataFrame([(n, texts[n % 3] + f" end{n}") for n in range(1, 9)], "doc_id long, text string")
+    f = dedup.features(docs)
+    members = f.select(F.lit(7).cast("long").alias("key"), F.col("doc_id").alias("node"), F.lit(8).cast("long").alias("n"))
+    none = spark.createDataFrame([(1, 1)], "node long, component long")
+    links = dedup.across_components(members, none, f.select(F.col("doc_id").alias("node"), "planes"), docs)
+    got = {(r.node, r.component) for r in common.components(links).collect()}
+    assert got == {(1, 1), (4, 1), (7, 1), (2, 2), (5, 2), (8, 2), (3, 3), (6, 3)}
+
+
+def test_texts_that_share_a_passage_stay_apart_in_linear_rows(spark):
+    g = random.Random(5)
+    passage = [f"p{i}" for i in range(70)]
+    rows = [(i, " ".join(passage + [f"w{g.randrange(10**6)}" for _ in range(25)])) for i in range(400)]
+    assert got(frame(spark, rows)) == brute(rows)
 
 
 def test_estimate_is_corrected_for_collisions(spark):
