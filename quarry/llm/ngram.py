@@ -39,7 +39,7 @@ START, END = (mix(np.array([n], np.uint64))[0] for n in (101, 102))
 _PART = np.uint64(16)  # a word's hash without its lower 16 bits stands for it in bigrams
 _SPREAD = np.uint64(63)
 _BIGRAM = np.uint64(0x9FB21C651E98DF25)
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 6 << 20
 COUNTS, FOLLOWERS, CONTEXTS = 0, 1, 2
 
 
