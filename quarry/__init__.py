@@ -3,9 +3,9 @@
 Operators take and return DataFrames; nothing but scalars reaches the
 driver. Main entry points:
 
-* itemsets: ``Apriori``, ``item_counts``, ``fpgrowth``
+* itemsets: ``Apriori``, ``item_counts``, ``FrequentSets``
 * similarity: ``shingle_sets``, ``similar_pairs``, ``minhash_similar_pairs``,
-  ``pair_similarity``, ``copy_groups``, ``shingle_vocabulary``
+  ``pair_similarity``, ``similar_groups``, ``copy_members``, ``shingle_vocabulary``
 * bayes: ``fit``, ``predict``, ``cross_validate``, ``accuracy``
 * rank: ``pagerank``, ``LinkGraph``
 * sources: line/whole-file readers and the five parsers

@@ -11,20 +11,23 @@ over the training vocabulary (V terms; unknown test terms are ignored).
 Here the vocabulary is never collected: counts stay in DataFrames, and
 the score is evaluated sparsely as
 
-    score(d,c) = log_prior(c) - n(d)*ln(total(c)+V*l) + sum_t tf(d,t)*ln(count(c,t)+l)
+    score(d,c) = log_prior(c) + n(d)*(ln(l) - ln(total(c)+V*l))
+                 + sum_t tf(d,t)*(ln(count(c,t)+l) - ln(l))
 
 summing only over observed (class, term) pairs; n(d) is the number of
 vocabulary tokens of d. Spark ML's CountVectorizer keeps at most 2^18
 terms by default; this model keeps all of them (identical whenever the
-vocabulary fits that default).
+vocabulary fits that default). Labels may be of any orderable type.
 
 An optional ``model`` column fits many independent models in the same
 jobs (one per key) — used for k-fold cross-validation.
 
-Scale: term counts use partial aggregation; prediction is one shuffle
-join of document terms with a per-term table (one row per term holding
-its at most K class counts), skew on hot terms is split by AQE. The class
-list (K values) is the only thing collected; its size is checked.
+Scale: training counts tokens by (class, term) with partial aggregation;
+prediction is one shuffle join of document terms with a per-term table
+(one row per term holding its class counts; skew on hot terms is split by
+AQE) and one grouping per document, which yields n(d) and the observed
+class sums together. The priors, one row per class, travel as one array.
+No table of documents x classes is made unless all scores are asked for.
 """
 
 from __future__ import annotations
@@ -35,10 +38,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import remove_stop_words, tokenize
-from ..plans.joins import broadcast_if_bounded
-from ..plans.partitioning import ensure_parallel
-
-MAX_CLASSES = 100_000
 
 
 def tokenize_only(text: F.Column) -> F.Column:
@@ -51,54 +50,46 @@ def filtered_tokens(text: F.Column) -> F.Column:
     return remove_stop_words(tokenize(text))
 
 
+def _tokens(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """(keys..., term), one row per filtered token."""
+    t = docs.select(*keys, filtered_tokens(F.col(text_col)).alias("_f"))
+    return t.select(*keys, F.explode_outer("_f").alias("term")).filter(F.col("term").isNotNull())
+
+
 def term_frequencies(docs: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
     """(keys..., term, tf) from each document's filtered tokens."""
-    t = docs.select(*keys, filtered_tokens(F.col(text_col)).alias("_f"))
-    e = t.select(*keys, F.explode_outer("_f").alias("term")).filter(F.col("term").isNotNull())
-    return e.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return _tokens(docs, keys, text_col).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 @dataclass
 class NaiveBayesModel:
-    labels: list
-    priors: DataFrame      # (model.., label, n_docs, total_terms, log_prior, log_denom)
+    priors: DataFrame      # (model.., label, n_docs, total_terms, num_features, log_prior, log_denom)
     theta: DataFrame       # (model.., label, term, count, log_theta) observed pairs
     vocabulary: DataFrame  # (model.., term, count)
     model_cols: list
     smoothing: float
-    n_models: int
-    counts: DataFrame | None = None  # persisted (model.., label, term, count)
+    counts: DataFrame      # persisted (model.., label, term, count)
 
     def unpersist(self) -> None:
-        if self.counts is not None:
-            self.counts.unpersist()
-
-
-def class_labels(docs: DataFrame, label_col: str) -> list:
-    labels = [r[0] for r in docs.select(label_col).distinct().limit(MAX_CLASSES + 1).collect()]
-    if len(labels) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    return sorted(labels)
+        self.counts.unpersist()
 
 
-def fit(docs: DataFrame, label_col: str = "label", text_col: str = "text", id_col: str = "doc_id",
+def fit(docs: DataFrame, label_col: str = "label", text_col: str = "text",
         model_col: str | None = None, smoothing: float = 1.0) -> NaiveBayesModel:
-    """N7+N9: train on (id, label, text[, model]) rows."""
+    """N7+N9: train on (label, text[, model]) rows."""
     m = [model_col] if model_col else []
-    d = ensure_parallel(docs.select(*m, id_col, F.col(label_col).alias("label"), text_col), id_col)
-    labels = class_labels(d, "label")
-    n_models = d.select(*m).distinct().count() if m else 1
-    tf = term_frequencies(d, m + [id_col, "label"], text_col)
-    ct = tf.groupBy(*m, "label", "term").agg(F.sum("tf").alias("count"))
+    d = docs.select(*m, F.col(label_col).alias("label"), F.col(text_col).alias("text"))
+    ct = _tokens(d, m + ["label"], "text").groupBy(*m, "label", "term").agg(F.count(F.lit(1)).alias("count"))
     ndocs = d.groupBy(*m, "label").agg(F.count(F.lit(1)).alias("n_docs"))
-    return fit_counts(ct, ndocs, labels, m, n_models, smoothing)
+    return fit_counts(ct, ndocs, m, smoothing)
 
 
-def fit_counts(ct: DataFrame, ndocs: DataFrame, labels: list, m: list, n_models: int,
-               smoothing: float = 1.0) -> NaiveBayesModel:
+def fit_counts(ct: DataFrame, ndocs: DataFrame, m: list, smoothing: float = 1.0) -> NaiveBayesModel:
     """Model from aggregated counts: ``ct`` (model.., label, term, count) and
     ``ndocs`` (model.., label, n_docs)."""
     lam = float(smoothing)
+    if not lam > 0:
+        raise ValueError("smoothing must be above 0")
     # the count table is the model (classes x vocabulary rows, much smaller
     # than the corpus); every model table below reads it, so keep it
     ct = ct.persist()
@@ -108,9 +99,8 @@ def fit_counts(ct: DataFrame, ndocs: DataFrame, labels: list, m: list, n_models:
     per_model = ndocs.groupBy(*m).agg(F.sum("n_docs").alias("N"), F.count(F.lit(1)).alias("K"))
     on = m + ["label"]
     pri = ndocs.join(totals, on, "left")
-    if m:  # one row per model: bounded by the model count
-        pri = pri.join(broadcast_if_bounded(per_model, n_models), m, "left") \
-            .join(broadcast_if_bounded(v_size, n_models), m, "left")
+    if m:
+        pri = pri.join(per_model, m, "left").join(v_size, m, "left")
     else:  # a single model: N, K and V are scalar subqueries (no action, no join)
         pri = pri.select("*", per_model.select("N").scalar().alias("N"), per_model.select("K").scalar().alias("K"),
                          v_size.select("V").scalar().alias("V"))
@@ -119,47 +109,67 @@ def fit_counts(ct: DataFrame, ndocs: DataFrame, labels: list, m: list, n_models:
         (F.log(F.col("n_docs") + lam) - F.log(F.col("N") + F.col("K") * lam)).alias("log_prior"),
         F.log(F.coalesce("total_terms", F.lit(0)) + F.coalesce("V", F.lit(0)) * lam).alias("log_denom"),
         F.coalesce("V", F.lit(0)).cast("bigint").alias("num_features"))
-    bound = len(labels) * n_models
-    theta = ct.join(broadcast_if_bounded(priors.select(*on, "log_denom"), bound), on).select(
+    theta = ct.join(priors.select(*on, "log_denom"), on).select(
         *m, "label", "term", "count", (F.log(F.col("count") + lam) - F.col("log_denom")).alias("log_theta"))
-    return NaiveBayesModel(labels, priors, theta, vocab, m, lam, n_models, ct)
+    return NaiveBayesModel(priors, theta, vocab, m, lam, ct)
 
 
 def predict(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(model.., id, prediction, probability) for every input document;
     ties go to the smallest label, as Spark ML's argmax does; probability
     is that of the predicted class."""
-    m = model.model_cols
-    d = ensure_parallel(docs.select(*m, id_col, text_col), id_col)
-    return predict_tf(model, term_frequencies(d, m + [id_col], text_col), d.select(*m, id_col), id_col)
-
-
-def predict_tf(model: NaiveBayesModel, tf: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Prediction from term frequencies ``tf`` (model.., id, term, tf) for
-    the documents ``ids`` (model.., id) — documents without any known term
-    get the class with the largest prior."""
-    m = model.model_cols
-    lam = model.smoothing
-    per_term = model.theta.groupBy(*m, "term").agg(
-        F.collect_list(F.struct("label", F.log(F.col("count") + lam).alias("lc"))).alias("cl"))
-    hit = tf.join(per_term, m + ["term"])
-    n_voc = hit.groupBy(*m, id_col).agg(F.sum("tf").alias("n"))
-    sparse = hit.select(*m, id_col, "tf", F.explode("cl").alias("c")) \
-        .groupBy(*m, id_col, F.col("c.label").alias("label")).agg(F.sum(F.col("tf") * F.col("c.lc")).alias("s"))
-    classes = F.array(*[F.lit(x) for x in model.labels])
-    base = ids.join(n_voc, m + [id_col], "left") \
-        .select(*m, id_col, F.coalesce("n", F.lit(0)).alias("n"), F.explode(classes).alias("label"))
-    pri = broadcast_if_bounded(model.priors.select(*m, "label", "log_prior", "log_denom"),
-                               len(model.labels) * model.n_models)
-    scored = base.join(pri, m + ["label"]).join(sparse, m + [id_col, "label"], "left") \
-        .select(*m, id_col, "label",
-                (F.col("log_prior") - F.col("n") * F.col("log_denom") + F.coalesce("s", F.lit(0.0))).alias("score"))
-    # per document: the best (score, label) and its K scores (K is bounded)
-    best = scored.groupBy(*m, id_col).agg(F.max(F.struct("score", (-F.col("label")).alias("neg"))).alias("b"),
-                                         F.collect_list("score").alias("ss"))
+    return winners(model, _class_scores(model, *_with_tf(model, docs, id_col, text_col), id_col), id_col)
+
+
+def predict_all(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """N11 in full: (model.., id, label, score, probability), a row per document
+    and class — Spark ML's rawPrediction and probability vectors in long form."""
+    s = _class_scores(model, *_with_tf(model, docs, id_col, text_col), id_col)
+    s = s.select(*model.model_cols, id_col, "scores", F.array_max(F.transform("scores", lambda x: x["score"])).alias("top"))
+    s = s.withColumn("norm", F.aggregate("scores", F.lit(0.0), lambda acc, x: acc + F.exp(x["score"] - F.col("top"))))
+    s = s.select(*model.model_cols, id_col, "top", "norm", F.explode("scores").alias("s"))
+    return s.select(*model.model_cols, id_col, "s.label", "s.score",
+                    (F.exp(F.col("s.score") - F.col("top")) / F.col("norm")).alias("probability"))
+
+
+def _with_tf(model, docs, id_col, text_col):
+    d = docs.select(*model.model_cols, id_col, text_col)
+    return term_frequencies(d, model.model_cols + [id_col], text_col), d.select(*model.model_cols, id_col)
+
+
+def _class_scores(model: NaiveBayesModel, tf: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """(model.., id, scores): for each of ``ids`` an array of (label, score) in
+    label order, from term frequencies ``tf`` (model.., id, term, tf)."""
+    m, lam = model.model_cols, model.smoothing
+    key = m + [id_col]
+    none = F.struct(F.lit(None).cast(model.counts.schema["label"].dataType).alias("label"), F.lit(1.0).alias("w"))
+    of_term = F.struct("label", (F.log(F.col("count") + lam) - F.log(F.lit(lam))).alias("w"))
+    per_term = model.counts.groupBy(*m, "term").agg(F.collect_list(of_term).alias("cl"))
+    # the entry without a label counts the vocabulary tokens in the same grouping
+    hit = tf.join(per_term, m + ["term"]).select(*key, "tf", F.explode(F.concat("cl", F.array(none))).alias("c"))
+    sums = hit.groupBy(*key, F.col("c.label").alias("label")).agg(F.sum(F.col("tf") * F.col("c.w")).alias("s"))
+    per_doc = sums.groupBy(*key).agg(F.max(F.when(F.col("label").isNull(), F.col("s"))).alias("n"),
+                                     F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "s"))).alias("seen"))
+    classes = F.array_sort(F.collect_list(F.struct("label", "log_prior", "log_denom"))).alias("classes")
+    d = ids.join(per_doc, key, "left")
+    if m:
+        d = d.join(model.priors.groupBy(*m).agg(classes), m)
+    else:
+        d = d.select("*", model.priors.agg(classes).select("classes").scalar().alias("classes"))
+    got = F.map_from_entries(F.coalesce("seen", F.array().cast("array<struct<label:" + model.counts.schema["label"].dataType.simpleString() + ",s:double>>")))
+    d = d.withColumn("got", got)
+    score = lambda c: (c["log_prior"] + F.coalesce("n", F.lit(0.0)) * (F.log(F.lit(lam)) - c["log_denom"])
+                       + F.coalesce(F.element_at("got", c["label"]), F.lit(0.0)))
+    return d.select(*key, F.transform("classes", lambda c: F.struct(c["label"].alias("label"), score(c).alias("score"))).alias("scores"))
+
+
+def winners(model: NaiveBayesModel, scores: DataFrame, id_col: str) -> DataFrame:
+    """The best class of each document (the first in label order of equal ones)."""
+    s = scores.withColumn("top", F.array_max(F.transform("scores", lambda x: x["score"])))
+    best = F.get(F.filter("scores", lambda x: x["score"] == F.col("top")), 0)["label"]
     # softmax of the class scores, as Spark ML's probability column
-    norm = F.aggregate("ss", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("b.score")))
-    return best.select(*m, id_col, (-F.col("b.neg")).alias("prediction"), (F.lit(1.0) / norm).alias("probability"))
+    norm = F.aggregate("scores", F.lit(0.0), lambda acc, x: acc + F.exp(x["score"] - F.col("top")))
+    return s.select(*model.model_cols, id_col, best.alias("prediction"), (F.lit(1.0) / norm).alias("probability"))
 
 
 def cross_validate(docs: DataFrame, folds: int = 5, fold_col: str = "fold", label_col: str = "label",
@@ -172,9 +182,7 @@ def cross_validate(docs: DataFrame, folds: int = 5, fold_col: str = "fold", labe
     models it belongs to — the copies are of counts, not of documents. All
     k models are fitted together (model key = held-out fold) and each
     document is scored by the model that did not see it."""
-    d = ensure_parallel(docs.select(id_col, F.col(fold_col).cast("int").alias("fold"),
-                                    F.col(label_col).alias("label"), text_col), id_col)
-    labels = class_labels(d, "label")
+    d = docs.select(id_col, F.col(fold_col).cast("int").alias("fold"), F.col(label_col).alias("label"), text_col)
     others = F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda h: h != F.col("fold"))
     tf = term_frequencies(d, [id_col, "fold", "label"], text_col)
     ct = tf.groupBy("fold", "label", "term").agg(F.sum("tf").alias("count")) \
@@ -183,9 +191,10 @@ def cross_validate(docs: DataFrame, folds: int = 5, fold_col: str = "fold", labe
     nd = d.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n_docs")) \
         .select(F.explode(others).alias("model"), "label", "n_docs") \
         .groupBy("model", "label").agg(F.sum("n_docs").alias("n_docs"))
-    model = fit_counts(ct, nd, labels, ["model"], folds, smoothing)
+    model = fit_counts(ct, nd, ["model"], smoothing)
     test_tf = tf.select(F.col("fold").alias("model"), id_col, "term", "tf")
-    pred = predict_tf(model, test_tf, d.select(F.col("fold").alias("model"), id_col), id_col)
+    scores = _class_scores(model, test_tf, d.select(F.col("fold").alias("model"), id_col), id_col)
+    pred = winners(model, scores, id_col)
     return pred.join(d.select(id_col, "label"), id_col).select(
         id_col, F.col("model").alias(fold_col), "label", "prediction")
 

@@ -8,8 +8,10 @@ Scale notes
 -----------
 * Item and pair counts are ``groupBy().agg(count)``: partial aggregation
   runs map-side, so a hot item costs one row per map task in the shuffle.
-* The only values reaching the driver are scalars (N, the threshold, a
-  size bound) — never item lists.
+* The only values reaching the driver are scalars (N, the threshold) —
+  never item lists. No join is forced: Spark picks it by measured bytes.
+* An accepted basket without items is a row with a NULL item: it counts in
+  N, and in nothing else.
 * Candidate pairs come from a self-join on the basket restricted to
   frequent items. With threshold ``t = ceil(s*N)`` there are at most
   ``occurrences / t`` frequent items (each has >= t occurrences), so a
@@ -25,13 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sets import support_threshold
-from ..plans.joins import broadcast_if_bounded
 
 
-def basket_stats(baskets: DataFrame, basket_col: str = "basket") -> tuple[int, int]:
-    """(N distinct baskets, item occurrences) in one aggregation job."""
-    row = baskets.agg(F.count_distinct(basket_col).alias("n"), F.count(F.lit(1)).alias("occ")).first()
-    return int(row["n"]), int(row["occ"])
+def basket_total(baskets: DataFrame, basket_col: str = "basket") -> int:
+    """A2: N, the distinct baskets, empty ones too."""
+    return int(baskets.agg(F.count_distinct(basket_col)).first()[0])
 
 
 def item_counts(baskets: DataFrame, item_col: str = "item", basket_col: str = "basket",
@@ -40,9 +40,9 @@ def item_counts(baskets: DataFrame, item_col: str = "item", basket_col: str = "b
     the reference does; ``basket`` counts each basket once. ``sort`` orders
     the result by item (a range-partitioned sort, as the reference's
     sortByKey)."""
-    src = baskets
+    src = baskets.filter(F.col(item_col).isNotNull())
     if mode == "basket":
-        src = baskets.select(basket_col, item_col).distinct()
+        src = src.select(basket_col, item_col).distinct()
     elif mode != "occurrence":
         raise ValueError(f"unknown count mode {mode!r}")
     out = src.groupBy(F.col(item_col).alias("item")).agg(F.count(F.lit(1)).alias("n"))
@@ -60,13 +60,12 @@ def item_table(counts: DataFrame, threshold: int) -> DataFrame:
                          .otherwise(F.lit(0).cast("bigint")).alias("n"))
 
 
-def candidate_pair_counts(baskets: DataFrame, frequent: DataFrame, max_frequent: int,
+def candidate_pair_counts(baskets: DataFrame, frequent: DataFrame,
                           item_col: str = "item", basket_col: str = "basket") -> DataFrame:
     """(item_a, item_b, n) for item_a < item_b, both frequent, n =
-    baskets holding both. ``max_frequent`` is a proven bound on the rows of
-    ``frequent`` (decides the broadcast)."""
+    baskets holding both."""
     b = baskets.select(F.col(basket_col).alias("basket"), F.col(item_col).alias("item")).distinct()
-    b = b.join(broadcast_if_bounded(frequent.select("item"), max_frequent), "item", "left_semi")
+    b = b.join(frequent.select("item"), "item", "left_semi")
     x, y = b.alias("x"), b.alias("y")
     pairs = x.join(y, (F.col("x.basket") == F.col("y.basket")) & (F.col("x.item") < F.col("y.item")))
     return pairs.groupBy(F.col("x.item").alias("item_a"), F.col("y.item").alias("item_b")) \
@@ -82,8 +81,7 @@ def frequent_pairs(pair_counts: DataFrame, threshold: int) -> DataFrame:
 class Apriori:
     """Both A-priori passes over long-form baskets, lazily.
 
-    Only the scalars ``n_baskets``, ``occurrences`` and ``threshold`` are
-    computed eagerly (one aggregation job, which also fills the persisted
+    Only the scalars ``n_baskets`` and ``threshold`` are computed eagerly (one aggregation job, which also fills the persisted
     basket table both passes read; ``unpersist()`` releases it)."""
 
     baskets: DataFrame
@@ -98,10 +96,8 @@ class Apriori:
         # long table (spills to disk when large; recomputed if an executor is lost)
         if self.persist:
             self.baskets = self.baskets.select(self.basket_col, self.item_col).persist()
-        self.n_baskets, self.occurrences = basket_stats(self.baskets, self.basket_col)
+        self.n_baskets = basket_total(self.baskets, self.basket_col)
         self.threshold = support_threshold(self.support, self.n_baskets)
-        # every frequent item has >= threshold occurrences
-        self.max_frequent = self.occurrences // max(self.threshold, 1)
 
     def unpersist(self) -> None:
         self.baskets.unpersist()
@@ -120,51 +116,70 @@ class Apriori:
 
     @property
     def candidate_pairs(self) -> DataFrame:
-        return candidate_pair_counts(self.baskets, self.frequent_items, self.max_frequent,
-                                     self.item_col, self.basket_col)
+        return candidate_pair_counts(self.baskets, self.frequent_items, self.item_col, self.basket_col)
 
     @property
     def frequent_pairs(self) -> DataFrame:
         return frequent_pairs(self.candidate_pairs, self.threshold)
 
 
-def transactions(baskets: DataFrame, min_support: float | None = None, item_col: str = "item",
+def transactions(baskets: DataFrame, threshold: int | None = None, item_col: str = "item",
                  basket_col: str = "basket") -> DataFrame:
     """(basket, items array) with distinct items per basket.
 
-    With ``min_support`` set, items below it are dropped first (they cannot
-    be in any frequent itemset), so every array is bounded by the number of
-    frequent items; baskets left empty stay as empty arrays so the basket
-    total — and therefore FP-growth's own threshold — is unchanged.
+    With ``threshold`` set, items in fewer baskets are dropped first (they
+    cannot be in any frequent itemset), so every array is bounded by the
+    number of frequent items; baskets left empty stay as empty arrays so the
+    basket total — and therefore FP-growth's own threshold — is unchanged.
     """
     b = baskets.select(F.col(basket_col).alias("basket"), F.col(item_col).alias("item")).distinct()
-    if min_support is not None:
-        b = b.persist()  # read by the statistics job and by the grouping
-        n, occ = basket_stats(b, "basket")
-        t = support_threshold(min_support, n)
-        freq = b.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= t).select(
+    item = F.col("item")
+    if threshold is not None:
+        freq = b.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= threshold).select(
             "item", F.lit(True).alias("keep"))
-        b = b.join(broadcast_if_bounded(freq, occ // max(t, 1)), "item", "left")
+        b = b.join(freq, "item", "left")
         item = F.when(F.col("keep"), F.col("item"))
-    else:
-        item = F.col("item")
     return b.groupBy("basket").agg(F.collect_set(item).alias("items"))
 
 
-def fpgrowth(baskets: DataFrame, min_support: float = 0.2, min_confidence: float = 0.8,
-             num_partitions: int | None = 10, item_col: str = "item", basket_col: str = "basket"):
-    """Spark ML FP-growth over pruned transactions; returns the model
-    (``freqItemsets``: items, freq; ``associationRules``: antecedent,
-    consequent, confidence, lift, support)."""
-    from pyspark.ml.fpm import FPGrowth
-
-    # FP-growth runs several jobs over its input (count, frequent items,
-    # tree growth): keep the pruned transactions instead of re-deriving them
-    tx = transactions(baskets, min_support, item_col, basket_col).persist()
-    fp = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
-    if num_partitions:
-        fp = fp.setNumPartitions(num_partitions)
-    return fp.fit(tx)
+@dataclass
+class FrequentSets:
+    """Spark ML FP-growth over pruned transactions, fitted when made.
+
+    ``itemsets``: items, freq; ``rules``: antecedent, consequent, confidence,
+    lift, support. ``unpersist()`` releases the tables its jobs share."""
+
+    baskets: DataFrame
+    min_support: float = 0.2
+    min_confidence: float = 0.8
+    num_partitions: int | None = 10
+    item_col: str = "item"
+    basket_col: str = "basket"
+
+    def __post_init__(self):
+        from pyspark.ml.fpm import FPGrowth
+
+        # the statistics, the pruning and FP-growth's own jobs (count, items,
+        # trees) read these: kept instead of derived again
+        self.baskets = self.baskets.select(self.basket_col, self.item_col).persist()
+        threshold = support_threshold(self.min_support, basket_total(self.baskets, self.basket_col))
+        self.transactions = transactions(self.baskets, threshold, self.item_col, self.basket_col).persist()
+        fp = FPGrowth(itemsCol="items", minSupport=self.min_support, minConfidence=self.min_confidence)
+        if self.num_partitions:
+            fp = fp.setNumPartitions(self.num_partitions)
+        self.model = fp.fit(self.transactions)
+
+    @property
+    def itemsets(self) -> DataFrame:
+        return self.model.freqItemsets
+
+    @property
+    def rules(self) -> DataFrame:
+        return self.model.associationRules
+
+    def unpersist(self) -> None:
+        self.transactions.unpersist()
+        self.baskets.unpersist()
 
 
 def sorted_joined(col: str, sep: str = ",") -> F.Column:

@@ -12,14 +12,14 @@ Scale design
 * Edges are deduplicated once and joined with the out-degree once; the
   weighted edge table is loop-invariant, hash-partitioned on
   ``(src, salt)`` and cached, so rounds never reshuffle edges.
-* Hub pages are salted: a page with d out-links gets
-  ``ceil(d / edges_per_slice)`` salts and its edges are spread over them
-  by a hash of the destination, so one page's edges never form one task.
-  The rank vector is replicated once per salt of its page (sum over pages
-  of salts ~ pages + edges/edges_per_slice rows).
-* The per-page salt count travels with the contributions, so a round is
-  exactly: join (ranks x cached edges, co-partitioned) -> partial+final
-  sum by destination. Hot destinations are combined map-side.
+* Hub pages are salted: the edges of a page with d > ``edges_per_slice``
+  out-links are spread over ``ceil(d / edges_per_slice)`` salts by a hash of
+  the destination, so one page's edges never form one task. The hub table
+  (at most edges / edges_per_slice rows) is joined to the edges at build and
+  to the rank vector in each round; other pages have salt 0.
+* A round is: ranks x hub table -> join with the cached, co-partitioned
+  edges -> partial and final sum by destination. Hot destinations are
+  combined map-side.
 * Every ``checkpoint_every`` rounds the vector is written to the reliable
   checkpoint folder, which bounds plan size and recomputation after an
   executor loss.
@@ -67,23 +67,24 @@ class LinkGraph:
     partitions: int | None = None
 
     def __post_init__(self):
-        e = self.edges
-        deg = out_degree(e)
-        n_salt = F.greatest(F.lit(1), F.ceil(F.col("out_degree") / F.lit(float(self.edges_per_slice)))).cast("int")
-        # one row per page with out-links: read by the edge build and by the
-        # initial vector, so kept rather than derived from the edges twice
-        nodes = deg.select("src", "out_degree", n_salt.alias("n_salt")).cache()
-        # destination salt count travels with each edge (sinks get 1)
-        dst_salt = nodes.select(F.col("src").alias("dst"), F.col("n_salt").alias("dst_salt"))
-        w = e.join(nodes, "src").join(dst_salt, "dst", "left") \
-            .select("src", "dst", F.col("out_degree").cast("double").alias("out_degree"),
-                    F.pmod(F.xxhash64("dst"), F.col("n_salt")).cast("int").alias("salt"),
-                    F.coalesce("dst_salt", F.lit(1)).alias("dst_salt"))
-        parts = self.partitions or int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        self.weighted = w.repartition(parts, "src", "salt").cache()
-        self.nodes = nodes
+        # one row per page with out-links, kept: the edge build, the hub table and
+        # the initial vector read it
+        self.nodes = out_degree(self.edges).cache()
+        n_salt = F.ceil(F.col("out_degree") / F.lit(float(self.edges_per_slice))).cast("int")
+        self.hubs = self.nodes.withColumn("n_salt", n_salt).filter("n_salt > 1").select("src", "n_salt")
+        salt = F.pmod(F.xxhash64("dst"), F.coalesce("n_salt", F.lit(1))).cast("int")
+        parts = self.partitions or int(self.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        e = self.edges.join(self.hubs, "src", "left").select("src", "dst", salt.alias("salt")) \
+            .repartition(parts, "src", "salt")
+        degrees = self._salted(self.nodes.select("src", F.col("out_degree").cast("double").alias("out_degree")))
+        self.weighted = e.join(degrees, ["src", "salt"]).cache()
         # Pages with out-links = rows of the cached per-page table
-        self.n_pages = nodes.count()
+        self.n_pages = self.nodes.count()
+
+    def _salted(self, pages: DataFrame) -> DataFrame:
+        """One row of ``pages`` (src, ...) for each salt of its page."""
+        salts = F.sequence(F.lit(0), F.coalesce("n_salt", F.lit(1)) - 1)
+        return pages.join(self.hubs, "src", "left").withColumn("salt", F.explode(salts)).drop("n_salt")
 
     def unpersist(self) -> None:
         """Release the cached tables (after the result has been used)."""
@@ -91,24 +92,17 @@ class LinkGraph:
         self.nodes.unpersist()
 
     def initial(self) -> DataFrame:
-        """Initial vector with each page's salt count: (id, rank, n_salt)."""
-        return self.nodes.select(F.col("src").alias("id"),
-                                 (F.lit(1.0) / F.lit(float(self.n_pages))).alias("rank"), "n_salt")
+        """Initial vector: (id, rank)."""
+        return initial_ranks(self.nodes, self.n_pages)
 
     def step(self, ranks: DataFrame, damping: float | None = None) -> DataFrame:
-        """One round: (id, rank, n_salt) -> (id, rank, n_salt)."""
-        salted = ranks.select(F.col("id").alias("src"), "rank",
-                              F.explode(F.sequence(F.lit(0), F.col("n_salt") - 1)).alias("salt"))
-        # hash join built on the (small) salted rank side; the cached edges
-        # keep their partitioning and are neither shuffled nor sorted
-        joined = self.weighted.join(salted.hint("shuffle_hash"), ["src", "salt"])
-        got = joined.groupBy(F.col("dst").alias("id")).agg(
-            F.sum(F.col("rank") / F.col("out_degree")).alias("rank"),
-            F.max("dst_salt").alias("n_salt"))
+        """One round: (id, rank) -> (id, rank)."""
+        salted = self._salted(ranks.select(F.col("id").alias("src"), "rank"))
+        joined = self.weighted.join(salted, ["src", "salt"])
+        got = joined.groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") / F.col("out_degree")).alias("rank"))
         if damping is not None:
             b = float(damping)
-            got = got.select("id", (F.lit((1.0 - b) / self.n_pages) + F.lit(b) * F.col("rank")).alias("rank"),
-                             "n_salt")
+            got = got.select("id", (F.lit((1.0 - b) / self.n_pages) + F.lit(b) * F.col("rank")).alias("rank"))
         return got
 
     def run(self, iterations: int = 10, damping: float | None = None,
@@ -119,7 +113,7 @@ class LinkGraph:
             r = self.step(r, damping)
             if checkpoint_every and i % checkpoint_every == 0 and i < iterations:
                 r = cut_lineage(r)
-        return r.select("id", "rank")
+        return r
 
 
 def pagerank(edges: DataFrame, iterations: int = 10, damping: float | None = None,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import itemsets as its
@@ -19,6 +20,7 @@ from ..operators import similarity as sim
 from ..operators import bayes as nb
 from ..sources import parse as ps
 from ..sources import tables as tb
+from ..sources import text as tx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +30,8 @@ TYPE_SUPPORT = 0.24       # A8 on type baskets: hits a pair exactly at the thres
 FP_SUPPORT = 0.12         # F2 on type baskets: singles, pairs and triples
 RULE_SUPPORT = 0.02       # F3 on brand baskets
 RULE_CONFIDENCE = 0.15
+SUPPLIER_SUPPORT = 0.002  # pairs of suppliers in order lines, 15,000 baskets: 30
+PART_SUPPORT = 0.002      # parts: a wide item range, about half of it pruned
 
 
 # ---------------------------------------------------------------- itemsets
@@ -51,6 +55,27 @@ def q_apriori_candidate_pairs(spark, sf):
     return _brand_apriori(spark, sf).candidate_pairs
 
 
+def _repeated(spark, sf):
+    """Baskets with repeats: counts are of occurrences, N of baskets."""
+    return its.Apriori(tb.raw_baskets(spark, sf, "p_brand"), support=BRAND_SUPPORT)
+
+
+def q_apriori_repeat_frequent_items(spark, sf):
+    return _repeated(spark, sf).frequent_items
+
+
+def q_apriori_repeat_item_table(spark, sf):
+    return _repeated(spark, sf).item_table
+
+
+def q_apriori_repeat_candidate_pairs(spark, sf):
+    return _repeated(spark, sf).candidate_pairs
+
+
+def q_apriori_repeat_frequent_pairs(spark, sf):
+    return _repeated(spark, sf).frequent_pairs
+
+
 def q_apriori_frequent_pairs(spark, sf):
     return its.Apriori(tb.baskets(spark, sf, "p_type"), support=TYPE_SUPPORT).frequent_pairs
 
@@ -62,16 +87,18 @@ def _fp_partitions(spark) -> int:
 
 
 def q_fpgrowth_itemsets(spark, sf):
-    model = its.fpgrowth(tb.baskets(spark, sf, "p_type"), min_support=FP_SUPPORT,
-                         num_partitions=_fp_partitions(spark))
-    return model.freqItemsets.select(its.sorted_joined("items").alias("items"),
-                                     F.size("items").alias("size"), F.col("freq").cast("bigint").alias("freq"))
+    return _itemsets(its.FrequentSets(tb.baskets(spark, sf, "p_type"), FP_SUPPORT, num_partitions=_fp_partitions(spark)))
+
+
+def _itemsets(found):
+    return found.itemsets.select(its.sorted_joined("items").alias("items"),
+                                 F.size("items").alias("size"), F.col("freq").cast("bigint").alias("freq"))
 
 
 def q_association_rules(spark, sf):
-    model = its.fpgrowth(tb.baskets(spark, sf, "p_brand"), min_support=RULE_SUPPORT,
-                         min_confidence=RULE_CONFIDENCE, num_partitions=_fp_partitions(spark))
-    return model.associationRules.select(
+    found = its.FrequentSets(tb.baskets(spark, sf, "p_brand"), RULE_SUPPORT, RULE_CONFIDENCE,
+                             num_partitions=_fp_partitions(spark))
+    return found.rules.select(
         its.sorted_joined("antecedent").alias("antecedent"),
         its.sorted_joined("consequent").alias("consequent"),
         F.round("confidence", 6).alias("confidence"),
@@ -154,8 +181,7 @@ def q_characteristic_matrix(spark, sf):
 
 
 def q_doc_copy_groups(spark, sf):
-    sets = _sets(spark, sf)
-    return sim.copy_members(sets, sim.copy_groups(sets))
+    return sim.copy_members(sim.hashed_sets(_sets(spark, sf)))
 
 
 def _sim6(df: DataFrame) -> DataFrame:
@@ -170,6 +196,10 @@ def q_jaccard_similar_pairs_05(spark, sf):
     return _sim6(sim.similar_pairs(_sets(spark, sf), SIM_THRESHOLD_LOW))
 
 
+def q_doc_similar_groups(spark, sf):
+    return sim.similar_groups(_sets(spark, sf), SIM_THRESHOLD)
+
+
 def q_minhash_similar_pairs(spark, sf):
     return _sim6(sim.minhash_similar_pairs(_sets(spark, sf), SIM_THRESHOLD))
 
@@ -212,6 +242,15 @@ def q_nb_predictions(spark, sf):
     return p.withColumn("probability", F.round("probability", 6))
 
 
+NB_SMOOTHING = 0.1
+
+
+def q_nb_predictions_smooth(spark, sf):
+    p = nb.predict_all(nb.fit(_labelled(spark, sf), smoothing=NB_SMOOTHING), tb.documents(spark, sf))
+    # a score is the sum of thousands of logarithms: rounded to what any order of summing keeps
+    return p.withColumn("score", F.round("score", 4)).withColumn("probability", F.round("probability", 6))
+
+
 def _cv(spark, sf):
     d = _labelled(spark, sf).withColumn("fold", F.pmod(F.col("doc_id"), F.lit(NB_FOLDS)).cast("int"))
     return nb.cross_validate(d, NB_FOLDS)
@@ -228,9 +267,10 @@ def q_nb_accuracy(spark, sf):
 # ---------------------------------------------------------------- parsers
 def q_basket_parse(spark, sf):
     # one basket line per lineitem row; line number 7 gives "{}" and the first
-    # line of a returned order a non-integer token: both must be rejected
+    # line of a returned order a non-integer token: both must be rejected;
+    # number 6 gives "{,}", a basket without items
     li = tb.table(spark, sf, "lineitem")
-    line = F.when(F.col("l_linenumber") == 7, F.lit("{}")).when(
+    line = F.when(F.col("l_linenumber") == 7, F.lit("{}")).when(F.col("l_linenumber") == 6, F.lit("{,}")).when(
         (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1),
         F.concat(F.lit("{"), F.col("l_partkey").cast("string"), F.lit(","), F.col("l_returnflag"), F.lit("}"))
     ).otherwise(F.concat(F.lit("{"), F.col("l_partkey").cast("string"), F.lit(", "),
@@ -242,27 +282,40 @@ def q_basket_parse(spark, sf):
 
 
 def q_transaction_parse(spark, sf):
-    part = tb.table(spark, sf, "part").select("p_partkey", "p_name")
-    p = ps.parse_transactions(part, "p_name")
+    # names with a leading space (an empty first item) for odd sizes, and two at the end
+    part = tb.table(spark, sf, "part").select("p_partkey", F.concat(
+        F.when(F.col("p_size") % 2 == 1, F.lit(" ")).otherwise(F.lit("")), F.col("p_name"), F.lit("  ")).alias("line"))
+    p = ps.parse_transactions(part, "line")
     return p.select(F.col("p_partkey").alias("basket"), its.sorted_joined("items").alias("items"),
                     F.size("items").alias("n_items"), "ok")
 
 
 def q_link_parse(spark, sf):
-    # one link line per lineitem row; line number 7 has a single token (reject)
+    p = ps.parse_links(_link_lines(spark, sf))
+    return p.select("src", "dst", "ok")
+
+
+def _link_lines(spark, sf):
+    """One link line per lineitem row; number 7 has a single token and number 6
+    a token and a space (both rejects), number 5 a space too many at the end."""
     li = tb.table(spark, sf, "lineitem")
     src = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
-    line = F.when(F.col("l_linenumber") == 7, src).otherwise(
-        F.concat(src, F.lit(" s"), F.col("l_suppkey").cast("string")))
-    p = ps.parse_links(li.select(line.alias("value")))
-    return p.select("src", "dst", "ok")
+    both = F.concat(src, F.lit(" s"), F.col("l_suppkey").cast("string"))
+    number = F.col("l_linenumber")
+    line = F.when(number == 7, src).when(number == 6, F.concat(src, F.lit(" "))).when(
+        number == 5, F.concat(both, F.lit(" "))).otherwise(both)
+    return li.select(line.alias("value"))
 
 
 def _category_lines(spark, sf):
-    """``name index`` lines for the languages, index in name order."""
+    """``name index`` lines for the languages: each first with a wrong index, and
+    in the last lines with its place in name order."""
     langs = tb.table(spark, sf, "documents").select(F.col("lang").alias("category")).distinct()
-    idx = sim.dense_index(langs, "category", "label")
-    return idx.select(F.concat("category", F.lit(" "), F.col("label").cast("string")).alias("value"))
+    idx = langs.select("category", (F.rank().over(Window.orderBy("category")) - 1).alias("label"))  # a row per language
+    lines = idx.select("category", "label", F.explode(F.array(F.lit(0), F.lit(1))).alias("nth"))
+    index = F.when(F.col("nth") == 0, F.col("label") + 90).otherwise(F.col("label"))
+    return lines.select(F.concat("category", F.lit(" "), index.cast("string")).alias("value"), "nth") \
+        .orderBy("nth", "value").select("value")
 
 
 def q_labelled_doc_parse(spark, sf):
@@ -273,7 +326,69 @@ def q_labelled_doc_parse(spark, sf):
     return p.select("doc_id", "category", "label", "content", "ok")
 
 
+# ---------------------------------------------------------------- from text lines to results
+def _order_lines(spark, sf, key):
+    """``{a,b,...}``: each order's values of ``key``, repeats too; ``{,}`` for an order without lines."""
+    li = tb.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.array_join(F.sort_array(F.collect_list(F.col(key).cast("string"))), ",").alias("items"))  # an order has few lines
+    orders = tb.table(spark, sf, "orders").select("o_orderkey")
+    d = orders.join(li, orders.o_orderkey == li.l_orderkey, "left")
+    return d.select(F.concat(F.lit("{"), F.coalesce("items", F.lit(",")), F.lit("}")).alias("value"))
+
+
+def q_apriori_text_pairs(spark, sf):
+    baskets, _ = ps.basket_table(_order_lines(spark, sf, "l_suppkey"))
+    return its.Apriori(baskets, support=SUPPLIER_SUPPORT).frequent_pairs
+
+
+def q_apriori_text_items(spark, sf):
+    baskets, _ = ps.basket_table(_order_lines(spark, sf, "l_partkey"))
+    return its.Apriori(baskets, support=PART_SUPPORT).item_table
+
+
+def q_fpgrowth_text_itemsets(spark, sf):
+    part = tb.table(spark, sf, "part").select("p_partkey", "p_type")
+    li = tb.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    lines = li.join(part, li.l_partkey == part.p_partkey).groupBy("l_orderkey").agg(
+        F.concat(F.array_join(F.sort_array(F.collect_list("p_type")), " "), F.lit(" ")).alias("value"))
+    baskets, _ = ps.transaction_table(lines.select("value"))
+    return _itemsets(its.FrequentSets(baskets, FP_SUPPORT, num_partitions=_fp_partitions(spark)))
+
+
+def q_pagerank_text(spark, sf):
+    edges, _ = ps.edge_table(_link_lines(spark, sf))
+    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    return _rank9(rk.pagerank(edges.union(back), RANK_ROUNDS))
+
+
+def q_nb_text_predictions(spark, sf):
+    cats, _ = ps.split_rejects(ps.parse_categories(_category_lines(spark, sf)))
+    docs = tb.spread(tb.table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
+    lines = docs.select("doc_id", F.concat(F.col("lang"), F.lit("|"), F.col("text")).alias("text"))
+    train, _ = ps.split_rejects(ps.parse_labelled_docs(lines, cats))
+    p = nb.predict(nb.fit(train, text_col="content"), docs.select("doc_id", "text"))
+    return p.select("doc_id", "prediction", F.round("probability", 6).alias("probability"))
+
+
+def q_document_files(spark, sf):
+    """S1+S3 over the given table: each document with the base name of its file."""
+    d = tb.table(spark, sf, "documents").select("doc_id", tx.base_name(F.col("_metadata.file_path")).alias("name"), "text")
+    return d.select("doc_id", "name", F.length("text").alias("length"))
+
+
 REGISTRY: dict[str, Query] = {
+    "apriori_repeat_frequent_items": q_apriori_repeat_frequent_items,
+    "apriori_repeat_item_table": q_apriori_repeat_item_table,
+    "apriori_repeat_candidate_pairs": q_apriori_repeat_candidate_pairs,
+    "apriori_repeat_frequent_pairs": q_apriori_repeat_frequent_pairs,
+    "apriori_text_pairs": q_apriori_text_pairs,
+    "apriori_text_items": q_apriori_text_items,
+    "fpgrowth_text_itemsets": q_fpgrowth_text_itemsets,
+    "pagerank_text": q_pagerank_text,
+    "nb_text_predictions": q_nb_text_predictions,
+    "nb_predictions_smooth": q_nb_predictions_smooth,
+    "doc_similar_groups": q_doc_similar_groups,
+    "document_files": q_document_files,
     "apriori_item_counts": q_apriori_item_counts,
     "apriori_frequent_items": q_apriori_frequent_items,
     "apriori_item_table": q_apriori_item_table,

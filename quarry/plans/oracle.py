@@ -7,8 +7,9 @@ arithmetic as Spark (a bare 0.24 is DECIMAL in DuckDB).
 from __future__ import annotations
 
 from ..functions.text import ENGLISH_STOP_WORDS
-from .catalog import (BRAND_SUPPORT, DAMPING, FP_SUPPORT, NB_FOLDS, RANK_ROUNDS, RULE_CONFIDENCE,
-                      RULE_SUPPORT, SHINGLE_K, SIM_THRESHOLD, SIM_THRESHOLD_LOW, TYPE_SUPPORT)
+from .catalog import (BRAND_SUPPORT, DAMPING, FP_SUPPORT, NB_FOLDS, NB_SMOOTHING, PART_SUPPORT, RANK_ROUNDS,
+                      RULE_CONFIDENCE, RULE_SUPPORT, SHINGLE_K, SIM_THRESHOLD, SIM_THRESHOLD_LOW,
+                      SUPPLIER_SUPPORT, TYPE_SUPPORT)
 
 WS = "[ \\t\\n\\x0B\\f\\r]"
 
@@ -95,15 +96,16 @@ WHERE r.f_union::DOUBLE / a.freq >= {RULE_CONFIDENCE}::DOUBLE"""
 
 
 def _supply_edges(closed: bool) -> str:
-    back = "" if closed else (" WHERE l_returnflag = 'R' AND l_suppkey IN "
-                              "(SELECT s_suppkey FROM supplier WHERE s_acctbal >= 5000)")
-    return (f"SELECT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem "
-            f"UNION ALL SELECT 's' || l_suppkey, 'p' || l_partkey FROM lineitem{back}")
+    both = ("SELECT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem "
+            "UNION ALL SELECT 's' || l_suppkey, 'p' || l_partkey FROM lineitem")
+    return both if closed else both + (
+        " UNION ALL SELECT 'c' || o_custkey, 'p' || l_partkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey"
+        " UNION ALL SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier")
 
 
-def _rank_ctes(closed: bool, rounds: int, damping: float | None = None) -> str:
+def _rank_ctes(closed: bool, rounds: int, damping: float | None = None, edges: str | None = None) -> str:
     """Rounds unrolled as CTEs r0 .. r<rounds>."""
-    ctes = [f"e AS (SELECT DISTINCT src, dst FROM ({_supply_edges(closed)}))",
+    ctes = [f"e AS (SELECT DISTINCT src, dst FROM ({edges or _supply_edges(closed)}))",
             "d AS (SELECT src, count(*) AS out_degree FROM e GROUP BY src)",
             "ew AS (SELECT e.src, e.dst, d.out_degree::DOUBLE AS out_degree FROM e JOIN d ON e.src = d.src)",
             "n AS (SELECT count(*)::DOUBLE AS n FROM d)",
@@ -155,7 +157,8 @@ def _shingle_ctes(k: int = SHINGLE_K) -> str:
 
 def _pairs_at(t: float) -> str:
     return (f"WITH {_shingle_ctes()} SELECT doc_a, doc_b, "
-            f"round(inter::DOUBLE / (na + nb - inter), 6) AS similarity FROM shared "
+            f"round(inter::DOUBLE / (na + nb - inter), 6) AS similarity, a.copies AS copies_a, b.copies AS copies_b "
+            f"FROM shared JOIN grp a ON a.rep_id = doc_a JOIN grp b ON b.rep_id = doc_b "
             f"WHERE inter::DOUBLE / (na + nb - inter) >= {t}::DOUBLE")
 
 
@@ -167,8 +170,17 @@ ORACLE["doc_copy_groups"] = (f"WITH {_shingle_ctes()} SELECT s.doc_id, g.rep_id,
                              f"FROM s JOIN grp g ON s.sh = g.sh WHERE g.copies > 1")
 ORACLE["jaccard_similar_pairs"] = _pairs_at(SIM_THRESHOLD)
 ORACLE["jaccard_similar_pairs_05"] = _pairs_at(SIM_THRESHOLD_LOW)
-# MinHash can only miss pairs; the oracle is the exact answer (recall 1 expected here)
+# MinHash may miss a pair (about 4 in 10,000 at 0.8): held to the exact answer, which
+# it reaches on these tables; tests/test_similarity.py measures its recall
 ORACLE["minhash_similar_pairs"] = _pairs_at(SIM_THRESHOLD)
+ORACLE["doc_similar_groups"] = f"""
+WITH RECURSIVE {_shingle_ctes()},
+links AS (SELECT doc_a AS a, doc_b AS b FROM shared WHERE inter::DOUBLE / (na + nb - inter) >= {SIM_THRESHOLD}::DOUBLE),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(rep_id, r) AS (SELECT rep_id, rep_id FROM grp
+                     UNION SELECT reach.rep_id, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.r),
+least AS (SELECT rep_id, min(r) AS group_id FROM reach GROUP BY rep_id)
+SELECT s.doc_id, least.group_id FROM s JOIN grp ON s.sh = grp.sh JOIN least ON least.rep_id = grp.rep_id"""
 
 
 WS_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -186,7 +198,11 @@ def _kept(col: str) -> str:
     return f"list_filter({_tokens(col)}, lambda x: NOT list_contains({STOP}, x))"
 
 
-def _nb_ctes(cv: bool) -> str:
+_LABELLED = (f"SELECT d.doc_id, l.quality AS label, d.text, CAST(((d.doc_id % {NB_FOLDS}) + {NB_FOLDS}) % {NB_FOLDS} AS INTEGER) "
+             "AS fold FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
+
+
+def _nb_ctes(cv: bool, lam: float = 1.0, labelled: str | None = None) -> str:
     if cv:
         train = (f"SELECT f.model, ld.doc_id, ld.label, ld.text FROM ld JOIN "
                  f"(SELECT unnest(range({NB_FOLDS})) AS model) f ON ld.fold <> f.model")
@@ -195,8 +211,7 @@ def _nb_ctes(cv: bool) -> str:
         train = "SELECT 0 AS model, doc_id, label, text FROM ld"
         test = "SELECT 0 AS model, doc_id, text FROM documents"
     return f"""
-    ld AS (SELECT d.doc_id, l.quality AS label, d.text, CAST(((d.doc_id % {NB_FOLDS}) + {NB_FOLDS}) % {NB_FOLDS} AS INTEGER) AS fold
-           FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+    ld AS ({labelled or _LABELLED}),
     tr AS ({train}),
     tf AS (SELECT model, doc_id, label, term, count(*) AS tf
            FROM (SELECT model, doc_id, label, unnest({_kept('text')}) AS term FROM tr) GROUP BY ALL),
@@ -207,8 +222,8 @@ def _nb_ctes(cv: bool) -> str:
     nd AS (SELECT model, label, count(*) AS n_docs FROM tr GROUP BY ALL),
     pm AS (SELECT model, sum(n_docs) AS N, count(*) AS K FROM nd GROUP BY ALL),
     pri AS (SELECT nd.model, nd.label, nd.n_docs, coalesce(tot.total_terms, 0) AS total_terms,
-                   ln(nd.n_docs + 1.0) - ln(pm.N + pm.K * 1.0) AS log_prior,
-                   ln(coalesce(tot.total_terms, 0) + vs.V * 1.0) AS log_denom
+                   ln(nd.n_docs + {lam}::DOUBLE) - ln(pm.N + pm.K * {lam}::DOUBLE) AS log_prior,
+                   ln(coalesce(tot.total_terms, 0) + vs.V * {lam}::DOUBLE) AS log_denom
             FROM nd LEFT JOIN tot ON tot.model = nd.model AND tot.label = nd.label
                     JOIN pm ON pm.model = nd.model JOIN vs ON vs.model = nd.model),
     te AS ({test}),
@@ -216,10 +231,10 @@ def _nb_ctes(cv: bool) -> str:
            FROM (SELECT model, doc_id, unnest({_kept('text')}) AS term FROM te) GROUP BY ALL),
     hit AS (SELECT dt.* FROM dt JOIN voc ON voc.model = dt.model AND voc.term = dt.term),
     nv AS (SELECT model, doc_id, sum(tf) AS n FROM hit GROUP BY ALL),
-    sp AS (SELECT h.model, h.doc_id, ct.label, sum(h.tf * ln(ct.count + 1.0)) AS s
+    sp AS (SELECT h.model, h.doc_id, ct.label, sum(h.tf * (ln(ct.count + {lam}::DOUBLE) - ln({lam}::DOUBLE))) AS s
            FROM hit h JOIN ct ON ct.model = h.model AND ct.term = h.term GROUP BY ALL),
     sc AS (SELECT t.model, t.doc_id, p.label,
-                  p.log_prior - coalesce(nv.n, 0) * p.log_denom + coalesce(sp.s, 0) AS score
+                  p.log_prior + coalesce(nv.n, 0) * (ln({lam}::DOUBLE) - p.log_denom) + coalesce(sp.s, 0) AS score
            FROM te t JOIN pri p ON p.model = t.model
                 LEFT JOIN nv ON nv.model = t.model AND nv.doc_id = t.doc_id
                 LEFT JOIN sp ON sp.model = t.model AND sp.doc_id = t.doc_id AND sp.label = p.label),
@@ -242,6 +257,12 @@ ORACLE["nb_model"] = (f"WITH {_nb_ctes(False)} SELECT ct.label, ct.term, ct.coun
                       f"FROM ct JOIN pri ON pri.model = ct.model AND pri.label = ct.label")
 ORACLE["nb_predictions"] = (f"WITH {_nb_ctes(False)} SELECT doc_id, prediction, "
                             f"round(probability, 6) AS probability FROM pred")
+ORACLE["nb_predictions_smooth"] = (
+    f"WITH {_nb_ctes(False, NB_SMOOTHING)} SELECT doc_id, label, round(score, 4) AS score, round(exp(score - mx) / "
+    f"sum(exp(score - mx)) OVER (PARTITION BY doc_id), 6) AS probability FROM scm")
+_BY_LANGUAGE = ("SELECT doc_id, CAST(dense_rank() OVER (ORDER BY lang) - 1 AS INTEGER) AS label, text, 0 AS fold FROM documents")
+ORACLE["nb_text_predictions"] = (f"WITH {_nb_ctes(False, labelled=_BY_LANGUAGE)} SELECT doc_id, prediction, "
+                                 f"round(probability, 6) AS probability FROM pred")
 ORACLE["nb_cv_predictions"] = (f"WITH {_nb_ctes(True)} SELECT p.doc_id, CAST(p.model AS INTEGER) AS fold, "
                                f"ld.label, p.prediction FROM pred p JOIN ld ON ld.doc_id = p.doc_id")
 ORACLE["nb_accuracy"] = (f"WITH {_nb_ctes(True)} SELECT count(*) AS n, "
@@ -250,7 +271,7 @@ ORACLE["nb_accuracy"] = (f"WITH {_nb_ctes(True)} SELECT count(*) AS n, "
                          f"AS accuracy FROM pred p JOIN ld ON ld.doc_id = p.doc_id")
 
 ORACLE["basket_parse"] = """
-WITH l AS (SELECT CASE WHEN l_linenumber = 7 THEN '{}'
+WITH l AS (SELECT CASE WHEN l_linenumber = 7 THEN '{}' WHEN l_linenumber = 6 THEN '{,}'
                        WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN '{' || l_partkey || ',' || l_returnflag || '}'
                        ELSE '{' || l_partkey || ', ' || l_suppkey || ',' || l_linenumber || '}' END AS line
            FROM lineitem),
@@ -264,17 +285,51 @@ SELECT line, CAST(len(items) AS INTEGER) AS n_items,
             THEN array_to_string(items, ',') END AS items,
        coalesce(list_bool_and(list_transform(items, lambda x: x IS NOT NULL)), false) AS ok
 FROM p"""
+# the line's last tokens, if empty, are dropped; empty ones before stay
 ORACLE["transaction_parse"] = """
-WITH p AS (SELECT p_partkey AS basket,
-                  list_distinct(list_filter(string_split(p_name, ' '), lambda x: x <> '')) AS items FROM part)
-SELECT basket, array_to_string(list_sort(items), ',') AS items, CAST(len(items) AS INTEGER) AS n_items,
-       len(items) > 0 AS ok FROM p"""
-ORACLE["link_parse"] = """
-WITH l AS (SELECT CASE WHEN l_linenumber = 7 THEN 'p' || l_partkey
-                       ELSE 'p' || l_partkey || ' s' || l_suppkey END AS line FROM lineitem),
-t AS (SELECT string_split(line, ' ') AS tok FROM l)
-SELECT tok[1] AS src, CASE WHEN len(tok) >= 2 THEN tok[2] END AS dst,
-       coalesce(len(tok) >= 2 AND tok[1] <> '', false) AS ok FROM t"""
+WITH l AS (SELECT p_partkey AS basket, CASE WHEN p_size % 2 = 1 THEN ' ' ELSE '' END || p_name || '  ' AS line FROM part),
+p AS (SELECT basket, list_distinct(string_split(rtrim(line, ' '), ' ')) AS items FROM l)
+SELECT basket, array_to_string(list_sort(items), ',') AS items, CAST(len(items) AS INTEGER) AS n_items, true AS ok FROM p"""
+_LINKS = """l AS (SELECT l_linenumber, CASE WHEN l_linenumber = 7 THEN 'p' || l_partkey WHEN l_linenumber = 6 THEN 'p' || l_partkey || ' '
+                  WHEN l_linenumber = 5 THEN 'p' || l_partkey || ' s' || l_suppkey || ' '
+                  ELSE 'p' || l_partkey || ' s' || l_suppkey END AS line FROM lineitem),
+t AS (SELECT string_split(rtrim(line, ' '), ' ') AS tok FROM l)"""
+ORACLE["link_parse"] = f"""
+WITH {_LINKS}
+SELECT tok[1] AS src, CASE WHEN len(tok) >= 2 THEN tok[2] END AS dst, len(tok) >= 2 AS ok FROM t"""
+_TEXT_LINKS = ("SELECT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem WHERE l_linenumber < 6 "
+               "UNION ALL SELECT 's' || l_suppkey, 'p' || l_partkey FROM lineitem WHERE l_linenumber < 6")
+ORACLE["pagerank_text"] = (f"WITH {_rank_ctes(True, RANK_ROUNDS, edges=_TEXT_LINKS)} "
+                           f"SELECT id, round(rank, 9) AS rank FROM r{RANK_ROUNDS}")
+
+
+def _repeat_ctes(baskets: str, s: float, total: str) -> str:
+    """Counts of occurrences (repeats too), pairs by basket, threshold from ``total``."""
+    return f"""
+    raw AS ({baskets}),
+    t AS (SELECT CAST(ceil({s}::DOUBLE * ({total})) AS BIGINT) AS thr),
+    c AS (SELECT item, count(*) AS n FROM raw GROUP BY item),
+    bf AS (SELECT DISTINCT basket, item FROM raw WHERE item IN (SELECT item FROM c, t WHERE n >= thr)),
+    pc AS (SELECT x.item AS item_a, y.item AS item_b, count(*) AS n
+           FROM bf x JOIN bf y ON x.basket = y.basket AND x.item < y.item GROUP BY 1, 2)"""
+
+
+_REPEAT = _repeat_ctes(_baskets("p_brand", distinct=False), BRAND_SUPPORT, "SELECT count(DISTINCT basket) FROM raw")
+ORACLE["apriori_repeat_frequent_items"] = f"WITH {_REPEAT} SELECT item, n FROM c, t WHERE n >= thr"
+ORACLE["apriori_repeat_item_table"] = f"WITH {_REPEAT} SELECT item, CASE WHEN n >= thr THEN n ELSE 0 END AS n FROM c, t"
+ORACLE["apriori_repeat_candidate_pairs"] = f"WITH {_REPEAT} SELECT item_a, item_b, n FROM pc"
+ORACLE["apriori_repeat_frequent_pairs"] = f"WITH {_REPEAT} SELECT item_a, item_b, n FROM pc, t WHERE n >= thr"
+
+
+def _lines_of(key: str, s: float) -> str:
+    """Order lines: every order is a basket, also one without items."""
+    return _repeat_ctes(f"SELECT l_orderkey AS basket, CAST({key} AS INTEGER) AS item FROM lineitem", s, "SELECT count(*) FROM orders")
+
+
+ORACLE["apriori_text_pairs"] = f"WITH {_lines_of('l_suppkey', SUPPLIER_SUPPORT)} SELECT item_a, item_b, n FROM pc, t WHERE n >= thr"
+ORACLE["apriori_text_items"] = f"WITH {_lines_of('l_partkey', PART_SUPPORT)} SELECT item, CASE WHEN n >= thr THEN n ELSE 0 END AS n FROM c, t"
+ORACLE["fpgrowth_text_itemsets"] = ORACLE["fpgrowth_itemsets"]
+ORACLE["document_files"] = "SELECT doc_id, 'documents.parquet' AS name, CAST(length(text) AS INTEGER) AS length FROM documents"
 ORACLE["labelled_doc_parse"] = """
 WITH cats AS (SELECT lang AS category, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS label
               FROM (SELECT DISTINCT lang FROM documents)),

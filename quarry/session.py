@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +37,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
-    conf["spark.driver.memory"] = os.environ.get("QUARRY_DRIVER_MEMORY", "16g")
+    conf["spark.driver.memory"] = os.environ.get("QUARRY_DRIVER_MEMORY", "8g")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -62,9 +65,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):  # local-cluster has executors of its own
         raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder for checkpoints")
     local_dir = tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp")
+    atexit.register(shutil.rmtree, local_dir, ignore_errors=True)
     sc.setCheckpointDir(local_dir)
     return sc.getCheckpointDir()
 

@@ -42,36 +42,40 @@ def baskets(spark: SparkSession, sf_dir: str, attr: str = "p_brand") -> DataFram
 
 
 def supply_edges(spark: SparkSession, sf_dir: str, closed: bool = True) -> DataFrame:
-    """Directed link graph between parts and suppliers, from lineitem rows.
-
-    Every lineitem row gives a link part -> supplier. In the closed graph it
-    also gives supplier -> part, so every page has out-links and rank mass is
-    kept. In the leaky graph only returned lines (flag 'R') of suppliers with
-    an account balance of at least 5000 link back, which leaves sinks (the
-    other suppliers) and pages without in-links (parts with no such line),
-    the two cases the undamped rank leaks on.
-    Each edge comes from a single row: no per-order window or self-join, so
-    a hot order or part cannot pile up in one task here.
+    """Directed link graph from whole tables.
+
+    Every lineitem row links part -> supplier and supplier -> part: a closed
+    graph, which keeps its rank. The leaky graph also has customer -> part for
+    every line of the customer's orders (nobody links to a customer: these
+    pages vanish) and supplier -> nation (sinks, where rank is lost).
     """
-    li = lineitem(spark, sf_dir, "l_partkey", "l_suppkey", "l_returnflag")
-    p = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
-    s = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
-    fwd = li.select(p.alias("src"), s.alias("dst"))
+    li = lineitem(spark, sf_dir, "l_orderkey", "l_partkey", "l_suppkey")
+    name = lambda prefix, col: F.concat(F.lit(prefix), F.col(col).cast("string"))
+    p, s = name("p", "l_partkey"), name("s", "l_suppkey")
+    edges = li.select(p.alias("src"), s.alias("dst")).unionByName(li.select(s.alias("src"), p.alias("dst")))
     if closed:
-        back = li
-    else:
-        # supplier is a dimension table: broadcast only by measured size
-        sup = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 5000).select("s_suppkey")
-        back = li.filter(F.col("l_returnflag") == "R").join(sup, li.l_suppkey == sup.s_suppkey, "left_semi")
-    return fwd.unionByName(back.select(s.alias("src"), p.alias("dst")))
+        return edges
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    bought = li.join(orders, li.l_orderkey == orders.o_orderkey).select(name("c", "o_custkey").alias("src"), p.alias("dst"))
+    home = table(spark, sf_dir, "supplier").select(name("s", "s_suppkey").alias("src"), name("n", "s_nationkey").alias("dst"))
+    return edges.unionByName(bought).unionByName(home)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` into as many parts as the caller states in
+    ``quarry.input.partitions``; unset, the input's own splits are used.
+
+    For tables that lie in few row groups but cost much per row; large tables
+    come in many splits and need no shuffle."""
+    parts = df.sparkSession.conf.get("quarry.input.partitions", None)
+    return df.repartition(int(parts), key) if parts else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents joined with labels.quality: (doc_id, label, text)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    return docs.join(labels, "doc_id")
+    return documents(spark, sf_dir).join(labels, "doc_id")

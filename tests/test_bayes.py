@@ -1,3 +1,4 @@
+import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import CountVectorizer, StopWordsRemover, Tokenizer
@@ -58,6 +59,30 @@ def test_predictions_match_spark_ml(spark, small_dir):
         assert 0.5 - 1e-12 <= r["probability"] <= 1.0     # two classes: argmax has at least 1/2
 
 
+@pytest.mark.parametrize("smoothing", [0.1, 0.5, 1.0, 2.0])
+def test_all_class_probabilities_match_spark_ml(spark, smoothing):
+    rows = [(1, 0, "a b c a"), (2, 0, "a d"), (3, 1, "c d d e"), (4, 2, "e f a a a")]
+    train = spark.createDataFrame(rows, "doc_id int, label int, text string")
+    test = spark.createDataFrame([(9, "a d z"), (10, "e e f"), (11, ""), (12, "q")], "doc_id int, text string")
+    stages = [Tokenizer(inputCol="text", outputCol="f"), CountVectorizer(inputCol="f", outputCol="features"),
+              NaiveBayes(labelCol="label", smoothing=smoothing)]
+    ml = Pipeline(stages=stages).fit(train.withColumn("label", F.col("label").cast("double")))
+    train = train.withColumn("text", F.regexp_replace("text", r"\ba\b", "a"))
+    want = {r["doc_id"]: list(r["probability"]) for r in ml.transform(test).collect()}
+    model = nb.fit(train.withColumn("text", F.regexp_replace("text", r"\ba\b", "A1")), smoothing=smoothing)
+    got = {}
+    for r in nb.predict_all(model, test.withColumn("text", F.regexp_replace("text", r"\ba\b", "A1"))).collect():
+        got.setdefault(r["doc_id"], {})[r["label"]] = r["probability"]
+    for d, p in want.items():
+        assert [got[d][k] for k in range(3)] == pytest.approx(p, abs=1e-9)
+
+
+def test_labels_of_text_and_ties(spark):
+    train = spark.createDataFrame([(1, "spam", "buy"), (2, "ham", "meet")], "doc_id int, label string, text string")
+    test = spark.createDataFrame([(7, "buy"), (8, "meet"), (9, "other")], "doc_id int, text string")
+    assert {r["doc_id"]: r["prediction"] for r in nb.predict(nb.fit(train), test).collect()} == {7: "spam", 8: "ham", 9: "ham"}
+
+
 def test_cross_validation_covers_every_labelled_doc(spark, small_dir):
     d = tb.labelled_documents(spark, small_dir).withColumn("fold", F.pmod("doc_id", F.lit(5)).cast("int"))
     cv = nb.cross_validate(d, 5)

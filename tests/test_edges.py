@@ -40,6 +40,6 @@ def test_threshold_one_finds_only_equal_sets(spark):
                               "doc_id long, text string")
     sets = sim.shingle_sets(d, k=2)
     assert sim.similar_pairs(sets, 1.0).count() == 0          # 3 and 4 are one copy group
-    assert sim.copy_members(sets, sim.copy_groups(sets)).count() == 2
+    assert sim.copy_members(sim.hashed_sets(sets)).count() == 2
     with pytest.raises(ValueError):
         sim.similar_pairs(sets, 0.0)

@@ -33,11 +33,11 @@ def test_item_table_zero_for_infrequent(spark):
 
 def test_fpgrowth_and_rules_fixture(spark):
     b = long_baskets(spark, [["a", "b"], ["a", "b", "c"], ["a"], ["b", "c"], ["a", "b", "c"]])
-    model = its.fpgrowth(b, min_support=0.5, min_confidence=0.7)
-    sets = {tuple(sorted(r["items"])): r["freq"] for r in model.freqItemsets.collect()}
+    model = its.FrequentSets(b, min_support=0.5, min_confidence=0.7)
+    sets = {tuple(sorted(r["items"])): r["freq"] for r in model.itemsets.collect()}
     assert sets == {("a",): 4, ("b",): 4, ("c",): 3, ("a", "b"): 3, ("b", "c"): 3}
     rules = {(tuple(r["antecedent"]), tuple(r["consequent"])): round(r["confidence"], 6)
-             for r in model.associationRules.collect()}
+             for r in model.rules.collect()}
     assert rules == {(("a",), ("b",)): 0.75, (("b",), ("a",)): 0.75, (("b",), ("c",)): 0.75,
                      (("c",), ("b",)): 1.0}
 
@@ -46,6 +46,6 @@ def test_apriori_pairs_equal_fpgrowth_pairs(spark, small_dir):
     b = tb.baskets(spark, small_dir, "p_brand")
     ap = its.Apriori(b, support=0.02)
     pairs = {(r["item_a"], r["item_b"], r["n"]) for r in ap.frequent_pairs.collect()}
-    model = its.fpgrowth(b, min_support=0.02)
-    fp = {(*sorted(r["items"]), r["freq"]) for r in model.freqItemsets.filter(F.size("items") == 2).collect()}
+    model = its.FrequentSets(b, min_support=0.02)
+    fp = {(*sorted(r["items"]), r["freq"]) for r in model.itemsets.filter(F.size("items") == 2).collect()}
     assert pairs == fp and len(pairs) > 0

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from quarry.operators import itemsets as its
 from quarry.sources import parse as ps
 
 
@@ -26,9 +27,21 @@ def test_transaction_parse(spark):
     df = ps.parse_transactions(lines(spark, ["r z h k p", "a  b", "x x y", ""]))
     got = {r["value"]: (sorted(r["items"]), r["ok"]) for r in df.collect()}
     assert got["r z h k p"] == (["h", "k", "p", "r", "z"], True)
-    assert got["a  b"] == (["a", "b"], True)         # double space: no empty item
+    assert got["a  b"] == (["", "a", "b"], True)     # inner empty tokens are items, as Java's split leaves them
     assert got["x x y"] == (["x", "y"], True)        # repeated item removed
-    assert got[""][1] is False
+    assert got[""] == ([""], True)                   # "".split(" ") has one empty token
+    trailing = ps.parse_transactions(lines(spark, [" a ", "  "])).collect()
+    assert {r["value"]: r["items"] for r in trailing} == {" a ": ["", "a"], "  ": []}
+    kept, rejects = ps.transaction_table(lines(spark, ["a b", "  "]))
+    assert rejects.count() == 0 and its.basket_total(kept) == 2
+
+
+def test_empty_baskets_count_in_the_total(spark):
+    kept, rejects = ps.basket_table(lines(spark, ["{1,2}", "{1,2}", "{,}", "{,}", "{,}"]))
+    ap = its.Apriori(kept, support=0.5)
+    assert rejects.count() == 0 and (ap.n_baskets, ap.threshold) == (5, 3)
+    assert ap.frequent_items.count() == 0 and {r["item"]: r["n"] for r in ap.item_counts.collect()} == {1: 2, 2: 2}
+    ap.unpersist()
 
 
 def test_category_and_labelled_parse(spark):
@@ -46,13 +59,13 @@ def test_category_and_labelled_parse(spark):
 
 
 def test_link_parse(spark):
-    df = ps.parse_links(lines(spark, ["A B", "A C extra", "lonely"]))
+    df = ps.parse_links(lines(spark, ["A B", "A C extra", "lonely", "trailing ", "E F "]))
     got = [(r["src"], r["dst"], r["ok"]) for r in df.orderBy("value").collect()]
-    assert got == [("A", "B", True), ("A", "C", True), ("lonely", None, False)]
+    assert got == [("A", "B", True), ("A", "C", True), ("E", "F", True), ("lonely", None, False), ("trailing", None, False)]
 
 
 def test_repeated_category_name_does_not_duplicate_documents(spark):
-    cats = spark.createDataFrame([("sport", 1), ("sport", 4)], "category string, label int")
+    cats = ps.parse_categories(spark.createDataFrame([("sport 9",), ("sport 4",)], "value string").coalesce(1))
     docs = spark.createDataFrame([(1, "sport|x")], "doc_id int, text string")
     rows = ps.parse_labelled_docs(docs, cats).collect()
-    assert len(rows) == 1 and rows[0]["label"] == 4
+    assert len(rows) == 1 and rows[0]["label"] == 4   # the last line's
