@@ -1,5 +1,5 @@
 """Pieces that several operators share: tables kept in the shared folder, words
-as numpy hashes, connected components, running positions inside large groups.
+as numpy hashes, components, running positions inside large groups.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.components import components as _components
 from ..session import ensure_checkpoint_dir
 
 # ------------------------------------------------------------------ kept tables
@@ -142,35 +143,8 @@ def list_array(values: np.ndarray, width: int) -> pa.Array:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of undirected ``edges`` (a, b): node, component.
-
-    Alternates large-star and small-star steps until no edge changes; each step
-    is a grouped minimum and a join, written to the shared folder. Edges only,
-    never whole components, meet in a task. Nodes without edges are absent.
-    """
-    e = keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
-    mark = _edge_mark(e)
-    while mark[0]:
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = keep(large.distinct())
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        e = keep(small.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
-                 .union(least.select("u", F.col("m").alias("v"))).distinct())
-        was, mark = mark, _edge_mark(e)
-        if was == mark:
-            break
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
-
-
-def _edge_mark(e: DataFrame) -> tuple:
-    """Count and order-free hash of the edges (two sums, so one row)."""
-    h = F.xxhash64("u", "v")
-    r = e.agg(F.count("*"), F.sum(F.shiftright(h, 16)), F.sum(h.bitwiseAND(F.lit(0xFFFF)))).first()
-    return tuple(r)
+    """Connected components of ``edges`` (a, b), each round kept in the shared folder: node, component."""
+    return _components(edges, keep)
 
 
 # ------------------------------------------------------------------ positions in large groups

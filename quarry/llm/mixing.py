@@ -60,7 +60,7 @@ def cuts(sizes: DataFrame, target: DataFrame) -> DataFrame:
     """
     bits = max(0, (sizes.count() // ROWS_PER_SLICE).bit_length())
     d = sizes.select("source", "size", F.col("place"), F.shiftrightunsigned("place", 62 - bits).alias("slice"))
-    t = target.select(F.col("source").alias("_s"), "source_size", "target", F.floor(F.col("target") / F.col("source_size")).alias("whole"))
+    t = target.select(F.col("source").alias("_s"), "source_size", "target", F.floor(F.try_divide(F.col("target"), F.col("source_size"))).alias("whole"))
     t = t.withColumn("whole", F.coalesce("whole", F.lit(0)))
     t = t.withColumn("want", F.round(F.col("target") - F.col("whole") * F.col("source_size")).cast("long"))
     before = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
