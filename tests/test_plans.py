@@ -6,9 +6,7 @@ from contextlib import redirect_stdout
 import pytest
 
 from quarry.plans.catalog import queries
-
-FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
-             "PythonUDF", "FlatMapGroupsInPandas")
+from tools import plan_summary
 
 
 def plan_text(df):
@@ -18,11 +16,23 @@ def plan_text(df):
     return buf.getvalue()
 
 
+@pytest.fixture(scope="module")
+def ran(spark, small_dir):
+    """What each registered query ran, from the event log."""
+    spans = plan_summary.run(spark, small_dir)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    return plan_summary.summarize(spark.conf.get("spark.eventLog.dir").removeprefix("file://"), spans)
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
-def test_no_cartesian_no_python(spark, small_dir, name):
-    text = plan_text(queries()[name](spark, small_dir))
-    for bad in FORBIDDEN:
-        assert bad not in text, f"{name}: {bad}"
+def test_executed_plans_have_no_cartesian_and_no_python(ran, name):
+    assert ran[name]["plans"], "nothing ran"
+    assert plan_summary.forbidden(ran[name]["plans"]) == []
+
+
+def test_fit_counts_without_a_shuffle_by_document(ran):
+    exchanges = [n["simpleString"] for p in ran["nb_model"]["plans"].values() for n in plan_summary.nodes(p) if n["nodeName"] == "Exchange"]
+    assert exchanges and not any("doc_id" in e and "term" in e for e in exchanges)
 
 
 def test_scan_prunes_columns(spark, small_dir):

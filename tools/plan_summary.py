@@ -57,20 +57,32 @@ def summarize(folder: str, spans: list[tuple[str, float, float]]) -> dict[str, d
     return out
 
 
-def main():
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    folder = tempfile.mkdtemp(prefix="quarry-events-", dir="/tmp")
-    spark = build_session(extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{folder}",
-                                 "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false",
-                                 "spark.sql.maxMetadataStringLength": "2000"})
+def run(spark, sf_dir: str, names=None) -> list[tuple[str, float, float]]:
+    """Evaluate the queries one by one; (name, begin, end) of each."""
     spans = []
     for name, fn in queries().items():
-        if sys.argv[2:] and name not in sys.argv[2:]:
+        if names and name not in names:
             continue
         spark.catalog.clearCache()
         begin = time.time() * 1000
         fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
         spans.append((name, begin, time.time() * 1000))
+    return spans
+
+
+def forbidden(plans: dict) -> list[str]:
+    return sorted({b for p in plans.values() for n in nodes(p) for b in FORBIDDEN if n["nodeName"].startswith(b)})
+
+
+EVENT_LOG = {"spark.eventLog.enabled": "true", "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false",
+             "spark.sql.maxMetadataStringLength": "2000"}
+
+
+def main():
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    folder = tempfile.mkdtemp(prefix="quarry-events-", dir="/tmp")
+    spark = build_session(extra=EVENT_LOG | {"spark.eventLog.dir": f"file://{folder}"})
+    spans = run(spark, sf_dir, sys.argv[2:])
     spark.stop()
     print("# What the registered queries ran\n")
     print(f"From Spark's event log at `{sf_dir}`: `python tools/plan_summary.py`. Plans are those after runtime re-planning.\n")
@@ -84,7 +96,7 @@ def main():
             if n["nodeName"].startswith("Scan parquet") and (m := re.search(r"/(\w+)\.parquet", str(n.get("metadata", {})))):
                 schema = re.search(r"struct<(.*)>", n.get("metadata", {}).get("ReadSchema", ""))
                 scans[f"{m[1]}: {', '.join(c.split(':')[0] for c in schema[1].split(',')) if schema else '-'}"] += 1
-        bad = sorted({b for n in every for b in FORBIDDEN if n["nodeName"].startswith(b)})
+        bad = forbidden(s["plans"])
         print(f"| `{name}` | {s['jobs']} | {s['shuffles']} | {s['mb']:.2f} | {', '.join(f'{k} {v}' for k, v in joins.items()) or '-'} "
               f"| {'<br>'.join(sorted(scans)) or '-'} | {', '.join(bad) or 'none'} |")
 
