@@ -30,6 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_texts
+
 #: The word pattern of this tokenizer family (text is lower-cased,
 #: white space is dropped).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -247,7 +249,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(rows), pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), ids], names=["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text)).mapInArrow(run, "doc_id long, ids array<int>")
+    return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text)), run, "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, tokenizer: str) -> DataFrame:
@@ -265,7 +267,7 @@ def decode(tokens: DataFrame, tokenizer: str) -> DataFrame:
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(text, pa.string())], names=["doc_id", "ids", "decoded"])
 
-    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return map_texts(tokens.select("doc_id", "ids"), run, "doc_id long, ids array<int>, decoded string")
 
 
 def round_trip(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
@@ -285,5 +287,5 @@ def round_trip(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame
                     [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_text)],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text)).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text)),
+                     run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

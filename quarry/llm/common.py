@@ -35,6 +35,17 @@ def keep(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of rows that a Python worker gets at once (or one row, if it is longer).
+BATCH_BYTES = 8 << 20
+
+
+def map_texts(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` over rows with texts, in batches of ``BATCH_BYTES`` (set for the
+    session; its default of 64 MB is held in several copies)."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 # ------------------------------------------------------------------ words in numpy
 
 #: The white space that separates words, 0x20 and 0x09 to 0x0D.

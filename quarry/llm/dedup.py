@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, keep, list_array, mix, row_slices, signed, text_bytes, word_hashes
+from .common import components, keep, list_array, map_texts, mix, row_slices, signed, text_bytes, word_hashes
 
 WORDS = 5
 PERMUTATIONS, BAND_ROWS, BITS = 128, 4, 4
@@ -113,7 +113,7 @@ def _features(batches):
 
 def features(docs: DataFrame) -> DataFrame:
     """Set size, set key, band keys and packed signature of each document."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_features, FEATURES)
+    return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _features, FEATURES)
 
 
 def differing(a: str, b: str) -> F.Column:
@@ -191,7 +191,7 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     heads = p.select("a", "salt").distinct().select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("id"))
     rows = heads.union(p.select("a", "salt", F.lit(1), "b"))
     rows = _with_text(docs, rows, "id").select("a", "salt", "role", "id", "_text")
-    return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(_confirm, "a long, b long")
+    return map_texts(rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role"), _confirm, "a long, b long")
 
 
 # ------------------------------------------------------------------ mixed buckets
@@ -285,7 +285,7 @@ def across_components(members: DataFrame, comp: DataFrame, sigs: DataFrame, docs
     columns = "key long, x int, y int, block int, node long, component long"
     near = keep(m.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_close, columns))
     rows = _with_text(docs, near, "node").select("key", "x", "y", "block", "node", "component", "_text")
-    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_linked, "a long, b long")
+    return map_texts(rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y"), _linked, "a long, b long")
 
 
 # ------------------------------------------------------------------ the operator

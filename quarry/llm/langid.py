@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import text_bytes
+from .common import map_texts, text_bytes
 
 WINDOW, HIDDEN = 64, 8
 #: The bound of the training sample, and of the windows that one document gives to it.
@@ -251,7 +251,7 @@ def fit(docs: DataFrame, learn: F.Column) -> Network | None:
     d = d.withColumn("order", order).filter(F.shiftrightunsigned("order", 11) / float(1 << 53) <= F.element_at(share, F.col("lang")))
     first = Window.partitionBy("lang").orderBy("order", "doc_id", "text")
     d = d.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per)
-    got = d.select("lang", "n", "text").mapInArrow(_sample_windows, "lang string, place long, bytes binary").collect()
+    got = map_texts(d.select("lang", "n", "text"), _sample_windows, "lang string, place long, bytes binary").collect()
     got.sort(key=lambda r: (r.lang, r.place))
     lengths = np.array([len(r.bytes) for r in got])
     windows = np.zeros((len(got), WINDOW), np.uint8)
@@ -261,29 +261,32 @@ def fit(docs: DataFrame, learn: F.Column) -> Network | None:
     return train(windows, lengths, labels, langs)
 
 
-def predict(docs: DataFrame, net: Network | None, keep_columns: list[F.Column]) -> DataFrame:
-    """``keep_columns`` with lang_pred and score, from the text alone."""
-    rows = docs.select(*keep_columns, F.col("text").alias("_text"))
+def predict(docs: DataFrame, net: Network | None, keep_columns: list[F.Column], kept_text: str | None = None) -> DataFrame:
+    """``keep_columns`` with lang_pred and score, from the text alone.
+
+    ``kept_text`` names the text if it is one of them, so that it is sent once."""
+    rows = docs.select(*keep_columns) if kept_text else docs.select(*keep_columns, F.col("text").alias("_text"))
+    names = rows.columns if kept_text else rows.columns[:-1]
+    at = rows.columns.index(kept_text or "_text")
     if net is None:
-        return rows.drop("_text").withColumn("lang_pred", F.lit(UNDETERMINED)).withColumn("score", F.lit(0.0))
+        return rows.select(*names).withColumn("lang_pred", F.lit(UNDETERMINED)).withColumn("score", F.lit(0.0))
     sent = docs.sparkSession.sparkContext.broadcast(Reader(net))
-    names = rows.columns[:-1]
 
     def run(batches):
         reader = sent.value
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
-                text = part.column(len(names))
+                text = part.column(at)
                 p = reader.documents(*text_bytes(text))
                 best = p.argmax(axis=1)
                 known = [t is not None and _LETTER.search(t) is not None for t in text.to_pylist()]
                 lang = [reader.langs[i] if k else UNDETERMINED for i, k in zip(best.tolist(), known)]
                 score = np.where(known, np.clip(p[np.arange(len(best)), best], 0, 1), 0.0)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(lang, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(lang, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
 
-    schema = T.StructType([*rows.schema[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(run, schema)
+    schema = T.StructType([*rows.schema[: len(names)], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return map_texts(rows, run, schema)
 
 
 def held_out(doc_id: F.Column, parts: int, part: int) -> F.Column:

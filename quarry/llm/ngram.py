@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep, mix, row_slices, shared_folder, text_bytes, word_hashes
+from .common import keep, map_texts, mix, row_slices, shared_folder, text_bytes, word_hashes
 from .langid import held_out
 
 START, END = (mix(np.array([n], np.uint64))[0] for n in (101, 102))
@@ -40,6 +40,8 @@ _PART = np.uint64(16)  # a word's hash without its lower 16 bits stands for it i
 _SPREAD = np.uint64(63)
 _BIGRAM = np.uint64(0x9FB21C651E98DF25)
 BATCH_BYTES = 6 << 20
+#: Tokens that are counted together before they are cut into shards.
+BATCH_TOKENS = 1_500_000
 COUNTS, FOLLOWERS, CONTEXTS = 0, 1, 2
 
 
@@ -109,22 +111,31 @@ def _tokens(col: pa.Array):
 
 
 def _count(shards: int):
+    def blocks(tokens, before, texts):
+        v, w = before >> _PART, tokens >> _PART
+        _, first, n = np.unique(_bigram_key(v, w), return_index=True, return_counts=True)
+        v, w, n = v[first], w[first], n.astype(np.uint64)
+        order = np.lexsort((w, v))
+        v, w, n = v[order], w[order], n[order]
+        for s, i in _by_shard(_bigram_shard(v, w, shards), shards):
+            head = np.flatnonzero(np.append(True, v[i][1:] != v[i][:-1]))
+            run_length = np.diff(np.append(head, len(i))).astype(np.uint64)
+            yield _row(s, FOLLOWERS, len(head), len(i), _pack((v[i][head], 6), (run_length, 4), (w[i], 6), (n[i], 4)))
+        word, n = np.unique(np.concatenate([tokens, np.full(texts, START)]), return_counts=True)
+        for s, i in _by_shard(_word_shard(word >> _PART, shards), shards):
+            yield _row(s, COUNTS, len(i), 0, _pack((word[i], 8), (n[i], 8)))
+
     def run(batches):
+        held, texts = [], 0
         for batch in batches:
             for _, tokens, before, ends in _tokens(batch.column(0)):
-                v, w = before >> _PART, tokens >> _PART
-                key = _bigram_key(v, w)
-                _, first, n = np.unique(key, return_index=True, return_counts=True)
-                v, w, n = v[first], w[first], n.astype(np.uint64)
-                order = np.lexsort((w, v))
-                v, w, n = v[order], w[order], n[order]
-                for s, i in _by_shard(_bigram_shard(v, w, shards), shards):
-                    head = np.flatnonzero(np.append(True, v[i][1:] != v[i][:-1]))
-                    run_length = np.diff(np.append(head, len(i))).astype(np.uint64)
-                    yield _row(s, FOLLOWERS, len(head), len(i), _pack((v[i][head], 6), (run_length, 4), (w[i], 6), (n[i], 4)))
-                word, n = np.unique(np.concatenate([tokens, np.full(len(ends), START)]), return_counts=True)
-                for s, i in _by_shard(_word_shard(word >> _PART, shards), shards):
-                    yield _row(s, COUNTS, len(i), 0, _pack((word[i], 8), (n[i], 8)))
+                held.append((tokens, before))
+                texts += len(ends)
+                if sum(len(t) for t, _ in held) >= BATCH_TOKENS:
+                    yield from blocks(*map(np.concatenate, zip(*held)), texts)
+                    held, texts = [], 0
+        if held:
+            yield from blocks(*map(np.concatenate, zip(*held)), texts)
 
     return run
 
@@ -266,7 +277,7 @@ def fit(texts: DataFrame) -> Model:
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = _mounted(shared_folder(spark))
     os.makedirs(folder)
-    blocks = texts.select("text").mapInArrow(_count(shards), _BLOCKS)
+    blocks = map_texts(texts.select("text"), _count(shards), _BLOCKS)
     # one pass over the texts feeds both rounds
     blocks = blocks.repartition(shards, "kind", "shard")
     first = blocks.sortWithinPartitions("kind", "shard").mapInArrow(_first_round(folder, shards), _BLOCKS + ", round int")
@@ -399,7 +410,7 @@ def score(docs: DataFrame, model: Model, columns: list[F.Column]) -> DataFrame:
                     names=[*names, "n_tokens", "n_known", "base_score", "score"])
 
     new = [("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base_score", T.DoubleType()), ("score", T.DoubleType())]
-    return rows.mapInArrow(run, T.StructType([*rows.schema[:-1], *(T.StructField(n, t) for n, t in new)]))
+    return map_texts(rows, run, T.StructType([*rows.schema[:-1], *(T.StructField(n, t) for n, t in new)]))
 
 
 def perplexity(tokens: F.Column, score: F.Column) -> F.Column:
