@@ -1,15 +1,11 @@
 """Every registered query against its DuckDB oracle on sf0.001."""
 
-import math
-
 import duckdb
 import pytest
 
 from quarry.plans.catalog import queries
 from quarry.plans.oracle import oracle_sql
-
-TABLES = ("region nation customer supplier part orders lineitem events documents "
-          "embeddings pages benchmark labels conversations").split()
+from tools.oracle_check import TABLES, rows
 
 
 @pytest.fixture(scope="module")
@@ -20,23 +16,10 @@ def con(small_dir):
     return c
 
 
-def _norm(v):
-    if hasattr(v, "item"):
-        v = v.item()
-    if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6)
-    return v
-
-
-def _rows(pdf):
-    cols = sorted(pdf.columns)
-    return cols, sorted((tuple(_norm(r[c]) for c in cols) for r in pdf.to_dict("records")), key=repr)
-
-
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_matches_duckdb(spark, small_dir, con, name):
-    got = _rows(queries()[name](spark, small_dir).toPandas())
-    want = _rows(con.execute(oracle_sql()[name]).df())
+    got = rows(queries()[name](spark, small_dir).toPandas())
+    want = rows(con.execute(oracle_sql()[name]).df())
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]
