@@ -280,10 +280,10 @@ s AS (SELECT line, inner_text, regexp_replace(inner_text, ',+$', '') AS stripped
 p AS (SELECT line, list_transform(CASE WHEN stripped = '' AND inner_text <> '' THEN []::VARCHAR[]
                                        ELSE string_split(stripped, ',') END,
                                   lambda t: TRY_CAST(trim(t) AS INTEGER)) AS items FROM s)
-SELECT line, CAST(len(items) AS INTEGER) AS n_items,
-       CASE WHEN list_bool_and(list_transform(items, lambda x: x IS NOT NULL))
+SELECT line, CAST(len(items) AS INTEGER) AS n_items, -- a basket without items is accepted
+       CASE WHEN len(items) = 0 THEN '' WHEN list_bool_and(list_transform(items, lambda x: x IS NOT NULL))
             THEN array_to_string(items, ',') END AS items,
-       coalesce(list_bool_and(list_transform(items, lambda x: x IS NOT NULL)), false) AS ok
+       len(items) = 0 OR list_bool_and(list_transform(items, lambda x: x IS NOT NULL)) AS ok
 FROM p"""
 # the line's last tokens, if empty, are dropped; empty ones before stay
 ORACLE["transaction_parse"] = """
