@@ -1,10 +1,11 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-DataFrame operations only. A text's candidates are private key blocks, values
-assigned to a credential's name, and long runs of token characters with a digit;
-each comes with what stands before and after it. Features are the candidate's
-length, its characters and the transitions between their classes, how much of it
-dictionary words cover, the path (the document's source) and the neighbouring words.
+DataFrame operations only. A text's candidates are private key blocks up to their END
+line, values assigned to a credential's name (a quoted one up to its closing quote in
+the line), and long runs of token characters with a digit; each comes with what stands
+before and after it. Features are the candidate's length, its characters and the
+transitions between their classes, how much of it dictionary words cover, the path
+(the document's source) and the neighbouring words.
 
 The forest is trained on labelled findings: those the caller gives, else findings
 that fixed rules label (formats of known issuers and assigned random values are
@@ -33,9 +34,14 @@ MASK = "[SECRET]"
 
 #: Names that credentials are assigned to.
 NAMES = r"(?:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential)"
-_BLOCK = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[^-]++-----END [A-Z ]{0,30}PRIVATE KEY-----"
-_ASSIGNED = r"(?i:" + NAMES + r")[A-Za-z0-9_-]{0,20}[\"']?\s{0,2}[:=]{1,2}\s{0,2}[\"']?[^\s\"',;<>]{6,}+"
-_RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,60}[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
+_KEY = r"[A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+_BLOCK = rf"-----BEGIN {_KEY}(?:(?!-----(?:BEGIN |END {_KEY}))[\s\S])*+-----END {_KEY}"
+_NAMED = r"(?i:" + NAMES + r")[A-Za-z0-9_-]{0,20}[\"']?\s{0,2}[:=]{1,2}+\s{0,2}+"
+#: A quote ends a value if an even number of backslashes stands before it.
+_ENDS = r"(?<!(?<!\\)(?:\\\\){0,99}\\)"
+_QUOTED = "|".join(rf"{q}(?!{_BLOCK})(?:(?!{_ENDS}{q})[^\r\n]){{6,}}+(?={q})" for q in "\"'")
+_ASSIGNED = rf"{_NAMED}(?:{_QUOTED}|[\"']?(?!{_BLOCK})[^\s\"',;<>]{{6,}}+)"
+_RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
 #: Formats of known issuers' credentials.
 _ISSUED = r"(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|[sr]k_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{10,})"
 ISSUED = f"^(?:{_ISSUED}|-----BEGIN )"
@@ -63,7 +69,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     before = F.transform(F.slice("rest", F.lit(1), F.size("found")), lambda s: F.right(s, F.lit(60)))
     after = F.transform(F.slice("rest", F.lit(2), F.size("found")), lambda s: F.left(s, F.lit(20)))
     d = d.select("doc_id", "source", "text_key", F.posexplode(F.arrays_zip(F.col("found").alias("found"), before.alias("before"), after.alias("after"))).alias("nth", "c"))
-    assigned = F.regexp_extract("c.found", r"^(?i:" + NAMES + r")[A-Za-z0-9_-]{0,20}[\"']?\s{0,2}[:=]{1,2}\s{0,2}[\"']?([^\s\"',;<>]{6,})$", 1)
+    assigned = F.regexp_extract("c.found", rf"^{_NAMED}[\"']?([\s\S]{{6,}})$", 1)
     d = d.withColumn("assigned", (assigned != "")).withColumn("value", F.when(assigned != "", assigned).otherwise(F.col("c.found")))
     return d.select("doc_id", "source", "text_key", "nth", "value", "assigned", F.col("c.before").alias("before"), F.col("c.after").alias("after"))
 

@@ -56,3 +56,34 @@ def test_no_python_in_the_plans(odd):
     for df in (secrets.scan(odd), secrets.redacted(odd)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def _pem(name, head="", lines=40):
+    body = "\n".join(("Ab3+/" * 13)[i % 5 : i % 5 + 60] for i in range(lines))
+    return f"-----BEGIN {name}-----\n{head}{body}\n-----END {name}-----"
+
+
+KEYS = [_pem("RSA PRIVATE KEY", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0F1E2D3C4B5A6978\n\n"), _pem("PGP PRIVATE KEY BLOCK", "Version: GnuPG v2\nComment: a-b -- c\n\n"),
+        _pem("PRIVATE KEY", lines=20_000)]
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ" * 2 + "7x9Q2"
+WHOLE = [("k1", f"see {KEYS[0]} and {KEYS[1]} end", KEYS[:2]), ("k2", f'secret_key = "{KEYS[0]}"', KEYS[:1]), ("k3", f"-----BEGIN PRIVATE KEY-----\ncut off\n{KEYS[1]}", KEYS[1:2]),
+         ("k4", KEYS[2], KEYS[2:]), ("q1", 'password = "Tr0ub4dor;x9!kQ" # "x"', ["Tr0ub4dor;x9!kQ"]), ("q2", 'password="k9,Xq2Lr8Wb"', ["k9,Xq2Lr8Wb"]),
+         ("q3", "{'api_key': '<k9> \"Xq2\" Lr8', 'user': 'bob'}", ['<k9> "Xq2" Lr8']), ("q4", r'token = "a9\"b7,c5d3" "e"', [r'a9\"b7,c5d3']),
+         ("q5", r'pwd="C9:\x7\\", b="c"', [r"C9:\x7" + "\\\\"]), ("q6", 'password = "" + "other words"', []), ("q7", 'password="Xq2Lr8Wb,open', ["Xq2Lr8Wb"]),
+         ("q8", 'token = "' + r"x7\"" * 50_000 + '"', [r"x7\"" * 50_000]), ("r1", f"x {LETTERS} y", [LETTERS])]
+
+
+def test_candidates_are_whole(spark):
+    docs = spark.createDataFrame([(i, text, name) for i, (name, text, _) in enumerate(WHOLE)], "doc_id long, text string, source string")
+    got = {}
+    for r in secrets.candidates(docs).orderBy("doc_id", "nth").collect():
+        got.setdefault(r.source, []).append(r.value)
+    for name, _, want in WHOLE:
+        assert got.get(name, []) == want, name
+
+
+def test_whole_secrets_leave_the_text(spark, odd):
+    docs = odd.select("doc_id", "text", "source").union(spark.createDataFrame([(100 + i, text, name) for i, (name, text, _) in enumerate(WHOLE)], "doc_id long, text string, source string"))
+    clean = {r.source: r.text for r in secrets.redacted(docs).filter("doc_id >= 100").collect()}
+    assert clean["k1"] == "see [SECRET] and [SECRET] end" and clean["k2"] == 'secret_key = "[SECRET]"' and clean["k4"] == "[SECRET]"
+    assert clean["q1"] == 'password = "[SECRET]" # "x"' and clean["q2"] == 'password="[SECRET]"'
