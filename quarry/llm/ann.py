@@ -12,9 +12,11 @@ as hold the wanted number of vectors. Leaves are cut into blocks of at most abou
 ``BLOCK`` vectors; a task holds one block and the queries that visit it stream
 past. Scores are exact inner products in double precision.
 
-Defined results: vectors that are null, zero, hold null or non-finite components, are
-not of the commonest length or have a null vec_id take no part; with fewer candidates
-than wanted a query has fewer rows; equal scores go by vec_id; of rows with equal
+Each length of vectors has a tree and visits of its own, searched by the queries of that
+length.
+
+Defined results: vectors that are null, zero, hold null or non-finite components or have
+a null vec_id take no part; with fewer candidates (of the query's length) than wanted a query has fewer rows; equal scores go by vec_id; of rows with equal
 vec_id the least vector is the query, and none of them is its candidate; an empty
 table gives an empty result; other columns are not read.
 """
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import keep
-from .vectors import kmeans, matrix, sample, same_length, square_distances, usable
+from .vectors import kmeans, lengths, matrix, sample, square_distances, usable
 
 SAMPLE, BRANCHES, DEPTH = 8192, 4, 3
 CALIBRATION, RECALL = 128, 0.97
@@ -208,19 +210,11 @@ def calibrate(tree: Tree, rows: DataFrame, queries: DataFrame, k: int, recall: f
     return at[max(0, int(np.ceil(recall * len(at))) - 1)] + 1 if at else 1
 
 
-def search(embeddings: DataFrame, is_query: F.Column, k: int = 20) -> DataFrame:
-    """query_id, rank, vec_id, score: for each query row its ``k`` nearest found by inner product."""
-    spark = embeddings.sparkSession
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    fine = same_length(rows.filter(usable("embedding") & F.col("vec_id").isNotNull()), "embedding")
-    points = sample(fine, "vec_id", "embedding", SAMPLE, 8)
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not len(points):
-        return empty
-    tree = Tree(points)
-    kind = embeddings.schema["embedding"].dataType.simpleString()
+def _of_length(fine: DataFrame, queries: DataFrame, kind: str, k: int) -> DataFrame:
+    """query_id, vec_id, score of vectors and queries of one length: each visited block's best."""
+    spark = fine.sparkSession
+    tree = Tree(sample(fine, "vec_id", "embedding", SAMPLE, 8))
     leaves = keep(fine.mapInArrow(_leaves(spark.sparkContext.broadcast(tree)), f"vec_id long, embedding {kind}, leaf int"))
-    queries = keep(fine.filter(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
     sizes = np.zeros(tree.leaves, np.int64)
     for r in leaves.groupBy("leaf").count().collect():  # one row per leaf of the tree
         sizes[r[0]] = r[1]
@@ -232,5 +226,17 @@ def search(embeddings: DataFrame, is_query: F.Column, k: int = 20) -> DataFrame:
     sent = spark.sparkContext.broadcast((tree, least, sizes, blocks, k + 1))
     asked = queries.mapInArrow(_visits(sent), f"leaf int, block int, role int, vec_id long, embedding {kind}")
     both = held.union(asked).repartition("leaf", "block").sortWithinPartitions("leaf", "block", "role")
-    found = both.mapInArrow(_search(k), "query_id long, vec_id long, score double")
+    return both.mapInArrow(_search(k), "query_id long, vec_id long, score double")
+
+
+def search(embeddings: DataFrame, is_query: F.Column, k: int = 20) -> DataFrame:
+    """query_id, rank, vec_id, score: for each query row its ``k`` nearest found by inner product."""
+    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    fine = rows.filter(usable("embedding") & F.col("vec_id").isNotNull())
+    kind = embeddings.schema["embedding"].dataType.simpleString()
+    queries = keep(fine.filter(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
+    found = embeddings.sparkSession.createDataFrame([], "query_id long, vec_id long, score double")
+    for n in lengths(fine, "embedding"):
+        same = F.size("embedding") == n
+        found = found.union(_of_length(fine.filter(same), queries.filter(same), kind, k))
     return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

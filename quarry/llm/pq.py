@@ -16,10 +16,13 @@
 5. A shelf emits numbers of links and a spanning forest of its links, at most as
    many rows as vectors took part, never its pairs. Components join the forests.
 
-Defined results: vectors that are null, zero, hold null or non-finite components, or
-are not of the commonest length, link with nothing; a null vec_id links with
-nothing and is kept; rows with equal vec_id are vectors of their own under one name;
-an empty table gives an empty result; other columns are not read.
+Steps 2 to 4 run once for each length of vectors, so all of equal length are compared.
+
+Defined results: vectors that are null, zero, or hold null or non-finite components link
+with nothing, nor do vectors of different lengths; a null vec_id links with nothing and
+is kept; rows with equal vec_id are vectors of their own under one name (also of
+different lengths: components then join); an empty table gives an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, keep
-from .vectors import kmeans, matrix, sample, same_length, square_distances, unit, usable
+from .vectors import kmeans, lengths, matrix, sample, square_distances, unit, usable
 
 COSINE = 0.9
 SAMPLE, LISTS, PARTS, WORDS = 8192, 64, 8, 256
@@ -253,17 +256,10 @@ def _link(sent):
     return run
 
 
-def near_duplicates(embeddings: DataFrame) -> DataFrame:
-    """vec_id, n_links, component_id, kept."""
-    spark = embeddings.sparkSession
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    fine = same_length(rows.filter(usable("embedding") & F.col("vec_id").isNotNull()), "embedding")
-    classes = keep(fine.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")).select("vec_id", "copies", "embedding"))
-    points = sample(classes, "vec_id", "embedding", SAMPLE, 3)
-    if not len(points):
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    sent = spark.sparkContext.broadcast(Quantiser.fit(points))
-    kind = embeddings.schema["embedding"].dataType.simpleString()
+def _found(classes: DataFrame, kind: str) -> DataFrame:
+    """a, b, n, edge: numbers of links and spanning forests of classes of one length."""
+    spark = classes.sparkSession
+    sent = spark.sparkContext.broadcast(Quantiser.fit(sample(classes, "vec_id", "embedding", SAMPLE, 3)))
     columns = f"vec_id long, copies long, embedding {kind}"
     coded = keep(classes.mapInArrow(_encode(sent), f"{columns}, list int, codes binary"))
     counts = np.zeros(len(sent.value.centres), np.int64)
@@ -272,14 +268,25 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     shelves = spark.sparkContext.broadcast(Shelves.of(counts))
     spread = F.shiftrightunsigned(F.xxhash64(F.lit(4), "vec_id"), 1).alias("spread")
     placed = coded.select("*", spread).mapInArrow(_place(sent, shelves), f"shelf int, role int, {columns}, list int, codes binary")
-    found = keep(placed.repartition("shelf").sortWithinPartitions("shelf", "role").mapInArrow(_link(sent), "a long, b long, n long, edge boolean"))
+    return keep(placed.repartition("shelf").sortWithinPartitions("shelf", "role").mapInArrow(_link(sent), "a long, b long, n long, edge boolean"))
+
+
+def near_duplicates(embeddings: DataFrame) -> DataFrame:
+    """vec_id, n_links, component_id, kept."""
+    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    fine = rows.filter(usable("embedding") & F.col("vec_id").isNotNull())
+    classes = keep(fine.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")).select("vec_id", "copies", "embedding"))
+    kind = embeddings.schema["embedding"].dataType.simpleString()
+    found = embeddings.sparkSession.createDataFrame([], "a long, b long, n long, edge boolean, k int")
+    for k in lengths(classes, "embedding"):
+        found = found.union(_found(classes.filter(F.size("embedding") == k), kind).withColumn("k", F.lit(k)))
     comp = keep(components(found.filter("edge").select("a", "b")))
-    links = found.filter("not edge").groupBy("a").agg(F.sum("n").alias("n"))
-    of_class = classes.select("vec_id", "copies").join(links, F.col("vec_id") == F.col("a"), "left").join(comp, F.col("vec_id") == F.col("node"), "left")
-    of_class = of_class.select("vec_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
-    named = fine.join(classes.select("embedding", F.col("vec_id").alias("class")), "embedding").select("vec_id", "class")
-    linked = named.join(of_class.withColumnRenamed("vec_id", "class"), "class").select("vec_id", "n_links", "component_id")
-    length = len(points[0])
-    rest = rows.filter(~usable("embedding") | F.col("vec_id").isNull() | F.coalesce(F.size("embedding") != length, F.lit(True)))
+    links = found.filter("not edge").groupBy("a", F.col("k").alias("_k")).agg(F.sum("n").alias("n"))
+    of_class = classes.select("vec_id", "copies", F.size("embedding").alias("k"))
+    of_class = of_class.join(links, (F.col("vec_id") == F.col("a")) & (F.col("k") == F.col("_k")), "left").join(comp, F.col("vec_id") == F.col("node"), "left")
+    of_class = of_class.select(F.col("vec_id").alias("class"), "k", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
+    named = fine.join(classes.select("embedding", F.col("vec_id").alias("class")), "embedding").select("vec_id", "class", F.size("embedding").alias("k"))
+    linked = named.join(of_class, ["class", "k"]).select("vec_id", "n_links", "component_id")
+    rest = rows.filter(~usable("embedding") | F.col("vec_id").isNull())
     out = linked.union(rest.select("vec_id", F.lit(0).cast("long"), F.col("vec_id")))
     return out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -14,10 +14,10 @@ def usable(column: str) -> F.Column:
     return F.coalesce(F.col(column).isNotNull() & fine & F.exists(column, lambda x: x != 0), F.lit(False))
 
 
-def same_length(vectors: DataFrame, column: str) -> DataFrame:
-    """Those of the commonest length (the smallest of equally common ones); others cannot be compared."""
-    top = vectors.groupBy(F.size(column).alias("k")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "k").first()
-    return vectors.filter(F.size(column) == (top["k"] if top else 0))
+def lengths(vectors: DataFrame, column: str) -> list[int]:
+    """The lengths that two or more vectors have; only vectors of one length can be compared."""
+    n = vectors.groupBy(F.size(column).alias("k")).agg(F.count("*").alias("n")).filter("n > 1")
+    return sorted(r["k"] for r in n.collect())  # one row per length
 
 
 def sample(vectors: DataFrame, key: str, column: str, size: int, seed: int) -> np.ndarray:

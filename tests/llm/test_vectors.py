@@ -123,3 +123,37 @@ def test_calibrated_recall(spark, small_dir):
         hit += len(want & {v for v, _ in got})
         total += 20
     assert hit >= 0.93 * total
+
+
+def two_lengths():
+    """Two thirds of the vectors have 24 components, one third 8."""
+    long, g = clouds(), np.random.default_rng(5)
+    c = g.normal(size=(20, 8))
+    x = np.array([*g.normal(size=(150, 8)), *np.repeat(c, 5, axis=0) + 0.1 * g.normal(size=(100, 8))], np.float32)
+    x = np.array([*x, x[0], x[0], x[1]])
+    short = [(10_000 + 2 * i, v.tolist(), 0, 0) for i, v in enumerate(x)]
+    return long, short
+
+
+def test_vectors_of_each_length_are_linked(spark):
+    long, short = two_lengths()
+    pad = [(i, v + [0.0] * 16, a, b) for i, v, a, b in short]
+    got = sorted(map(tuple, pq.near_duplicates(spark.createDataFrame(long + short + ODD, SCHEMA)).collect()), key=str)
+    want = sorted(brute_links(long + ODD) + brute_links(pad), key=str)
+    assert got == want and sum(r[1] > 0 for r in want if r[0] and r[0] >= 10_000) > 100
+
+
+def test_one_name_for_vectors_of_two_lengths(spark):
+    rows = [(7, [1.0, 2.0], 0, 0), (3, [1.0, 2.0], 0, 0), (7, [1.0, 2.0, 3.0], 0, 0), (5, [1.0, 2.1, 3.0], 0, 0), (9, [1.0], 0, 0)]
+    got = sorted(map(tuple, pq.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()))
+    assert got[0][1:] == (1, 3, True) and got[-1] == (9, 0, 9, True) and [r[1] for r in got[1:-1]] == [1, 1, 1] and len(got) == 5
+
+
+def test_queries_of_each_length_are_answered(spark, monkeypatch):
+    monkeypatch.setattr(ann, "calibrate", lambda *a: 64)
+    long, short = two_lengths()
+    df = spark.createDataFrame(long + short + ODD, SCHEMA)
+    want = brute_search(long, 20, 7) | brute_search([(i, v + [0.0] * 16, a, b) for i, v, a, b in short], 20, 7)
+    got = found(ann.search(df, df.vec_id % 20 == 0, 7))
+    assert {q: [v for v, _ in x] for q, x in got.items()} == {q: [v for v, _ in x] for q, x in want.items()}
+    assert sum(q >= 10_000 for q in got) >= 20
