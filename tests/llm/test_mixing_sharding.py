@@ -68,6 +68,32 @@ def test_mixture_repeats_rows_as_planned(spark):
     assert mixing.plan(docs.limit(0)).count() == 0 and mixing.mixture(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("same_text", [False, True])
+def test_one_document_of_a_source_is_cut_where_many_share_a_doc_id(spark, same_text):
+    rows = []
+    for s, n in (("a", 60), ("b", 90), ("c", 150), (None, 120)):
+        rows += [(len(rows) + i, f"own {s} {i} " * (2 + i % 5), s, 1) for i in range(n // 3)]
+        rows += [(None, "same same  text\nhere five" if same_text else f"no  id\n{s} {i} " * (1 + i % 4), s, 1) for i in range(n - 2 * (n // 3))]
+        rows += [(77, "one more  time" if same_text else f"id  77 {s} {i} " * (1 + i % 3), s, 1) for i in range(n // 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").repartition(5)
+    check(docs)
+    got = mixing.mixture(docs).collect()
+    whole = {(r[2], r[1]) for r in rows}
+    parts = [r.source for r in got if (r.source, r.text) not in whole]
+    assert len(parts) == len(set(parts)) <= 4
+    assert sum(len(WORD.findall(r.text)) for r in got) == mixing.plan(docs).groupBy().agg(F.sum("taken")).first()[0]
+    if same_text:  # the cut falls among equal rows in some source: not all of them are decided alike
+        assert any(len({r.taken for r in v}) > 1 for v in _equal(mixing.plan(docs).collect()).values())
+
+
+def _equal(rows):
+    out = {}
+    for r in rows:
+        if r.doc_id in (None, 77):
+            out.setdefault((r.source_size, r.doc_id, r.size), []).append(r)
+    return out
+
+
 def test_shards_by_key(spark, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
     out = sharding.shard(docs, sharding.Tree.of(40)).join(docs.select("doc_id", "text"), "doc_id").toPandas()
