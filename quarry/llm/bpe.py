@@ -37,7 +37,7 @@ from .common import map_texts
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 
 #: Characters of text that are encoded together (a longer text is alone).
-BATCH_CHARS = 8_000_000
+BATCH_CHARS = 2_000_000
 
 _SEPARATORS = regex.compile("[\x1c-\x1f]")
 
@@ -270,6 +270,25 @@ def decode(tokens: DataFrame, tokenizer: str) -> DataFrame:
     return map_texts(tokens.select("doc_id", "ids"), run, "doc_id long, ids array<int>, decoded string")
 
 
+def tokens(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
+    """doc_id, ``ids`` and ``decoded``: encodes and decodes in one pass."""
+    spec = docs.sparkSession.sparkContext.broadcast(WordBpe.from_file(tokenizer))
+
+    def run(batches):
+        bpe = spec.value
+        for batch in batches:
+            for a, b in _text_batches(batch, 1):
+                rows = bpe.encode([t or "" for t in batch.column(1).slice(a, b - a).to_pylist()])
+                for x in range(0, b - a, 500):
+                    some = rows[x : x + 500]
+                    offsets = np.append(0, np.cumsum([len(r) for r in some]))
+                    ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(some), pa.int32()))
+                    decoded = pa.array(list(map(bpe.decode, some)), pa.string())
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a + x, len(some)), ids, decoded], names=["doc_id", "ids", "decoded"])
+
+    return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text)), run, "doc_id long, ids array<int>, decoded string")
+
+
 def round_trip(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes, decodes and digests in one pass."""
     spec = docs.sparkSession.sparkContext.broadcast(WordBpe.from_file(tokenizer))

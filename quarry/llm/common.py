@@ -4,6 +4,8 @@ as numpy hashes, components, running positions inside large groups.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -41,9 +43,28 @@ BATCH_BYTES = 8 << 20
 
 def map_texts(df: DataFrame, function, schema) -> DataFrame:
     """``mapInArrow`` over rows with texts, in batches of ``BATCH_BYTES`` (set for the
-    session; its default of 64 MB is held in several copies)."""
+    session; its default of 64 MB is held in several copies).
+
+    Spark uses Python workers again for later tasks: at its end each task gives the
+    memory it no longer needs back to the machine.
+    """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        yield from function(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return free memory of Python, Arrow and the allocator to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 # ------------------------------------------------------------------ words in numpy

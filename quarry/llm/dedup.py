@@ -8,8 +8,8 @@
    the bucket's smallest member, so candidates stay linear in the bucket (and
    first only with the smallest of all these); buckets whose members are then
    still in different components are compared block by block, only across
-   components. No pair list of a bucket is made
-   before the signatures have judged it.
+   components and never inside the bucket's largest one. No pair list of a bucket
+   is made before the signatures have judged it.
 4. Signatures are compared by counting differing positions (XOR and OR of the
    planes, bit counts) corrected for chance collisions; pairs far below the
    threshold go. The rest are confirmed on the full shingle sets.
@@ -17,8 +17,11 @@
 
 Defined results: a null or empty text (or one without words) has an empty set
 and links with nothing; fewer than five words are one shingle; repeated rows are
-copies; rows with a null doc_id are returned with a null component and kept; an
-empty table gives an empty result; other columns are not read.
+copies; a doc_id that stands on different texts has a row, and a component, for each
+of them; rows with a null doc_id are returned with a null component and kept; very
+long texts are shingled whole, in windows of bytes; ties are broken by the smaller
+doc_id, then by the text's hash; an empty table gives an empty result; other columns
+are not read.
 
 A pair at similarity 0.75 misses every band with probability 5e-6, and fails
 the signature test with probability below 1e-6; more similar pairs less often.
@@ -27,6 +30,7 @@ the signature test with probability below 1e-6; more similar pairs less often.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +45,11 @@ PERCENT = 75
 #: Pairs with more differing positions are dropped: 5.4 standard deviations above
 #: what similarity 0.75 gives (0.25 * 15/16 of 128 positions: 30, deviation 4.8).
 MOST_DIFFERENT = 56
-BLOCK = 512
+#: Members of a block whose signatures are compared, and whose texts are, with the
+#: latter's shingles in all (a longer text is a block by itself).
+SIGNATURE_BLOCK, BLOCK, BLOCK_SHINGLES = 4096, 512, 500_000
+#: Members of a hub that one task confirms.
+STAR = 256
 
 _rng = np.random.default_rng(5)
 _MULT = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -49,7 +57,7 @@ _ADD = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
 _PLACE = _rng.integers(0, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND = _rng.integers(0, 1 << 63, BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-FEATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, planes array<long>"
+FEATURES = "doc_id long, text_key long, n_shingles long, set_a long, set_b long, bands array<long>, planes array<long>"
 
 
 def shingle_sets(col: pa.Array) -> Iterator[np.ndarray]:
@@ -105,15 +113,20 @@ def _features(batches):
             low = np.array(low)
             keys = band_keys(low)
             yield pa.RecordBatch.from_arrays(
-                [ids.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(signed(np.array(a, np.uint64))),
+                [ids.cast(pa.int64()), batch.column(2).slice(at, 2000), pa.array(n, pa.int64()), pa.array(signed(np.array(a, np.uint64))),
                  pa.array(signed(np.array(b, np.uint64))), list_array(signed(keys), keys.shape[1]),
                  list_array(planes(low), 2 * BITS)],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "planes"])
+                names=["doc_id", "text_key", "n_shingles", "set_a", "set_b", "bands", "planes"])
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """Set size, set key, band keys and packed signature of each document."""
-    return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _features, FEATURES)
+    """Hash of the text, set size, set key, band keys and packed signature of each document."""
+    return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key()), _features, FEATURES)
+
+
+def text_key() -> F.Column:
+    """With doc_id, names a text."""
+    return F.xxhash64("text").alias("text_key")
 
 
 def differing(a: str, b: str) -> F.Column:
@@ -162,7 +175,7 @@ def _confirm(batches):
         found = []
         for role, doc, u in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), shingle_sets(part.column(4))):
             if role == 0:
-                heads.append(u)
+                heads = heads or [u]  # a repeated row brings the same text again
                 continue
             for h in heads:
                 common = len(np.intersect1d(h, u, assume_unique=True))
@@ -173,25 +186,35 @@ def _confirm(batches):
             yield pa.RecordBatch.from_arrays([pa.array([key[0]] * len(found), pa.int64()), pa.array(found, pa.int64())], names=["a", "b"])
 
 
-def _with_text(docs: DataFrame, rows: DataFrame, node: str) -> DataFrame:
-    """``rows`` with the text of ``node``. The number of rows has no bound, so they
-    are never broadcast: the plan is the same merge join at every size."""
-    text = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"))
-    return text.hint("merge").join(rows, F.col("_id") == F.col(node))
+@dataclass
+class Texts:
+    """The documents, and for each node the doc_id and text_key of a text that has its set."""
+
+    docs: DataFrame
+    names: DataFrame
+
+    def of(self, rows: DataFrame, node: str) -> DataFrame:
+        """``rows`` with the text of ``node``. The number of rows has no bound, so they
+        are never broadcast: the plan is the same merge join at every size. Of rows that
+        repeat a text one is taken for each node by the readers of the result."""
+        text = self.docs.select(F.col("doc_id").cast("long").alias("_id"), text_key().alias("_key"), F.col("text").alias("_text"))
+        named = rows.join(self.names.select(F.col("node").alias(node), F.col("doc_id").alias("_doc"), F.col("text_key").alias("_name")), node)
+        return text.hint("merge").join(named, (F.col("_id") == F.col("_doc")) & (F.col("_key") == F.col("_name"))).drop("_id", "_key", "_doc", "_name")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, texts: Texts) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full shingle sets are similar enough.
 
     Members stream past their hub's set; a hub with many members is dealt to
     several tasks, each with a copy of the hub's text.
     """
-    many = pairs.groupBy("a").agg(F.count("*").alias("n"))
-    p = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / 256)).alias("salt"))
+    pairs = keep(pairs)
+    many = keep(pairs.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") > STAR))  # a row for STAR pairs at most
+    p = pairs.join(many, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.coalesce("n", F.lit(1)) / STAR)).alias("salt"))
     heads = p.select("a", "salt").distinct().select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("id"))
     rows = heads.union(p.select("a", "salt", F.lit(1), "b"))
-    rows = _with_text(docs, rows, "id").select("a", "salt", "role", "id", "_text")
-    return map_texts(rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role"), _confirm, "a long, b long")
+    rows = texts.of(rows, "id").select("a", "salt", "role", "id", "_text")
+    return map_texts(rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role"), _confirm, "a long, b long").distinct()
 
 
 # ------------------------------------------------------------------ mixed buckets
@@ -273,57 +296,82 @@ def _linked(batches):
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def across_components(members: DataFrame, comp: DataFrame, sigs: DataFrame, docs: DataFrame) -> DataFrame:
+def _blocked(m: DataFrame, most: int, shingles: int | None = None) -> DataFrame:
+    """Rows of ``m`` (key, node, component, n_shingles, ...) in pairs of blocks x and y.
+
+    Only buckets of several components; members of a bucket's largest component (big)
+    meet the others only, these meet all. A bucket with few others makes rows in
+    proportion to its size.
+    """
+    parts = m.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    b = parts.groupBy("key").agg(F.max(F.struct("n", "component", "s")).alias("big"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("parts"))
+    blocks = lambda n, s: F.greatest(F.ceil(n / most), F.ceil(s / shingles) if shingles else F.lit(1), F.lit(1)).cast("int")
+    b = keep(b.filter("parts > 1").select("key", F.col("big.component").alias("largest"), blocks(F.col("big.n"), F.col("big.s")).alias("bigs"),
+                                          blocks(F.col("n") - F.col("big.n"), F.col("s") - F.col("big.s")).alias("smalls")))
+    m = m.join(b, "key")
+    big, h = F.col("component") == F.col("largest"), F.xxhash64("node")
+    m = m.withColumn("block", F.when(big, F.col("smalls") + F.pmod(h, F.col("bigs"))).otherwise(F.pmod(h, F.col("smalls"))).cast("int"))
+    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("smalls") + F.when(big, 0).otherwise(F.col("bigs")) - 1)))
+    return m.withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
+
+
+def across_components(members: DataFrame, comp: DataFrame, sigs: DataFrame, texts: Texts) -> DataFrame:
     """Links between different components in the same bucket."""
     m = members.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = m.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key")
-    m = m.join(mixed, "key").join(sigs, "node")
-    m = m.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    m = m.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "node", "component", "planes")
+    m = _blocked(keep(m.select("key", "node", "component", F.lit(0).alias("n_shingles"))), SIGNATURE_BLOCK)
+    m = m.join(sigs.select("node", "planes"), "node").select("key", "x", "y", "block", "node", "component", "planes")
     columns = "key long, x int, y int, block int, node long, component long"
-    near = keep(m.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_close, columns))
-    rows = _with_text(docs, near, "node").select("key", "x", "y", "block", "node", "component", "_text")
+    near = m.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_close, columns)
+    near = keep(near.select("key", "node", "component").distinct().join(sigs.select("node", "n_shingles"), "node"))
+    rows = texts.of(_blocked(near, BLOCK, BLOCK_SHINGLES), "node").select("key", "x", "y", "block", "node", "component", "_text")
     return map_texts(rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y"), _linked, "a long, b long")
 
 
 # ------------------------------------------------------------------ the operator
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, text_class (smallest doc_id of equal sets)."""
+def groups(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id, text_class, stays: whether this text is the one that stands for its component.
+
+    Nodes are distinct sets (not documents: a doc_id may stand on several texts),
+    numbered as they are written to the shared folder.
+    """
     feats = keep(features(docs))
-    known = feats.filter("doc_id is not null")
-    full = known.filter("n_shingles > 0")
-    classes = full.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("text_class"))
-    of_class = keep(full.select("doc_id", "n_shingles", "set_a", "set_b").join(classes, ["n_shingles", "set_a", "set_b"])
-                    .select("doc_id", "n_shingles", "set_a", "set_b", "text_class"))
-    firsts = of_class.filter("doc_id = text_class").select("doc_id", "set_a", "set_b").distinct()
-    nodes = full.join(firsts, ["doc_id", "set_a", "set_b"], "left_semi").dropDuplicates(["doc_id", "set_a", "set_b"])
-    nodes = keep(nodes.select(F.col("doc_id").alias("node"), "bands", "planes"))
+    full = feats.filter("doc_id is not null and n_shingles > 0")
+    key = ["n_shingles", "set_a", "set_b"]
+    first = full.groupBy(*key).agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.first("bands").alias("bands"), F.first("planes").alias("planes"))
+    nodes = keep(first.select(F.monotonically_increasing_id().alias("node"), *key, "first.doc_id", "first.text_key", "bands", "planes"))
 
+    texts = Texts(docs, nodes.select("node", "doc_id", "text_key"))
+    sigs = nodes.select("node", "planes", "n_shingles")
     postings = nodes.select("node", F.explode("bands").alias("key"))
-    sigs = nodes.select("node", "planes")
-    buckets = postings.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    members = keep(postings.join(buckets, "key").select("key", "node", "hub", "n"))
+    buckets = postings.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("key", "hub")
+    members = keep(postings.join(buckets, "key").select("key", "node", "hub"))
     stars = members.filter("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     stars = (stars.join(sigs.select(F.col("node").alias("a"), F.col("planes").alias("pa")), "a")
              .join(sigs.select(F.col("node").alias("b"), F.col("planes").alias("pb")), "b")
-             .filter(differing("pa", "pb") <= MOST_DIFFERENT).select("a", "b").distinct())
+             .filter(differing("pa", "pb") <= MOST_DIFFERENT).select("a", "b"))
     # each member with the smallest of its buckets' smallest members; what that
     # connects needs no further comparison
-    first = stars.groupBy("b").agg(F.min("a").alias("a"))
-    links = keep(confirm(first.select("a", "b"), docs))
+    links = keep(confirm(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), texts))
     comp = keep(components(links))
-    more = keep(across_components(members, comp, sigs, docs))
+    more = keep(across_components(members, comp, sigs, texts))
     if not more.isEmpty():
         comp = keep(components(links.union(more)))
 
-    linked = of_class.join(comp.withColumnRenamed("node", "text_class"), "text_class", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "text_class").alias("component_id"), "text_class")
+    named = nodes.select("node", *key, F.struct("doc_id", "text_key").alias("first")).join(comp, "node", "left").withColumn("root", F.coalesce("component", "node"))
+    named = keep(named.select("root", *key, "first"))
+    roots = keep(named.groupBy("root").agg(F.min("first").alias("least")))
+    named = keep(named.join(roots, "root").select(*key, F.col("first.doc_id").alias("text_class"), "least"))
+    linked = full.select("doc_id", "text_key", *key).join(named, key)
+    linked = linked.select("doc_id", "text_key", "n_shingles", F.col("least.doc_id").alias("component_id"), "text_class",
+                           (F.struct("doc_id", "text_key") == F.col("least")).alias("stays"))
     alone = feats.filter("doc_id is null or n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("doc_id").alias("text_class"))
-    out = linked.union(alone)
-    return out.select("doc_id", "n_shingles", "component_id",
-                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "text_class")
+        "doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"), F.col("doc_id").alias("text_class"), F.lit(True))
+    return linked.union(alone)
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, text_class (smallest doc_id of equal sets)."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return groups(docs).select("doc_id", "n_shingles", "component_id", kept, "text_class")

@@ -8,6 +8,11 @@ backpropagation through time on a bounded sample of windows of labelled texts
 (``SAMPLE_WINDOWS`` in all, the same number of documents for each language, chosen
 by a hash of doc_id); its size is fixed, so it is sent to the tasks as is.
 
+For a corpus that may hold other languages ``fit_judge`` trains the network with one more
+class, of made-up text in other scripts and of random letters, and calibrates on
+labelled documents that it did not learn from when a text is rejected: if that class, or
+no language clearly, takes it. A language whose words look like a learned one's is not told apart.
+
 Defined results: a null text, or one without a letter, is ``und`` with score 0, and
 so is every text where nothing is labelled; rows with a null lang or doc_id are not
 learned from; a null doc_id is not held out; repeated rows give repeated results;
@@ -32,7 +37,11 @@ WINDOW, HIDDEN = 64, 8
 #: The bound of the training sample, and of the windows that one document gives to it.
 SAMPLE_WINDOWS, WINDOWS_PER_DOC = 12_000, 6
 STEPS, BATCH, RATE = 260, 160, 0.02
+#: Documents on which the judge's limits are calibrated, and the share of them that may lie beyond a limit.
+CALIBRATION_DOCS, BEYOND = 4_000, 0.001
 UNDETERMINED = "und"
+#: The class of made-up text (no language has an empty name).
+OTHER = ""
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -236,15 +245,17 @@ def _sample_windows(batches):
         yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(order, pa.int64()), pa.array(got, pa.binary())], names=["lang", "place", "bytes"])
 
 
-def fit(docs: DataFrame, learn: F.Column) -> Network | None:
-    """Train on a sample of the rows of ``docs`` for which ``learn`` holds."""
-    d = docs.filter(learn).filter("lang is not null and text is not null and doc_id is not null").select("lang", "doc_id", "text")
-    d = d.filter(F.col("text").rlike(r"\p{L}"))
+def _learnable(docs: DataFrame) -> DataFrame:
+    d = docs.filter("lang is not null and text is not null and doc_id is not null").select("lang", "doc_id", "text")
+    return d.filter(F.col("text").rlike(r"\p{L}"))
+
+
+def _sampled(d: DataFrame, windows: int) -> list:
+    """Rows (lang, place, bytes) of about ``windows`` windows, of equally many documents of each language."""
     counts = {r[0]: r[1] for r in d.groupBy("lang").count().collect()}  # one row per language
-    langs = sorted(counts)
-    if not langs:
-        return None
-    per = max(1, SAMPLE_WINDOWS // (WINDOWS_PER_DOC * len(langs)))
+    if not counts:
+        return []
+    per = max(1, windows // (WINDOWS_PER_DOC * len(counts)))
     # rows whose hash is in the lowest part that holds twice as many as wanted; then the exact number of these
     order = F.xxhash64(F.lit(9), "doc_id")
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (2 * per + 20) / n))])
@@ -252,17 +263,82 @@ def fit(docs: DataFrame, learn: F.Column) -> Network | None:
     first = Window.partitionBy("lang").orderBy("order", "doc_id", "text")
     d = d.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per)
     got = map_texts(d.select("lang", "n", "text"), _sample_windows, "lang string, place long, bytes binary").collect()
-    got.sort(key=lambda r: (r.lang, r.place))
-    lengths = np.array([len(r.bytes) for r in got])
-    windows = np.zeros((len(got), WINDOW), np.uint8)
-    for i, r in enumerate(got):
-        windows[i, : len(r.bytes)] = np.frombuffer(r.bytes, np.uint8)
-    labels = np.array([langs.index(r.lang) for r in got])
-    return train(windows, lengths, labels, langs)
+    return sorted(got, key=lambda r: (r.lang, r.place))
+
+
+def _as_array(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    windows = np.zeros((len(texts), WINDOW), np.uint8)
+    for i, t in enumerate(texts):
+        windows[i, : len(t)] = np.frombuffer(t, np.uint8)
+    return windows, np.array([len(t) for t in texts], np.int64)
+
+
+def fit(docs: DataFrame, learn: F.Column) -> Network | None:
+    """Train on a sample of the rows of ``docs`` for which ``learn`` holds."""
+    got = _sampled(_learnable(docs.filter(learn)), SAMPLE_WINDOWS)
+    if not got:
+        return None
+    langs = sorted({r.lang for r in got})
+    return train(*_as_array([r.bytes for r in got]), np.array([langs.index(r.lang) for r in got]), langs)
+
+
+# ------------------------------------------------------------------ rejecting
+
+#: First and last letters of scripts (Greek, Cyrillic, Hebrew, Arabic, Devanagari, Thai, kana, ideographs, Hangul).
+_SCRIPTS = [(0x3B1, 0x3C9), (0x430, 0x44F), (0x5D0, 0x5EA), (0x627, 0x64A), (0x905, 0x939), (0xE01, 0xE2E), (0x3041, 0x30FA), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3)]
+
+
+def made_up(n: int, seed: int = 19) -> list[bytes]:
+    """``n`` windows of words in other scripts or of letters a to z in no language's order."""
+    g, out = np.random.default_rng(seed), []
+    while len(out) < n:
+        a, b = _SCRIPTS[g.integers(len(_SCRIPTS))] if g.random() < 0.6 else (0x61, 0x7A)
+        words = ["".join(map(chr, g.integers(a, b + 1, g.integers(2, 11)))) for _ in range(20)]
+        out.append(" ".join(words).encode()[g.integers(0, 8) :][:WINDOW])
+    return out
+
+
+@dataclass
+class Judge:
+    """A network with the class of made-up text, and the limits beyond which a text is rejected."""
+
+    net: Network
+    least: float
+    most_other: float
+
+    def rejects(self) -> F.Column:
+        return (F.col("lang_pred") == UNDETERMINED) | (F.col("other") > self.most_other) | (F.col("score") < self.least)
+
+
+def fit_judge(docs: DataFrame, learn: F.Column) -> Judge | None:
+    """Train on the rows of ``docs`` for which ``learn`` holds, calibrate on a sample of the others; None if nothing is labelled."""
+    got = _sampled(_learnable(docs.filter(learn)), SAMPLE_WINDOWS)
+    if not got:
+        return None
+    langs = sorted({r.lang for r in got})
+    other = made_up(max(60, len(got) // len(langs)))
+    labels = [langs.index(r.lang) for r in got] + [len(langs)] * len(other)
+    net = train(*_as_array([r.bytes for r in got] + other), np.array(labels), [*langs, OTHER])
+    texts: dict[tuple, bytes] = {}
+    for r in _sampled(_learnable(docs.filter(~learn)), CALIBRATION_DOCS * WINDOWS_PER_DOC):
+        name = (r.lang, r.place // WINDOWS_PER_DOC)
+        texts[name] = texts.get(name, b"") + r.bytes
+    right = []
+    if texts:
+        data = np.frombuffer(b"".join(texts.values()), np.uint8)
+        p = Reader(net).documents(data, np.append(0, np.cumsum([len(t) for t in texts.values()])))
+        best = p[:, :-1].argmax(axis=1)
+        ok = np.array([langs[i] == lang for i, (lang, _) in zip(best, texts)])
+        right = np.array([p[ok, best[ok]] / np.maximum(1 - p[ok, -1], 1e-9), p[ok, -1]])
+    if not len(right) or not right.shape[1]:
+        return Judge(net, 0.0, 0.5)
+    # clear cases only, however the calibration falls: nearly equal shares, or made-up text in the majority
+    return Judge(net, min(0.3, float(np.quantile(right[0], BEYOND))), max(0.5, float(np.quantile(right[1], 1 - BEYOND))))
 
 
 def predict(docs: DataFrame, net: Network | None, keep_columns: list[F.Column], kept_text: str | None = None) -> DataFrame:
-    """``keep_columns`` with lang_pred and score, from the text alone.
+    """``keep_columns`` with lang_pred and score, from the text alone; for a network with the
+    class of made-up text also ``other``, its share (score is then the language's share of the rest).
 
     ``kept_text`` names the text if it is one of them, so that it is sent once."""
     rows = docs.select(*keep_columns) if kept_text else docs.select(*keep_columns, F.col("text").alias("_text"))
@@ -271,6 +347,8 @@ def predict(docs: DataFrame, net: Network | None, keep_columns: list[F.Column],
     if net is None:
         return rows.select(*names).withColumn("lang_pred", F.lit(UNDETERMINED)).withColumn("score", F.lit(0.0))
     sent = docs.sparkSession.sparkContext.broadcast(Reader(net))
+    judged = net.langs[-1] == OTHER
+    added = ["lang_pred", "score", *["other"] * judged]
 
     def run(batches):
         reader = sent.value
@@ -279,13 +357,17 @@ def predict(docs: DataFrame, net: Network | None, keep_columns: list[F.Column],
                 part = batch.slice(a, 1000)
                 text = part.column(at)
                 p = reader.documents(*text_bytes(text))
+                if judged:
+                    p, none = p[:, :-1], p[:, -1]
+                    p = p / np.maximum(1 - none, 1e-9)[:, None]
                 best = p.argmax(axis=1)
                 known = [t is not None and _LETTER.search(t) is not None for t in text.to_pylist()]
                 lang = [reader.langs[i] if k else UNDETERMINED for i, k in zip(best.tolist(), known)]
                 score = np.where(known, np.clip(p[np.arange(len(best)), best], 0, 1), 0.0)
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(lang, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
+                new = [pa.array(lang, pa.string()), pa.array(score), *([pa.array(none)] if judged else [])]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], *new], names=[*names, *added])
 
-    schema = T.StructType([*rows.schema[: len(names)], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*rows.schema[: len(names)], *[T.StructField(c, T.StringType() if c == "lang_pred" else T.DoubleType()) for c in added]])
     return map_texts(rows, run, schema)
 
 

@@ -73,12 +73,14 @@ def test_nulls_empties_repeats_case_and_long_texts(spark):
 
 def test_blocks_of_a_mixed_bucket_find_all_links(spark, monkeypatch):
     monkeypatch.setattr(dedup, "BLOCK", 3)
+    monkeypatch.setattr(dedup, "SIGNATURE_BLOCK", 4)
     texts = [" ".join(f"{k}w{i}" for i in range(30)) for k in range(3)]
     docs = spark.createDataFrame([(n, texts[n % 3] + f" end{n}") for n in range(1, 9)], "doc_id long, text string")
     f = dedup.features(docs)
-    members = f.select(F.lit(7).cast("long").alias("key"), F.col("doc_id").alias("node"), F.lit(8).cast("long").alias("n"))
+    f = f.withColumn("node", F.col("doc_id"))
+    members = f.select(F.lit(7).cast("long").alias("key"), "node")
     none = spark.createDataFrame([(1, 1)], "node long, component long")
-    links = dedup.across_components(members, none, f.select(F.col("doc_id").alias("node"), "planes"), docs)
+    links = dedup.across_components(members, none, f.select("node", "planes", "n_shingles"), dedup.Texts(docs, f))
     got = {(r.node, r.component) for r in common.components(links).collect()}
     assert got == {(1, 1), (4, 1), (7, 1), (2, 2), (5, 2), (8, 2), (3, 3), (6, 3)}
 
@@ -129,3 +131,29 @@ def test_sizes_match_spark_words(spark, small_dir):
     n = docs.select("doc_id", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).alias("w"))
     f = dedup.features(docs).join(n, "doc_id")
     assert f.filter("n_shingles > greatest(1, w - 4)").count() == 0
+
+
+def test_a_doc_id_on_several_texts_loses_none(spark):
+    words = [f"w{i}" for i in range(40)]
+    a, unique, other = " ".join(words), " ".join(f"u{i}" for i in range(40)), " ".join(f"c{i}" for i in range(40))
+    rows = [(1, a), (2, a + " more"), (2, unique), (3, other), (5, unique + " x"), (5, unique + " x"), (6, other), (6, other + " y")]
+    df = frame(spark, rows).select("doc_id", "text")
+    out = dedup.groups(df).join(df.withColumn("text_key", F.xxhash64("text")).distinct(), ["doc_id", "text_key"]).collect()
+    got = sorted({(r.doc_id, r.text, r.component_id, r.stays) for r in out})
+    assert got == sorted({(1, a, 1, True), (2, a + " more", 1, False), (2, unique, 2, True), (3, other, 3, True),
+                          (5, unique + " x", 2, False), (6, other, 3, False), (6, other + " y", 3, False)})
+    assert len(out) == len(rows)
+
+
+def test_a_mixed_bucket_of_one_large_component_makes_linear_rows(spark):
+    n = 3000  # near copies in one component, and a stray member
+    m = spark.range(n).select(F.lit(7).cast("long").alias("key"), F.col("id").alias("node"), F.when(F.col("id") < n - 1, 0).otherwise(9).cast("long").alias("component"),
+                              F.lit(100).alias("n_shingles"))
+    rows = dedup._blocked(m, 100)
+    assert rows.count() <= n + 40
+    pairs = rows.groupBy("key", "x", "y").agg(F.countDistinct("component").alias("c"))
+    assert pairs.filter("c > 1").count() == -(-(n - 1) // 100)  # the stray member meets every block
+    every = spark.range(300).select(F.lit(7).cast("long").alias("key"), F.col("id").alias("node"), F.col("id").alias("component"), F.lit(100).alias("n_shingles"))
+    met = dedup._blocked(every, 100).select("x", "y", "block", "node")
+    met = met.alias("a").join(met.alias("b"), F.expr("a.x = b.x and a.y = b.y and a.node < b.node and (a.block = a.x and b.block = b.y or a.block = a.y and b.block = b.x)"))
+    assert met.select("a.node", "b.node").distinct().count() == 300 * 299 // 2

@@ -83,9 +83,49 @@ def test_odd_rows_pass_all_stages(spark):
     assert df.count() == 0
 
 
+def rows_of(spark, rows):
+    return spark.createDataFrame([(*r, "en", "a", len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_no_unique_text_goes_with_a_doc_id_that_stands_twice(spark):
+    a, unique, other = (" ".join(f"{k}{i}" for i in range(40)) for k in "auc")
+    docs = rows_of(spark, [(1, a), (2, a + " more"), (2, unique), (3, other), (3, other)])
+    assert sorted((r.doc_id, r.text) for r in cp.near_dedup(spark, docs, None).collect()) == [(1, a), (2, unique), (3, other)]
+
+
+@pytest.mark.parametrize("names", [["_text", "_id", "_key", "_doc", "_row"], ["text_key", "node", "stays", "component", "key", "least"],
+                                   ["_rest", "lang_pred", "score", "other", "_text_key", "_values", "_clean"], ["size", "place", "cut", "taken", "_taken", "_s", "_part", "ids"]])
+def test_extra_columns_of_any_name_pass(spark, names):
+    docs = rows_of(spark, [(1, "the same text twice over and over"), (2, "the same text twice over and over"), (3, "password=9c1f6c02f845bf3028d here")])
+    docs = docs.select("*", *[F.lit(c).alias(c) for c in names])
+    for name, stage in cp.STAGES[:-1]:
+        out = keep(stage(spark, docs, None))
+        assert out.columns == docs.columns, name
+        assert all(r[c] == c for r in out.collect() for c in names), name
+    assert [r.doc_id for r in cp.near_dedup(spark, docs, None).orderBy("doc_id").collect()] == [1, 3]
+    assert cp.tokens(spark, docs, None).columns == ["doc_id", "ids", "decoded"]
+
+
+def test_without_any_lang_texts_with_letters_pass(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    want = {r.doc_id for r in docs.collect() if r.text and regex.search(r"\p{L}", r.text)}
+    assert {r.doc_id for r in cp.language_id(spark, docs, None).collect()} == want
+
+
+def test_foreign_scripts_go_and_labelled_languages_stay(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    foreign = ["Это предложение написано на русском языке и должно быть отклонено", "これは日本語の文章です。短いですが明らかに日本語です。",
+               "Αυτή είναι μια ελληνική πρόταση", "هذه جملة مكتوبة باللغة العربية", "xqzv kjwp qqxz vbnm wrtp lkjh zxcv"]
+    more = spark.createDataFrame([(10**9 + i, t, None, "x", len(t)) for i, t in enumerate(foreign)], docs.schema)
+    left = {r.doc_id for r in cp.language_id(spark, docs.union(more), None).collect()}
+    assert not left & {10**9 + i for i in range(len(foreign))}
+    clean = {r.doc_id for r in docs.collect() if r.text and regex.search(r"\p{L}", r.text)}
+    assert len(clean - left) <= 0.005 * len(clean)
+
+
 def test_entry_has_the_pipeline():
     path = importlib.util.find_spec("corpus_pipeline").origin.rsplit("/", 1)[0]
     spec = importlib.util.spec_from_file_location("entry", f"{path}/__spark_entry__.py")
     entry = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(entry)
-    assert "pipeline" in entry.queries() and sum(q.startswith("op") and q[2].isdigit() for q in entry.queries()) == 10
+    assert "pipeline" in entry.queries() and sum(q.startswith("op") and q[2].isdigit() for q in entry.queries()) == 13
