@@ -21,6 +21,7 @@ from ..operators import bayes as nb
 from ..sources import parse as ps
 from ..sources import tables as tb
 from ..sources import text as tx
+from . import extended
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -291,20 +292,22 @@ def q_transaction_parse(spark, sf):
 
 
 def q_link_parse(spark, sf):
-    p = ps.parse_links(_link_lines(spark, sf))
-    return p.select("src", "dst", "ok")
+    # the lines of number 4 begin with a space: an empty first token, and so an edge from the page ""
+    lines = _link_lines(spark, sf, F.when(F.col("l_linenumber") == 4, " ").otherwise(""))
+    return ps.parse_links(lines).select("src", "dst", "ok")
 
 
-def _link_lines(spark, sf):
+def _link_lines(spark, sf, lead=None):
     """One link line per lineitem row; number 7 has a single token and number 6
-    a token and a space (both rejects), number 5 a space too many at the end."""
+    a token and a space (both rejects), number 5 a space too many at the end.
+    ``lead`` stands before the line."""
     li = tb.table(spark, sf, "lineitem")
     src = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
     both = F.concat(src, F.lit(" s"), F.col("l_suppkey").cast("string"))
     number = F.col("l_linenumber")
     line = F.when(number == 7, src).when(number == 6, F.concat(src, F.lit(" "))).when(
         number == 5, F.concat(both, F.lit(" "))).otherwise(both)
-    return li.select(line.alias("value"))
+    return li.select((line if lead is None else F.concat(lead, line)).alias("value"))
 
 
 def _category_lines(spark, sf):
@@ -427,4 +430,4 @@ REGISTRY: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    return dict(REGISTRY)
+    return {**REGISTRY, **extended.QUERIES}

@@ -7,6 +7,7 @@ arithmetic as Spark (a bare 0.24 is DECIMAL in DuckDB).
 from __future__ import annotations
 
 from ..functions.text import ENGLISH_STOP_WORDS
+from . import extended
 from .catalog import (BRAND_SUPPORT, DAMPING, FP_SUPPORT, NB_FOLDS, NB_SMOOTHING, PART_SUPPORT, RANK_ROUNDS,
                       RULE_CONFIDENCE, RULE_SUPPORT, SHINGLE_K, SIM_THRESHOLD, SIM_THRESHOLD_LOW,
                       SUPPLIER_SUPPORT, TYPE_SUPPORT)
@@ -292,7 +293,7 @@ p AS (SELECT basket, list_distinct(string_split(rtrim(line, ' '), ' ')) AS items
 SELECT basket, array_to_string(list_sort(items), ',') AS items, CAST(len(items) AS INTEGER) AS n_items, true AS ok FROM p"""
 _LINKS = """l AS (SELECT l_linenumber, CASE WHEN l_linenumber = 7 THEN 'p' || l_partkey WHEN l_linenumber = 6 THEN 'p' || l_partkey || ' '
                   WHEN l_linenumber = 5 THEN 'p' || l_partkey || ' s' || l_suppkey || ' '
-                  ELSE 'p' || l_partkey || ' s' || l_suppkey END AS line FROM lineitem),
+                  ELSE CASE WHEN l_linenumber = 4 THEN ' ' ELSE '' END || 'p' || l_partkey || ' s' || l_suppkey END AS line FROM lineitem),
 t AS (SELECT string_split(rtrim(line, ' '), ' ') AS tok FROM l)"""
 ORACLE["link_parse"] = f"""
 WITH {_LINKS}
@@ -343,4 +344,4 @@ FROM d LEFT JOIN cats c ON c.category = CASE WHEN strpos(t, '|') > 0 THEN substr
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return {**ORACLE, **extended.SQL}

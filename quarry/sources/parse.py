@@ -77,11 +77,11 @@ def parse_labelled_docs(docs: DataFrame, categories: DataFrame, text_col: str =
 
 def parse_links(lines: DataFrame, col: str = "value") -> DataFrame:
     """``src dst`` split on one space, first two tokens; fewer -> reject
-    (trailing spaces make no token)."""
+    (trailing spaces make no token, leading ones an empty first token)."""
     tok = java_split(F.col(col), " ")
     return lines.select("*", F.get(tok, 0).alias("src"),
                         F.get(tok, 1).alias("dst")) \
-        .withColumn("ok", F.col("dst").isNotNull() & (F.col("src") != ""))
+        .withColumn("ok", F.col("dst").isNotNull())
 
 
 def basket_table(lines: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:

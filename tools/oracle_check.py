@@ -14,6 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
+import pandas as pd  # noqa: E402
 
 from quarry.plans.catalog import queries  # noqa: E402
 from quarry.plans.oracle import oracle_sql  # noqa: E402
@@ -24,6 +25,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def norm(v):
+    if v is None or v is pd.NA or v is pd.NaT:
+        return "nan"  # pandas has nulls of numbers as NaN
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
