@@ -4,11 +4,12 @@ Writing:
 
 1. Records with equal payloads of at least ``REVISIT_BYTES`` bytes become one response
    (the one with the largest page_id) and revisits of it; smaller ones are all responses.
-2. Each record's headers and digests are made anew and the record is compressed as a
-   gzip member of its own. Records are sorted by range of page_id; running sums of
-   the compressed sizes give each record its file: a new one begins whenever
-   ``roll_bytes`` are full. That depends on the records alone, not on how Spark deals
-   them out, so the same table gives the same bytes in the same files.
+2. The records' keys (page_id, url, digest) and payload sizes, without the payloads, are sorted and
+   summed up: a new range begins whenever ``range_bytes`` of payload are full. Each
+   record's headers and digests are made anew, the record is compressed as a gzip member of
+   its own and sent, once, to its range, where a new file begins whenever ``roll_bytes`` of
+   members are full. Ranges depend on the records alone, not on how Spark deals them out, so
+   the same table gives the same bytes in the same files.
 3. Each file is written by one task under a temporary name and renamed when it is
    complete; a repeated task writes the same bytes again. What counts is the manifest,
    written last: file, records, bytes and SHA-1. Files that it does not name are not read.
@@ -19,9 +20,9 @@ the manifest is written, and everything is read, by Spark.
 
 Defined results: a null html is an empty payload; a null page_id sorts first and is
 written as ``null`` (it is a response only if all others of its payload have none);
-of rows that repeat page_id and payload one is the response and the others
-revisit it, ties broken by the url; payloads of any length are written whole, one longer
-than ``roll_bytes`` has a file by itself; a url that is null or holds a line break is
+of rows that repeat page_id and payload the one with the largest url is the response, of rows that
+repeat all three one, and the others revisit it (such equal rows lie in one range); payloads of any length are written whole, one longer
+than ``roll_bytes`` ends its file; a url that is null or holds a line break is
 written percent-encoded; an empty table gives an empty manifest; other columns are not read.
 """
 
@@ -32,10 +33,12 @@ import hashlib
 import posixpath
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +47,7 @@ from pyspark.sql.window import Window
 from .common import keep, map_texts, shared_folder
 
 REVISIT_BYTES = 1000
-ROLL_BYTES = 16 << 20
+ROLL_BYTES, RANGE_BYTES = 16 << 20, 128 << 20
 #: Every record's date, unless the caller names a column: the table has none, and the clock would not be deterministic.
 DATE = "1970-01-01T00:00:00Z"
 LEVEL = 6
@@ -58,23 +61,46 @@ _CHUNK = 1 << 16
 
 
 def decide(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """page_id, url, html, digest, at, revisit, and for revisits refers_id and refers_url.
+    """page_id, url, html, digest, bytes, large, revisit, and for revisits refers_id and refers_url.
 
-    The rows are numbered (``at``) as they are written to the shared folder, so that rows
-    equal in everything are still told apart in every later step."""
+    Rows equal in page_id, url and payload are not told apart here: the writer, where they stand
+    side by side, makes all but the first of them revisits.
+    """
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    p = p.select("*", F.sha1(F.encode("html", "UTF-8")).alias("digest"), F.octet_length("html").alias("bytes"))
-    p = keep(p.withColumn("at", F.monotonically_increasing_id()))
-    large = F.col("bytes") >= revisit_bytes
-    shared = p.filter(large).groupBy("digest", "bytes").agg(F.max(F.struct("page_id", "url", "at")).alias("best"), F.count("*").alias("n")).filter("n > 1")
+    p = p.select("*", F.sha1(F.encode("html", "UTF-8")).alias("digest"), F.octet_length("html").cast("long").alias("bytes"))
+    p = p.withColumn("large", F.col("bytes") >= revisit_bytes)
+    shared = p.filter("large").groupBy("digest", "bytes").agg(F.max(F.struct("page_id", "url")).alias("best"), F.count("*").alias("n")).filter("n > 1")
     shared = keep(shared.select(F.col("digest").alias("_d"), F.col("bytes").alias("_b"), "best"))
-    p = p.join(shared, large & (F.col("digest") == F.col("_d")) & (F.col("bytes") == F.col("_b")), "left")
+    p = p.join(shared, F.col("large") & (F.col("digest") == F.col("_d")) & (F.col("bytes") == F.col("_b")), "left")
     # structs compare their fields with nulls equal
-    revisit = F.col("best").isNotNull() & ~F.coalesce(F.struct("page_id", "url", "at") == F.col("best"), F.lit(False))
-    return p.select("page_id", "url", "html", "digest", "at", revisit.alias("revisit"), F.when(revisit, F.col("best.page_id")).alias("refers_id"),
+    revisit = F.col("best").isNotNull() & ~F.coalesce(F.struct("page_id", "url") == F.col("best"), F.lit(False))
+    return p.select("page_id", "url", "html", "digest", "bytes", "large", revisit.alias("revisit"), F.when(revisit, F.col("best.page_id")).alias("refers_id"),
                     F.when(revisit, F.col("best.url")).alias("refers_url"))
 
 
+def _order() -> list[F.Column]:
+    return [F.col(c).asc_nulls_first() for c in ("page_id", "url", "digest")]
+
+
+def _key(page_id: int | None, url: str | None, digest: str) -> tuple:
+    """A record's place in the order that Spark sorts by (nulls first, texts by bytes)."""
+    return page_id is not None, page_id or 0, url is not None, (url or "").encode(), digest
+
+
+def ranges(records: DataFrame, range_bytes: int) -> list[tuple]:
+    """The first key of every range but the first: a new one begins whenever ``range_bytes`` of payload are full."""
+    order = _order()
+    d = records.select("page_id", "url", "digest", "bytes").repartitionByRange(*order).sortWithinPartitions(*order)
+    d = keep(d.withColumn("part", F.spark_partition_id()))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    begin = d.groupBy("part").agg(F.sum("bytes").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("inside", F.coalesce(F.sum("bytes").over(inside), F.lit(0))).join(begin, "part")
+    d = d.withColumn("range", F.floor((F.col("begin") + F.col("inside")) / range_bytes))
+    first = d.groupBy("range").agg(F.min(F.struct("page_id", "url", "digest")).alias("key")).collect()  # a row per range
+    return sorted({_key(*r.key) for r in first})[1:]
+
+
 def record_id(page_id: int | None, digest: str) -> str:
     return f"<urn:page:{'null' if page_id is None else page_id}:sha1:{digest}>"
 
@@ -110,28 +136,21 @@ def member(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
-def _members(batches):
-    for batch in batches:
-        cols = [batch.column(k) for k in range(8)]
-        for a in range(0, batch.num_rows, 64):
-            made = []
-            for page, url, html, digest, at, revisit, refers, refers_url in zip(*(c.slice(a, 64).to_pylist() for c in cols)):
-                made.append(member(record(page, url, html.encode(), digest, revisit, refers, refers_url)))
-            same = [cols[k].slice(a, 64) for k in (0, 1, 3, 4)]
-            yield pa.RecordBatch.from_arrays([*same, pa.array(made, pa.binary()), pa.array(map(len, made), pa.int64())],
-                                             names=["page_id", "url", "digest", "at", "member", "size"])
-
-
-def _placed(members: DataFrame, roll_bytes: int) -> DataFrame:
-    """``members`` with the number of their file and their place (the compressed bytes before them)."""
-    order = [F.col(c).asc_nulls_first() for c in ("page_id", "url", "digest", "at")]
-    d = keep(members.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    begin = d.groupBy("part").agg(F.sum("size").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
-    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(begin, "part")
-    d = d.select((F.col("begin") + F.col("inside")).alias("place"), "member")
-    return d.withColumn("file", F.floor(F.col("place") / roll_bytes))
+def _members(cuts: list[tuple]):
+    def run(batches):
+        for batch in batches:
+            cols = [batch.column(k) for k in range(8)]
+            for a in range(0, batch.num_rows, 64):
+                made, part = [], []
+                for page, url, html, digest, _, revisit, refers, refers_url in zip(*(c.slice(a, 64).to_pylist() for c in cols)):
+                    made.append(member(record(page, url, html.encode(), digest, revisit, refers, refers_url)))
+                    part.append(bisect_right(cuts, _key(page, url, digest)))
+                same = [cols[k].slice(a, 64) for k in (0, 1, 3)]
+                once = pc.and_(cols[4].slice(a, 64), pc.invert(cols[5].slice(a, 64)))  # may be written as a response once
+                yield pa.RecordBatch.from_arrays([*same, once, pa.array(made, pa.binary()), pa.array(part, pa.int32())],
+                                                 names=["page_id", "url", "digest", "once", "member", "part"])
+
+    return run
 
 
 # ------------------------------------------------------------------ files
@@ -142,33 +161,44 @@ def _file_system(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
 
 
-def _file_name(number: int) -> str:
-    return f"pages-{number:08d}.warc.gz"
+def _file_name(part: int, number: int) -> str:
+    return f"pages-{part:06d}-{number:05d}.warc.gz"
+
+
+def _as_revisit(data: bytes, page_id: int | None, url: str | None, digest: str) -> bytes:
+    """The member of a response anew as a revisit of an equal row."""
+    _, _, payload = parse(next(members_of(memoryview(data))))
+    return member(record(page_id, url, payload, digest, True, page_id, url))
 
 
-def _writer(folder: str):
-    """Rows sorted by (file, place): writes each file, yields its line of the manifest."""
+def _writer(folder: str, roll_bytes: int):
+    """Rows of one range (or several, one after the other) in their order: writes the files, yields their lines of the manifest."""
 
     def run(batches):
         fs, base = _file_system(folder)
-        now = out = temporary = None
-        lines = []
+        out = temporary = last = now = None
+        lines: list[list] = []
 
         def close():
             out.close()
             fs.move(temporary, posixpath.join(base, lines[-1][0]))
 
         for batch in batches:
-            for number, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if number != now:
+            cols = (batch.column(k).to_pylist() for k in (0, 1, 2, 3, 5))
+            for page, url, digest, once, part, data in zip(*cols, batch.column(4)):
+                buffer = data.as_buffer()
+                if once and last == (page, url, digest):
+                    buffer = pa.py_buffer(_as_revisit(buffer, page, url, digest))
+                last = page, url, digest
+                if part != now or lines[-1][2] >= roll_bytes:
                     if out is not None:
                         close()
-                    now = number
+                    number = number + 1 if part == now else 0
+                    now = part
                     # attempts never share a temporary name; the last rename wins, with the same bytes
-                    temporary = posixpath.join(base, f".{_file_name(number)}.{uuid.uuid4().hex}")
+                    temporary = posixpath.join(base, f".{_file_name(part, number)}.{uuid.uuid4().hex}")
                     out = fs.open_output_stream(temporary, compression=None)
-                    lines.append([_file_name(number), 0, 0, hashlib.sha1()])
-                buffer = data.as_buffer()
+                    lines.append([_file_name(part, number), 0, 0, hashlib.sha1()])
                 out.write(buffer)
                 lines[-1][1] += 1
                 lines[-1][2] += buffer.size
@@ -182,7 +212,7 @@ def _writer(folder: str):
     return run
 
 
-def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
+def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, revisit_bytes: int = REVISIT_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Write ``pages`` as archives to the new ``folder``; returns the manifest (file, records, bytes, sha1).
 
     An earlier manifest of the folder is an error: archives are not added to."""
@@ -190,10 +220,11 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, revisit_b
     if fs.get_file_info(posixpath.join(base, MANIFEST)).type != pyarrow.fs.FileType.NotFound:
         raise FileExistsError(f"{folder} holds archives already")
     fs.create_dir(base, recursive=True)
-    rows = decide(pages, revisit_bytes).select("page_id", "url", "html", "digest", "at", "revisit", "refers_id", "refers_url")
-    placed = _placed(map_texts(rows, _members, "page_id long, url string, digest string, at long, member binary, size long"), roll_bytes)
-    placed = placed.select("file", "member", "place").repartition("file").sortWithinPartitions("file", "place").select("file", "member")
-    lines = map_texts(placed, _writer(folder), "file string, records long, bytes long, sha1 string")
+    rows = decide(pages, revisit_bytes).select("page_id", "url", "html", "digest", "large", "revisit", "refers_id", "refers_url", "bytes")
+    cuts = ranges(rows, range_bytes)
+    made = map_texts(rows.drop("bytes"), _members(cuts), "page_id long, url string, digest string, once boolean, member binary, part int")
+    made = made.repartitionById(len(cuts) + 1, F.col("part")).sortWithinPartitions("part", *_order())
+    lines = map_texts(made, _writer(folder, roll_bytes), "file string, records long, bytes long, sha1 string")
     lines.write.parquet(posixpath.join(folder, MANIFEST))
     return manifest(pages.sparkSession, folder)
 

@@ -73,7 +73,7 @@ def test_same_bytes_however_the_rows_are_dealt(spark):
     lines = []
     for parts, shuffled in ((1, 0), (7, 1)):
         random.Random(shuffled).shuffle(rows)
-        lines.append(got(warc.write(frame(spark, rows).repartition(parts), shared_folder(spark), roll_bytes=10_000)))
+        lines.append(got(warc.write(frame(spark, rows).repartition(parts), shared_folder(spark), roll_bytes=10_000, range_bytes=150_000)))
     assert lines[0] == lines[1] and len(lines[0]) > 3
     assert all(size <= 10_000 + 1_000_000 for _, _, size, _ in lines[0])
 
@@ -100,12 +100,12 @@ def test_what_the_manifest_does_not_name_is_not_read_and_damage_is_seen(spark):
     rows = some_rows()
     warc.write(frame(spark, rows), folder, roll_bytes=50_000)
     base = path_of(folder)
-    with open(f"{base}/pages-99999999.warc.gz", "wb") as f:
+    with open(f"{base}/pages-999999-00000.warc.gz", "wb") as f:
         f.write(b"left by a job that failed")
     assert warc.read(spark, folder).count() == len(rows)
     with pytest.raises(FileExistsError):
         warc.write(frame(spark, rows), folder)
-    name = f"{base}/pages-00000000.warc.gz"
+    name = f"{base}/pages-000000-00000.warc.gz"
     data = bytearray(open(name, "rb").read())
     data[len(data) // 2] ^= 1
     with open(name, "wb") as f:
