@@ -46,6 +46,8 @@ WORDS, LEAST, TOP = 5, 100, 2000
 HELD, HELD_BYTES = 150_000, 16 << 20
 #: Bytes of windows of a partition (about seven times the text), and counted phrases of one.
 WINDOW_BYTES, PHRASES = 48 << 20, 200_000
+#: Bytes of text that are sampled for each partition to place its cut (which changes no result).
+SAMPLE_BYTES = 40_000
 #: The bytes that end a piece, and the other white space between words.
 _PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 _TABLE = bytes(0x0A if b in _PIECE_ENDS else 0x20 if b == 0x09 else b + 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -56,8 +58,16 @@ _TABLE = bytes(0x0A if b in _PIECE_ENDS else 0x20 if b == 0x09 else b + 0x20 if
 # ------------------------------------------------------------------ counting
 
 
-def _windows(batches):
-    """(key, n): the windows of all positions, added up."""
+def _windows(cuts: list[bytes]):
+    """(key, n, part): the windows of all positions, added up, and the range partition of each."""
+
+    def run(batches):
+        yield from _added_up(batches, cuts)
+
+    return run
+
+
+def _added_up(batches, cuts: list[bytes]):
     held: dict[str, Counter] = {}
     size = 0
 
@@ -68,7 +78,8 @@ def _windows(batches):
             keys += [head + k for k in c]
             n += c.values()
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], names=["key", "n"])
+        part = [bisect_right(cuts, k) for k in keys] if cuts else [0] * len(keys)
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(part, pa.int32())], names=["key", "n", "part"])
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -164,10 +175,17 @@ def _runs(least: int):
 def counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(key, f): occurrences of the phrases of up to five words that occur ``least`` times, and of all words of each language."""
     lang = F.hex(F.encode(F.coalesce(F.col("lang").cast("string"), F.lit("und")), "UTF-8"))
+    texts = docs.select(lang.alias("lang"), F.col("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-7 * size // WINDOW_BYTES))
-    windows = map_texts(docs.select(lang.alias("lang"), F.col("text")), _windows, "key string, n long")
-    stream = windows.repartitionByRange(parts, "key").sortWithinPartitions("key")
+    cuts: list[bytes] = []
+    if parts > 1:  # places of the cuts, from the windows of a sample of texts; every window is then dealt by them
+        some = map_texts(texts.sample(min(1.0, parts * SAMPLE_BYTES / size), seed=11), _windows([]), "key string, n long, part int")
+        keys = some.select(F.substring("key", 1, 64).alias("key")).orderBy(F.xxhash64("key", "n")).limit(50 * parts).collect()
+        keys = sorted(r.key.encode() for r in keys)
+        cuts = sorted({keys[len(keys) * k // parts] for k in range(1, parts)}) if keys else []
+    windows = map_texts(texts, _windows(cuts), "key string, n long, part int")
+    stream = windows.repartitionById(len(cuts) + 1, F.col("part")).select("key", "n").sortWithinPartitions("key")
     runs = stream.mapInArrow(_runs(least), "key string, n long")
     f = runs.groupBy("key").agg(F.sum("n").alias("f"))
     return keep(f.filter((F.col("f") >= least) | (F.instr("key", " ") == F.length("key"))))
