@@ -181,7 +181,7 @@ def counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     cuts: list[bytes] = []
     if parts > 1:  # places of the cuts, from the windows of a sample of texts; every window is then dealt by them
         some = map_texts(texts.sample(min(1.0, parts * SAMPLE_BYTES / size), seed=11), _windows([]), "key string, n long, part int")
-        keys = some.select(F.substring("key", 1, 64).alias("key")).orderBy(F.xxhash64("key", "n")).limit(50 * parts).collect()
+        keys = some.filter(F.pmod(F.xxhash64("key"), F.lit(256)) == 0).select(F.substring("key", 1, 64).alias("key")).collect()  # some 20 for a partition
         keys = sorted(r.key.encode() for r in keys)
         cuts = sorted({keys[len(keys) * k // parts] for k in range(1, parts)}) if keys else []
     windows = map_texts(texts, _windows(cuts), "key string, n long, part int")
@@ -203,7 +203,8 @@ def in_order(rows: DataFrame, per: int = PHRASES) -> tuple[DataFrame, list[list[
     """``rows`` (key, f, ...) sorted by ``key`` in range partitions, and for each partition the open
     beginnings (key, f) at the cut before it, shortest first."""
     parts = max(1, -(-rows.count() // per))
-    sample = rows.select("key").orderBy(F.xxhash64("key"), "key").limit(20 * parts).collect() if parts > 1 else []  # places of the cuts only
+    share = F.pmod(F.xxhash64("key"), F.lit(max(1, per // 20))) == 0  # some 20 for a partition, for the places of the cuts only
+    sample = rows.filter(share).select("key").collect() if parts > 1 else []
     sample = sorted({r.key for r in sample}, key=str.encode)
     cuts = sorted({sample[len(sample) * k // parts] for k in range(1, parts)}, key=str.encode) if sample else []
     wanted = sorted({p for c in cuts for p in _prefixes(c) if p != c})
