@@ -30,7 +30,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return int(v) if v.is_integer() else round(v, 6)  # a column of numbers with nulls is float in pandas
     if hasattr(v, "item"):
         return norm(v.item())
     return v
