@@ -16,6 +16,7 @@ from ..operators import recommend as rc
 from ..operators import relational as rl
 from ..operators import temporal as tp
 from ..sources import tables as tb
+from ..sources import typed as ty
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -344,3 +345,45 @@ def sql_customer_orders(spark, sf):
 SQL["sql_customer_orders"] = """
 SELECT c_mktsegment, quarter(o_orderdate)::INT AS quarter, count(*) AS n, round(sum(o_totalprice), 2) AS total, min(strftime(o_orderdate, '%Y-%m-%d')) AS first_day
 FROM orders JOIN customer ON o_custkey = c_custkey WHERE year(o_orderdate) = 1998 GROUP BY 1, 2"""
+
+# ---------------------------------------------------------------- sinks and typed sources
+_ORDER_ROW = "o_orderkey bigint, o_custkey bigint, price double, day date"
+
+
+def _order_lines_again(spark, sf, fmt):
+    """Orders as lines of text by status, written twice (the second time finished ones only, which are wrong at first), read back typed.
+
+    Pending orders of low priority have no number for a price: rejects."""
+    o = tb.table(spark, sf, "orders").withColumn("day", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    price = F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"), "n/a").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    if fmt == "csv":
+        line = lambda p: F.concat_ws(",", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), p, "day")
+    else:
+        line = lambda p: F.format_string('{"o_orderkey":%d,"o_custkey":%d,"price":%s,"day":"%s"}', "o_orderkey", "o_custkey", p, "day")
+    path = ty.new_folder(spark, "orders")
+    first = F.when(F.col("o_orderstatus") == "F", F.lit("0")).otherwise(price)
+    ty.write_partitioned(o.select(line(first).alias("value"), "o_orderstatus"), path, ["o_orderstatus"], "text")
+    ty.write_partitioned(o.filter("o_orderstatus = 'F'").select(line(price).alias("value"), "o_orderstatus"), path, ["o_orderstatus"], "text")
+    d = ty.read_typed(spark, path, fmt, spark.createDataFrame([], _ORDER_ROW).schema)
+    return d.withColumn("day", F.col("day").cast("string"))
+
+
+@_query
+def orders_csv_again(spark, sf):
+    return _order_lines_again(spark, sf, "csv")
+
+
+@_query
+def orders_json_again(spark, sf):
+    return _order_lines_again(spark, sf, "json")
+
+
+def _again_sql(line: str) -> str:
+    return f"""
+WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS d, o_orderstatus = 'P' AND o_orderpriority = '5-LOW' AS bad FROM orders)
+SELECT CASE WHEN NOT bad THEN o_orderkey END AS o_orderkey, CASE WHEN NOT bad THEN o_custkey END AS o_custkey, CASE WHEN NOT bad THEN o_totalprice END AS price,
+    CASE WHEN NOT bad THEN d END AS day, o_orderstatus, CASE WHEN bad THEN {line} END AS reject FROM o"""
+
+
+SQL["orders_csv_again"] = _again_sql("o_orderkey || ',' || o_custkey || ',n/a,' || d")
+SQL["orders_json_again"] = _again_sql("""'{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"price":n/a,"day":"' || d || '"}'""")
