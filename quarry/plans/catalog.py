@@ -21,6 +21,7 @@ from ..operators import bayes as nb
 from ..sources import parse as ps
 from ..sources import tables as tb
 from ..sources import text as tx
+from ..sources.typed import new_folder
 from . import extended
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -379,6 +380,18 @@ def q_document_files(spark, sf):
     return d.select("doc_id", "name", F.length("text").alias("length"))
 
 
+def q_whole_files(spark, sf):
+    """Every document written as a file of its own and read back by glob."""
+    path = new_folder(spark, "documents")
+    files = tx.write_documents(tb.table(spark, sf, "documents"), path, F.format_string("doc_%d", "doc_id"))
+    d = tx.read_written(spark, files)
+    return d.select("name", F.length("text").alias("length"), F.sha2("text", 256).alias("sha256"))
+
+
+def q_minhash_similar_groups(spark, sf):
+    return sim.minhash_similar_groups(_sets(spark, sf), SIM_THRESHOLD)
+
+
 REGISTRY: dict[str, Query] = {
     "apriori_repeat_frequent_items": q_apriori_repeat_frequent_items,
     "apriori_repeat_item_table": q_apriori_repeat_item_table,
@@ -392,6 +405,8 @@ REGISTRY: dict[str, Query] = {
     "nb_predictions_smooth": q_nb_predictions_smooth,
     "doc_similar_groups": q_doc_similar_groups,
     "document_files": q_document_files,
+    "whole_files": q_whole_files,
+    "minhash_similar_groups": q_minhash_similar_groups,
     "apriori_item_counts": q_apriori_item_counts,
     "apriori_frequent_items": q_apriori_frequent_items,
     "apriori_item_table": q_apriori_item_table,

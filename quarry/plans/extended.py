@@ -17,6 +17,7 @@ from ..operators import relational as rl
 from ..operators import temporal as tp
 from ..sources import tables as tb
 from ..sources import typed as ty
+from ..streaming import events as ev
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -320,6 +321,82 @@ a AS (SELECT source, word FROM w WHERE n_chars >= 1000), b AS (SELECT source, wo
 SQL["words_except_all"] = _BAGS + " SELECT source, word, count(*) AS n FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) GROUP BY source, word"
 SQL["words_intersect_all"] = _BAGS + " SELECT source, word, count(*) AS n FROM (SELECT * FROM a INTERSECT ALL SELECT * FROM b) GROUP BY source, word"
 
+# ---------------------------------------------------------------- streams
+WINDOW_H, SLIDE_H, DELAY_H, WITHIN_H = 6, 2, 1, 6
+
+
+def _arriving(spark, sf, *cols):
+    """Events with a time, the folder in which they arrive, and whether they are of the first half of the time that all span."""
+    e = tb.table(spark, sf, "events").filter("ts is not null").select("ts", *cols)
+    first, last = e.agg(F.min("ts"), F.max("ts")).first()
+    half = F.col("ts") < F.lit(first + (last - first) / 2 if first else None)
+    # a time zone is what watermarks need; it is put on and taken off in the same session
+    return e.withColumn("early", half).withColumn("ts", F.col("ts").cast("timestamp")), ty.new_folder(spark, "arriving")
+
+
+def _in_two_runs(spark, path, first, second, flow):
+    """What ``flow`` makes of the stream of ``path``, stopped after ``first`` has arrived and started again with the rest."""
+    out, state = ty.new_folder(spark, "streamed"), ty.new_folder(spark, "state")
+    for part in (first, second):
+        part.write.mode("append").parquet(path)
+        d = ev.run(flow(lambda: ev.source(spark, path, part.schema)), out, state)
+    return d
+
+
+@_query
+def event_windows_streamed(spark, sf):
+    """Events by type in windows of six hours, every two hours, of a stream in two runs; errors of the first half arrive
+    with the second run, most too late for their windows."""
+    e, path = _arriving(spark, sf, "event_type", "value")
+    now = F.col("early") & (F.col("event_type") != "error")
+    e, keys = e.withColumn("now", F.coalesce(now, F.lit(False))), ["event_type"]
+    measures = [F.count(F.lit(1)).alias("n"), F.max("value").alias("top")]
+    how = {"size": f"{WINDOW_H} hours", "slide": f"{SLIDE_H} hours", "delay": f"{DELAY_H} hours"}
+    d = _in_two_runs(spark, path, e.filter("now"), e.filter("not now"), lambda s: ev.sliding_windows(s(), keys, measures, **how))
+    d = ev.late_rows(d, spark.read.parquet(path), keys, **how)
+    return d.select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), "event_type", "n", "top", "late")
+
+
+SQL["event_windows_streamed"] = f"""
+WITH e AS (SELECT *, event_type <> 'error' AND ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) AS early FROM events WHERE ts IS NOT NULL),
+marks AS (SELECT date_trunc('milliseconds', max(ts) FILTER (WHERE early)) - INTERVAL {DELAY_H} HOUR AS one,
+    date_trunc('milliseconds', max(ts)) - INTERVAL {DELAY_H} HOUR AS two FROM e),
+w AS (SELECT e.*, time_bucket(INTERVAL {SLIDE_H} HOUR, ts) - k * INTERVAL {SLIDE_H} HOUR AS s FROM e, range({WINDOW_H // SLIDE_H}) r(k)),
+m AS (SELECT w.*, s + INTERVAL {WINDOW_H} HOUR AS t, early OR s + INTERVAL {WINDOW_H} HOUR > one AS counted, two FROM w, marks)
+SELECT strftime(s, '%Y-%m-%d %H:%M') AS window_start, event_type, CASE WHEN bool_or(counted) THEN count(*) FILTER (WHERE counted) END AS n,
+    max(value) FILTER (WHERE counted) AS top, count(*) FILTER (WHERE NOT counted) AS late
+FROM m WHERE t <= two GROUP BY s, event_type"""
+
+
+@_query
+def events_delivered_once(spark, sf):
+    """Every event once, from a stream in two runs that brings each event of a run twice and the first run's again."""
+    e, path = _arriving(spark, sf, "event_id", "user_id", "event_type")
+    early, rest = e.filter("early"), e.filter("not early")
+    d = _in_two_runs(spark, path, early.union(early), rest.union(rest).union(early), lambda s: ev.once(s(), ["event_id"]))
+    return d.select("event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("second"))
+
+
+SQL["events_delivered_once"] = "SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS second FROM events WHERE ts IS NOT NULL"
+
+
+@_query
+def views_then_purchases_streamed(spark, sf):
+    """Views with the purchases of their user in the next six hours, by a join of two streams in two runs."""
+    e, path = _arriving(spark, sf, "event_id", "user_id", "event_type", "value")
+
+    def flow(s):
+        of = lambda t: s().filter(F.col("event_type") == t).select("event_id", "user_id", "ts", "value")
+        return ev.followed_by(of("view"), of("purchase"), "user_id", 3600 * WITHIN_H)
+
+    d = _in_two_runs(spark, path, e.filter("early"), e.filter("not early"), flow)
+    return d.select(F.col("first_event_id").alias("view_id"), F.col("then_event_id").alias("purchase_id"), F.col("first_user_id").alias("user_id"), F.col("then_value").alias("value"))
+
+
+SQL["views_then_purchases_streamed"] = f"""
+SELECT a.event_id AS view_id, b.event_id AS purchase_id, a.user_id, b.value FROM events a JOIN events b ON a.user_id = b.user_id
+    AND b.ts >= a.ts AND b.ts <= a.ts + INTERVAL {WITHIN_H} HOUR WHERE a.event_type = 'view' AND b.event_type = 'purchase'"""
+
 # ---------------------------------------------------------------- the SQL surface
 
 

@@ -331,6 +331,7 @@ ORACLE["apriori_text_pairs"] = f"WITH {_lines_of('l_suppkey', SUPPLIER_SUPPORT)}
 ORACLE["apriori_text_items"] = f"WITH {_lines_of('l_partkey', PART_SUPPORT)} SELECT item, CASE WHEN n >= thr THEN n ELSE 0 END AS n FROM c, t"
 ORACLE["fpgrowth_text_itemsets"] = ORACLE["fpgrowth_itemsets"]
 ORACLE["document_files"] = "SELECT doc_id, 'documents.parquet' AS name, CAST(length(text) AS INTEGER) AS length FROM documents"
+ORACLE["whole_files"] = "SELECT concat('doc_', doc_id) AS name, CAST(length(coalesce(text, '')) AS INTEGER) AS length, sha256(coalesce(text, '')) AS sha256 FROM documents"
 ORACLE["labelled_doc_parse"] = """
 WITH cats AS (SELECT lang AS category, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS label
               FROM (SELECT DISTINCT lang FROM documents)),
