@@ -182,18 +182,17 @@ def components(edges: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ positions in large groups
 
 
-def running(df: DataFrame, group: str, order: list[str], key: str, value: str, out: str,
-            rows_per_bucket: int = 4096) -> DataFrame:
+def running(df: DataFrame, group: str, order: list[str], value: str, out: str, rows_per_bucket: int = 4096) -> DataFrame:
     """``out``: sum of ``value`` over the rows before this one in its group.
 
-    Rows are ordered by a hash of ``key``, then ``order`` (rows equal in all of
-    them change places freely). No group meets in one task: each is cut into
-    buckets of the hash's top bits, bucket sums are added up (one row per
-    bucket), and only the rows of one bucket are sorted together.
+    Rows are ordered by a hash of the columns ``order``, then by these (rows equal in all of
+    them change places freely, and meet in one task: count them beforehand). No group meets in
+    one task: each is cut into buckets of the hash's top bits, bucket sums are added up (one
+    row per bucket), and only the rows of one bucket are sorted together.
     """
     n = df.count()
     buckets = 1 << max(0, (n // rows_per_bucket).bit_length())
-    h = F.xxhash64(F.lit(20), F.col(key))
+    h = F.xxhash64(F.lit(20), *order)
     df = df.withColumn("_h", h).withColumn("_b", F.pmod(F.shiftright(h, 24), F.lit(buckets)))
     sums = df.groupBy(group, "_b").agg(F.sum(value).alias("_s"))
     before = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,12 +7,15 @@ change of one weight moves rows only into or out of that child). A tree grows by
 a region of one rack with one shard: no weight of an older subtree changes, so
 rows move into the new shard alone.
 
-Slots number a shard's rows without gaps; a shard's rows never meet in one
-task (see ``common.running``).
+Slots number a shard's rows without gaps. A shard's rows never meet in one task (see
+``common.running``), nor do those of one doc_id (or of none): rows are spread by all that
+is returned of them, and rows equal in that are counted map-side, numbered in blocks of
+``BLOCK`` and only then written out again.
 
 Defined results: the law is ``key``: doc_id and the tree decide, rows with equal or
 with null doc_id share a shard; a null text counts no bytes (its crc32 is that of
-no bytes); an empty table gives an empty result; other columns are not read.
+no bytes); a text of any length is one row of three numbers; repeated rows have a slot each;
+reruns agree; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,10 +25,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import running
+from .common import keep, running
 
 SEED, OVERHEAD = 7, 16
 RACKS_PER_REGION, SHARDS_PER_RACK = 2, 4
+#: Equal rows that are numbered together.
+BLOCK = 4096
 
 
 @dataclass(frozen=True)
@@ -77,6 +82,10 @@ def shard(docs: DataFrame, tree: Tree) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard."""
     text = F.coalesce("text", F.lit(""))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
-    d = d.withColumn("law", F.lit("key")).withColumn("shard", draw(tree, F.col("doc_id"))).withColumn("one", F.lit(1).cast("long"))
-    d = running(d, "shard", ["doc_id", "size", "text_crc32"], "doc_id", "one", "slot")
-    return d.select("doc_id", "size", "text_crc32", "law", "shard", "slot", draw(tree.grown(), F.col("doc_id")).alias("grown_shard"))
+    row = ["doc_id", "size", "text_crc32"]
+    blocks = d.groupBy(*row).agg(F.count("*").alias("_n")).withColumn("_at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(BLOCK).cast("long"))))
+    blocks = keep(blocks.withColumn("_n", F.least(F.col("_n") - F.col("_at"), F.lit(BLOCK).cast("long"))))
+    blocks = running(blocks.withColumn("shard", draw(tree, F.col("doc_id"))), "shard", [*row, "_at"], "_n", "_first")
+    blocks = blocks.withColumn("grown_shard", draw(tree.grown(), F.col("doc_id")))
+    d = blocks.withColumn("slot", F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1)))
+    return d.select(*row, F.lit("key").alias("law"), "shard", "slot", "grown_shard")

@@ -1,3 +1,4 @@
+import math
 import re
 import zlib
 
@@ -127,3 +128,36 @@ def test_odd_rows_and_a_hot_shard(spark, monkeypatch):
     for _, part in out.groupby("shard"):
         assert sorted(part.slot) == list(range(len(part)))
     assert sharding.shard(df.limit(0), sharding.Tree.of(40)).count() == 0
+
+
+def test_rows_without_an_id_are_spread(spark):
+    """Most rows lack a doc_id, many of them are equal: no window meets them all, and every slot is there once."""
+    from quarry.llm.common import running
+
+    df = spark.range(120_000).selectExpr("if(id < 100000, null, id) AS doc_id", "if(id < 40000, 'copy', concat('t', id % 50000)) AS text")
+    out = sharding.shard(df, sharding.Tree.of(40))
+    assert out.count() == 120_000
+    per = out.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.min("slot").alias("lo"), F.max("slot").alias("hi"))
+    assert per.filter("n <> d or lo <> 0 or hi <> n - 1").count() == 0
+    assert out.filter("doc_id is null").select("shard").distinct().count() == 1
+    again = sharding.shard(df.repartition(7), sharding.Tree.of(40))
+    assert out.exceptAll(again).count() == 0
+    d = spark.range(20_000).selectExpr("cast(null as long) AS doc_id", "id AS size", "1L AS one", "0 AS shard")
+    plan = running(d, "shard", ["doc_id", "size"], "one", "slot")
+    assert sorted(r.slot for r in plan.select("slot").collect()) == list(range(20_000))
+    buckets = d.withColumn("h", F.xxhash64(F.lit(20), "doc_id", "size")).groupBy(F.pmod(F.shiftright("h", 24), F.lit(8))).count()
+    assert buckets.agg(F.max("count")).first()[0] < 3_000
+
+
+def test_draws_are_those_of_the_definition(spark):
+    """The descent recomputed draw by draw outside of the expression."""
+    tree = sharding.Tree(((((0, 1.0), (1, 3.0)), ((2, 2.0),)), (((3, 2.0),),)))
+    ids = spark.createDataFrame([(i,) for i in [*range(60), None]], "doc_id long")
+    kids = tree.children()
+    names = sorted({k for c in kids.values() for k, _ in c})
+    hashes = {r.doc_id: r.asDict() for r in ids.select("doc_id", *[F.xxhash64(F.lit(sharding.SEED), "doc_id", F.lit(n)).alias(n) for n in names]).collect()}
+    for r in ids.select("doc_id", sharding.draw(tree, F.col("doc_id")).alias("shard")).collect():
+        at = ""
+        while at in kids:
+            at = min((-math.log((((hashes[r.doc_id][k] % 2**64) >> 11) + 0.5) / 2**53) / w, k) for k, w in kids[at])[1]
+        assert r.shard == int(at[1:])
