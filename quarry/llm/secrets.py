@@ -16,8 +16,9 @@ before and after it. Features (``FEATURES``) are
 
 The forest is trained on labelled findings: those the caller gives, else findings planted
 in short texts of corpus words (``planted``). There the label belongs to what was planted
-and not to the features: the same random value is a secret behind a credential's name
-and none behind ``commit`` or ``sha256``, in a tutorial, or as the argument of a call. At most
+and not to the features: random values of one kind are secrets behind a credential's name
+and none behind ``commit`` or ``sha256`` or in a tutorial; calls and placeholders behind such
+a name are none. At most
 ``SAMPLE`` findings of each label are fitted, chosen by a hash of the finding.
 Whole texts are scanned, all findings scored.
 

@@ -113,8 +113,7 @@ def test_held_out_findings(learned):
     assert true / (true + wrong) >= 0.97 and true / (true + missed) >= 0.97
 
 
-def test_the_label_is_no_function_of_the_value(learned):
-    """One value, a secret behind a credential's name and none behind the name of a hash."""
+def test_words_before_hashes_speak_against_a_secret(learned):
     _, _, _, odds = learned
     assert odds["commit"] < 0 and odds["checksum"] < 0
 
