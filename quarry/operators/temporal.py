@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import cut_lineage
+
 MICROS = 1_000_000
 
 
@@ -110,14 +112,22 @@ def range_mean(d: DataFrame, key: list[str], ts: str, value: str, out: str, rang
     return rows.withColumn(out, F.avg(value).over(frame)).filter("_copy = 0").drop("_at", "_copy", "_bucket")
 
 
-def interval_join(intervals: DataFrame, points: DataFrame, start: str, end: str, ts: str, base_seconds: int = 3600, fan: int = 8, levels: int = 16) -> DataFrame:
+def interval_join(intervals: DataFrame, points: DataFrame, start: str, end: str, ts: str, base_seconds: float = 3600, fan: int = 8, levels: int = 16,
+                  totals: dict[str, Column] | None = None, most: int = 64) -> DataFrame:
     """Pairs of rows with ``start`` <= ``ts`` < ``end``: an equality join on bins, the exact condition after it.
 
     An interval lies in the bins of one level, the finest whose bins are as wide as it is (two bins at most; beyond the
     last level as many as it needs); a point lies in one bin of each level that any interval uses. So
     wide intervals cost no more rows than narrow ones, and no two rows meet twice.
+
+    The pairs themselves can be as many as rows times rows. Where only their number and sums are wanted, ``totals``
+    (out -> a column of ``points`` to be summed) returns them in parts: rows of ``intervals`` with ``n_points`` and the
+    sums of ``totals`` over some of the interval's points, no point in two of them. Each interval has parts in proportion
+    to ``most`` and to the logarithm of the time covered, however many points it holds (see ``_parts``).
     """
-    widths = [w for w in (base_seconds * MICROS * fan**k for k in range(levels)) if w < 1 << 62]  # all that a long holds
+    if totals is not None:
+        return _parts(intervals, points, start, end, ts, fan, totals, most)
+    widths = [w for w in (round(base_seconds * MICROS) * fan**k for k in range(levels)) if w < 1 << 62]  # all that a long holds
     width, levels = F.array(*[F.lit(w).cast("long") for w in widths]), len(widths)
     a, b = micros(F.col(start)), micros(F.col(end))
     level = F.aggregate(F.transform(width, lambda w: (b - a > w).cast("int")), F.lit(0), lambda x, y: x + y)
@@ -128,3 +138,64 @@ def interval_join(intervals: DataFrame, points: DataFrame, start: str, end: str,
     p = points.filter(F.col(ts).isNotNull()).withColumn("_level", F.explode(F.array(*map(F.lit, used)) if used else F.array().cast("array<int>")))
     p = p.withColumn("_bin", F.floor(micros(F.col(ts)) / F.element_at(width, F.col("_level") + 1)))
     return i.join(p, ["_level", "_bin"]).filter((F.col(start) <= F.col(ts)) & (F.col(ts) < F.col(end))).drop("_level", "_bin")
+
+
+def _whole(x: Column, w: Column, up: bool = False) -> Column:
+    """``x`` / ``w`` rounded down (or up), in whole numbers."""
+    down = F.call_function("div", x - F.pmod(x, w), w)
+    return down + (F.pmod(x, w) != 0).cast("long") if up else down
+
+
+def _span(a: str, b: str, w: str, times: int = 1) -> list[Column]:
+    """The whole bins in ``a`` to ``b``, from the first to before the last: named _f, _l, with the number of ``times`` the width."""
+    w, name = F.col(w) * times, "" if times == 1 else times
+    return [_whole(F.col(a), w, True).alias(f"_f{name}"), _whole(F.col(b), w).alias(f"_l{name}")]
+
+
+def _parts(intervals: DataFrame, points: DataFrame, start: str, end: str, ts: str, fan: int, totals: dict[str, Column], most: int) -> DataFrame:
+    """``interval_join`` with ``totals``.
+
+    The points are added up by moment, these by bins that hold at most ``most`` moments each, and these by ever wider bins,
+    each of ``fan`` of the level below. An interval consists of a few whole bins of each level, whose sums it takes (equality
+    join), and of two edges narrower than the finest bin, which are joined with the moments.
+    """
+    sums = [F.sum(f"_s{k}").alias(f"_s{k}") for k in range(len(totals))]
+    added = points.filter(F.col(ts).isNotNull()).select(micros(F.col(ts)).alias("_at"), *[v.alias(f"_s{k}") for k, v in enumerate(totals.values())])
+    moments = cut_lineage(added.groupBy("_at").agg(F.count("*").alias("n_points"), *sums))
+    lo, hi, n = moments.agg(F.min("_at"), F.max("_at"), F.count("*")).first()  # three numbers
+    if not n:
+        lo, hi = 0, -1
+    width = 1
+    while (hi + 1 - lo) // (width * fan) > 0 and n * width * fan <= most * (hi + 1 - lo):
+        width *= fan
+    # dense stretches: finer bins, until none holds too many moments (one at a width of 1)
+    while width > 1 and moments.groupBy(_whole(F.col("_at"), F.lit(width))).count().agg(F.max("count")).first()[0] > most:
+        width //= fan
+    top = 0
+    while (hi - lo) // (width * fan**top) >= fan:
+        top += 1
+    finest = cut_lineage(moments.groupBy(_whole(F.col("_at"), F.lit(width)).alias("_bin")).agg(F.sum("n_points").alias("n_points"), *sums))
+    wider = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(fan**k).cast("long").alias("w")) for k in range(top + 1)])).alias("_step")
+    bins = finest.select("*", wider).groupBy(F.col("_step.k").alias("_level"), _whole(F.col("_bin"), F.col("_step.w")).alias("_bin")).agg(
+        F.sum("n_points").alias("n_points"), *sums)
+    a, b = micros(F.col(start)), micros(F.col(end))
+    i = intervals.filter(F.col(start) < F.col(end)).withColumn("_a", F.greatest(a, F.lit(lo).cast("long"))).withColumn("_b", F.least(b, F.lit(hi + 1).cast("long")))
+    i = i.filter("_a < _b")
+    own = [F.col(f"`{c}`") for c in intervals.columns]
+    found = [F.col("n_points"), *[F.col(f"_s{k}").alias(out) for k, out in enumerate(totals)]]
+    # of each level the whole bins of the interval that no whole bin of the level above holds
+    steps = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(width * fan**k).cast("long").alias("w")) for k in range(top + 1)])).alias("_step")
+    whole = i.select(*own, "_a", "_b", steps).select(*own, F.col("_step.k").alias("_level"), *_span("_a", "_b", "_step.w"), *_span("_a", "_b", "_step.w", fan))
+    f, l = F.col("_f"), F.col("_l")
+    split = (F.col("_level") < top) & (F.col(f"_f{fan}") < F.col(f"_l{fan}"))
+    heads = F.struct(f.alias("x"), F.when(split, F.col(f"_f{fan}") * fan).otherwise(l).alias("y"))
+    tails = F.struct(F.when(split, F.col(f"_l{fan}") * fan).otherwise(l).alias("x"), l.alias("y"))
+    runs = whole.select(*own, "_level", F.explode(F.array(heads, tails)).alias("_run")).filter("_run.x < _run.y")
+    inner = runs.select(*own, "_level", F.explode_outer(F.sequence("_run.x", F.col("_run.y") - 1)).alias("_bin"))
+    inner = inner.join(bins, ["_level", "_bin"]).select(*own, *found)
+    f, l = _whole(F.col("_a"), F.lit(width), True) * width, _whole(F.col("_b"), F.lit(width)) * width
+    edge = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    edges = F.array(edge(F.col("_a"), F.least(f, F.col("_b"))), edge(F.greatest(l, F.least(f, F.col("_b"))), F.col("_b")))
+    i = i.select(*own, F.explode(edges).alias("_edge")).select(*own, F.timestamp_micros("_edge.x").alias("_from"), F.timestamp_micros("_edge.y").alias("_to"))
+    at = moments.withColumn("_at", F.timestamp_micros("_at"))
+    return inner.union(interval_join(i, at, "_from", "_to", "_at", base_seconds=width / MICROS).select(*own, *found))

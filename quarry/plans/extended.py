@@ -131,8 +131,8 @@ def orders_events_in_window(spark, sf):
     o = tb.table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias("opened"),
                                              (F.col("o_orderdate") + F.make_dt_interval(hours=hours)).alias("closed"))
     e = tb.table(spark, sf, "events").select((F.col("ts") - F.make_dt_interval(F.lit(SHIFT_DAYS))).alias("moment"), "value")
-    d = tp.interval_join(o, e, "opened", "closed", "moment")
-    return d.groupBy("o_orderkey").agg(F.count("*").alias("n_events"), F.round(F.sum("value"), 2).alias("value"))
+    d = tp.interval_join(o, e, "opened", "closed", "moment", totals={"value": F.col("value")})
+    return d.groupBy("o_orderkey").agg(F.sum("n_points").alias("n_events"), F.round(F.sum("value"), 2).alias("value"))
 
 
 SQL["orders_events_in_window"] = f"""

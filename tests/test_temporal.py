@@ -76,3 +76,29 @@ def test_interval_join_equals_all_pairs_under_the_condition(spark):
         got = [(r.span, r.point) for r in tp.interval_join(i.filter("span <> 1003") if levels == 1 else i, p, "a", "b", "t", fan=4, levels=levels).collect()]
         assert len(got) == len(set(got)) and set(got) == {w for w in want if levels > 1 or w[0] != 1003}
     assert tp.interval_join(i.limit(0), p, "a", "b", "t").count() == 0
+
+
+def test_interval_totals_equal_all_pairs_in_few_rows(spark):
+    g = random.Random(8)
+    spans = [(i, at(a), at(a + g.choice([0, 0.0001, 1, 8, 24, 64, 500]))) for i, a in enumerate(g.choice([g.randrange(500), g.random() * 500]) for _ in range(100))]
+    spans += [(1000, None, at(3)), (1001, at(3), None), (1002, at(9), at(1)), (1003, at(-100_000), at(100_000)), (3, at(1), at(400)), (3, at(1), at(400))]
+    points = [(at(g.choice([g.randrange(600), g.random() * 600, 100 + g.random() / 10])), g.choice([None, round(g.random(), 2)])) for _ in range(3000)] + [(None, 1.0)]
+    i = spark.createDataFrame(spans, "span long, a timestamp_ntz, b timestamp_ntz")
+    p = spark.createDataFrame(points, "t timestamp_ntz, value double")
+    want = {}
+    for s, a, b in spans:
+        if a and b:
+            for t, v in points:
+                if t and a <= t < b:
+                    n, total = want.get(s, (0, None))
+                    want[s] = n + 1, total if v is None else (total or 0) + v
+    for most, fan in ((1, 3), (64, 8)):
+        parts = tp.interval_join(i, p, "a", "b", "t", fan=fan, totals={"total": F.col("value")}, most=most)
+        got = {r.span: (r.n, r.total) for r in parts.groupBy("span").agg(F.sum("n_points").alias("n"), F.sum("total").alias("total")).collect()}
+        assert {s: (n, None if v is None else round(v, 6)) for s, (n, v) in got.items()} == {s: (n, None if v is None else round(v, 6)) for s, (n, v) in want.items()}
+    # 200 intervals that hold all of 20,000 points: far fewer rows than their 4,000,000 pairs
+    p = spark.range(20_000).select((F.lit(DAY).cast("timestamp") + F.make_dt_interval(secs=F.col("id"))).alias("t"), F.lit(1.0).alias("value"))
+    i = spark.range(200).select("id", (F.lit(DAY).cast("timestamp") - F.make_dt_interval(secs=F.col("id"))).alias("a"), F.lit(at(99)).cast("timestamp").alias("b"))
+    parts = tp.interval_join(i, p, "a", "b", "t", totals={"total": F.col("value")})
+    assert parts.count() < 200 * 300 and parts.agg(F.sum("n_points")).first()[0] == 4_000_000
+    assert tp.interval_join(i, p.limit(0), "a", "b", "t", totals={"total": F.col("value")}).count() == 0
