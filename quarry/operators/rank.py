@@ -9,14 +9,16 @@ With ``damping=b`` a received page gets (1-b)/N + b * sum.
 
 Scale design
 ------------
-* Edges are deduplicated once and joined with the out-degree once; the
-  weighted edge table is loop-invariant, hash-partitioned on
-  ``(src, salt)`` and cached, so rounds never reshuffle edges.
+* Edges are deduplicated once, kept until their degrees are counted, and
+  joined with the out-degree once; the weighted edge table is
+  loop-invariant, hash-partitioned on ``(src, salt)`` (without hubs: on
+  ``src``) and cached, so rounds never reshuffle edges.
 * Hub pages are salted: the edges of a page with d > ``edges_per_slice``
   out-links are spread over ``ceil(d / edges_per_slice)`` salts by a hash of
   the destination, so one page's edges never form one task. The hub table
   (at most edges / edges_per_slice rows) is joined to the edges at build and
-  to the rank vector in each round; other pages have salt 0.
+  to the rank vector in each round; other pages have salt 0. A graph
+  without hubs has no salts and none of these joins.
 * A round is: ranks x hub table -> join with the cached, co-partitioned
   edges -> partial and final sum by destination. Hot destinations are
   combined map-side.
@@ -28,6 +30,7 @@ Scale design
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,36 +63,66 @@ def contributions(weighted: DataFrame, ranks: DataFrame) -> DataFrame:
 
 @dataclass
 class LinkGraph:
-    """Loop-invariant side of the iteration, built once and cached."""
+    """Loop-invariant side of the iteration, built once when it is first asked for, and cached."""
 
     edges: DataFrame
     edges_per_slice: int = EDGES_PER_SLICE
     partitions: int | None = None
 
-    def __post_init__(self):
-        # one row per page with out-links, kept: the edge build, the hub table and
-        # the initial vector read it
-        self.nodes = out_degree(self.edges).cache()
+    @cached_property
+    def nodes(self) -> DataFrame:
+        """(src, out_degree): one row per page with out-links, kept; the edge build, the hub table and the initial vector read it."""
+        return out_degree(self.edges).cache()
+
+    @cached_property
+    def n_pages(self) -> int:
+        """Pages with out-links = rows of the cached per-page table."""
+        return self.nodes.count()
+
+    @cached_property
+    def hubs(self) -> DataFrame:
+        """(src, n_salt) of the pages with more than ``edges_per_slice`` out-links, so at most edges / edges_per_slice rows,
+        which make a table of known size: its joins need not shuffle the other side."""
         n_salt = F.ceil(F.col("out_degree") / F.lit(float(self.edges_per_slice))).cast("int")
-        self.hubs = self.nodes.withColumn("n_salt", n_salt).filter("n_salt > 1").select("src", "n_salt")
-        salt = F.pmod(F.xxhash64("dst"), F.coalesce("n_salt", F.lit(1))).cast("int")
+        found = self.nodes.withColumn("n_salt", n_salt).filter("n_salt > 1").select("src", "n_salt")
+        return self.edges.sparkSession.createDataFrame(found.collect(), found.schema)
+
+    @cached_property
+    def _keys(self) -> list[str]:
+        """What edges are dealt by: a graph without hubs needs no salts."""
+        return ["src", "salt"] if self.hubs.take(1) else ["src"]
+
+    @cached_property
+    def weighted(self) -> DataFrame:
+        """(src, dst, salt, out_degree), the salt where there are hubs."""
+        # the distinct edges are computed once for the degrees and for this table, and let go when it stands
+        known = self.edges.storageLevel
+        given = known.useMemory or known.useDisk
+        kept = self.edges if given else self.edges.cache()
         parts = self.partitions or int(self.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        e = self.edges.join(self.hubs, "src", "left").select("src", "dst", salt.alias("salt")) \
-            .repartition(parts, "src", "salt")
+        e = kept.select("src", "dst")
+        if "salt" in self._keys:
+            salt = F.pmod(F.xxhash64("dst"), F.coalesce("n_salt", F.lit(1))).cast("int")
+            e = e.join(self.hubs, "src", "left").select("src", "dst", salt.alias("salt"))
         degrees = self._salted(self.nodes.select("src", F.col("out_degree").cast("double").alias("out_degree")))
-        self.weighted = e.join(degrees, ["src", "salt"]).cache()
-        # Pages with out-links = rows of the cached per-page table
-        self.n_pages = self.nodes.count()
+        w = e.repartition(parts, *self._keys).join(degrees, self._keys).cache()
+        if not given:
+            w.count()
+            kept.unpersist()
+        return w
 
     def _salted(self, pages: DataFrame) -> DataFrame:
         """One row of ``pages`` (src, ...) for each salt of its page."""
+        if "salt" not in self._keys:
+            return pages
         salts = F.sequence(F.lit(0), F.coalesce("n_salt", F.lit(1)) - 1)
         return pages.join(self.hubs, "src", "left").withColumn("salt", F.explode(salts)).drop("n_salt")
 
     def unpersist(self) -> None:
         """Release the cached tables (after the result has been used)."""
-        self.weighted.unpersist()
-        self.nodes.unpersist()
+        for name in ("weighted", "nodes"):
+            if name in self.__dict__:
+                self.__dict__[name].unpersist()
 
     def initial(self) -> DataFrame:
         """Initial vector: (id, rank)."""
@@ -97,8 +130,9 @@ class LinkGraph:
 
     def step(self, ranks: DataFrame, damping: float | None = None) -> DataFrame:
         """One round: (id, rank) -> (id, rank)."""
+        weighted = self.weighted
         salted = self._salted(ranks.select(F.col("id").alias("src"), "rank"))
-        joined = self.weighted.join(salted, ["src", "salt"])
+        joined = weighted.join(salted, self._keys)
         got = joined.groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") / F.col("out_degree")).alias("rank"))
         if damping is not None:
             b = float(damping)
@@ -108,6 +142,8 @@ class LinkGraph:
     def run(self, iterations: int = 10, damping: float | None = None,
             checkpoint_every: int = 2) -> DataFrame:
         """Fixed number of rounds, no convergence test; (id, rank)."""
+        if iterations > 0:
+            self.weighted  # first: it keeps the edges while the degrees are counted
         r = self.initial()
         for i in range(1, iterations + 1):
             r = self.step(r, damping)

@@ -46,3 +46,22 @@ def test_closed_graph_keeps_mass_and_damping(spark, small_dir):
     leaky = tb.supply_edges(spark, small_dir, closed=False)
     masses = [sum(r["rank"] for r in rk.pagerank(leaky, k).collect()) for k in (1, 2, 3)]
     assert masses[0] >= masses[1] >= masses[2]
+
+
+def test_edges_are_computed_once(spark):
+    from pyspark.sql import functions as F
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for r in rows:
+            seen.add(1)
+            yield r
+
+    e = spark.createDataFrame(edges(spark, FIX).rdd.mapPartitions(count), "src string, dst string")
+    for slice_size in (200_000, 1):
+        before = seen.value
+        g = rk.LinkGraph(rk.distinct_edges(e.withColumn("dst", F.concat("dst", F.lit("")))), edges_per_slice=slice_size)
+        got = {r["id"]: r["rank"] for r in g.run(1).collect()}
+        assert got == pytest.approx({k: float(v) for k, v in EXPECTED[1].items()}) and seen.value - before == 6
+        g.unpersist()
