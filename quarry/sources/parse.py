@@ -71,7 +71,11 @@ def parse_labelled_docs(docs: DataFrame, categories: DataFrame, text_col: str =
     parsed = docs.withColumn("category", F.when(pos > 0, F.substring(t, 1, pos - 1))) \
         .withColumn("content", F.when(pos > 0, F.substring(t, pos + 1, F.length(t) - pos)))
     cats = categories.groupBy("category").agg(F.max_by("label", "position").alias("label"))
-    out = parsed.join(cats, "category", "left")
+    # a category may hold most documents: they are dealt in turn to as many copies of its row as the shuffle has partitions
+    copies = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cats = cats.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint"))))
+    parsed = parsed.withColumn("_copy", F.monotonically_increasing_id() % copies)
+    out = parsed.join(cats, ["category", "_copy"], "left").drop("_copy")
     return out.withColumn("ok", F.coalesce((pos > 0) & F.col("label").isNotNull(), F.lit(False)))
 
 

@@ -69,3 +69,20 @@ def test_repeated_category_name_does_not_duplicate_documents(spark):
     docs = spark.createDataFrame([(1, "sport|x")], "doc_id int, text string")
     rows = ps.parse_labelled_docs(docs, cats).collect()
     assert len(rows) == 1 and rows[0]["label"] == 4   # the last line's
+
+
+def test_documents_of_one_category_are_dealt_over_the_tasks(spark):
+    from pyspark.sql import functions as F
+
+    cats = ps.parse_categories(lines(spark, ["sport 1"]))
+    docs = spark.range(400).select("id", F.concat(F.lit("sport|"), F.col("id").cast("string")).alias("text"))
+    was = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        rows = ps.parse_labelled_docs(docs, cats).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 400 and all(r["label"] == 1 and r["ok"] and r["content"] == str(r["id"]) for r in rows)
+    assert len({r["task"] for r in rows}) > 1
