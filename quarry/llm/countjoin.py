@@ -1,6 +1,6 @@
 """Sharded count joins: documents scored by joining their n-grams with the counts of a model.
 
-The model is an interpolated modified Kneser-Ney bigram model of a bounded set of texts, counted with
+The model is an interpolated modified Kneser-Ney bigram model of texts, counted with
 DataFrame operations and turned into one table (key, value) of sums that add up to a score. With back(v) the
 weight that context v leaves to the lower order (1 for an unknown v) and low(w) the lower order's probability,
 
@@ -13,7 +13,7 @@ words, of a value that depends on this word or pair alone, and joins by key give
   shards, sent to every task) tells most of them, an unknown word's value is added at once. What the filter lets pass
   by mistake the join tells; a model of any size is scored alike, only more is sent.
 * A batch of documents becomes sorted distinct keys, each with the documents of the batch that hold it and how
-  often (pre-aggregated), cut by hash into ``SHARDS`` shards. What is shuffled is one block for each batch and shard.
+  often (pre-aggregated), cut by hash into shards (``SHARDS``, more for a larger model). What is shuffled is one block for each batch and shard.
 * The table lies in the same shards, as sorted blocks. Shards are salted: each has as many copies as the
   shuffle has partitions for it, and a batch goes to one of them, so neither a frequent word nor the
   number of documents makes a hot task.
@@ -42,7 +42,8 @@ from pyspark.sql import types as T
 from .common import keep, map_texts, mix, signed
 from .ngram import START, _bigram_key, _by_shard, _discounts, _pack, _tokens, _unpack
 
-SHARDS = 16
+#: The least number of shards; it is doubled while a shard would hold more than ``SHARD_KEYS`` keys of the table.
+SHARDS, SHARD_KEYS = 16, 1 << 23
 #: Bits of the filter of known keys (8 MB), and how many of them a key sets in its shard's part.
 FILTER_BITS, PROBES = 1 << 26, 4
 BATCH_TOKENS, BATCH_DOCS = 1_500_000, 1 << 15
@@ -55,13 +56,15 @@ _START = int(START.astype(np.int64))
 @dataclass
 class Counted:
     """table: (shard, keys, block) of the sorted keys and their values; ``unknown``: value of an unknown word;
-    ``start``: of every text; ``tokens``: how many were counted, ends too; ``known``: the filter of the table's keys."""
+    ``start``: of every text; ``tokens``: how many were counted, ends too; ``known``: the filter of the table's keys;
+    ``shards``: how many the keys are cut into."""
 
     table: DataFrame
     unknown: float
     start: float
     tokens: int
     known: np.ndarray
+    shards: int
 
 
 # ------------------------------------------------------------------ the model
@@ -123,7 +126,7 @@ def _in_filter(known: np.ndarray, key: np.ndarray, shards: int) -> np.ndarray:
 
 
 def fit(texts: DataFrame) -> Counted:
-    """Count the ``text`` column of a bounded set of texts."""
+    """Count the ``text`` column of all of ``texts``."""
     pairs = map_texts(texts.select("text"), _pairs, "key long, v long, w long, n long")
     pairs = keep(pairs.groupBy("key", "v", "w").agg(F.sum("n").alias("n")))
     few = [F.sum((F.col("n") == k).cast("long")) for k in (1, 2, 3, 4)]
@@ -138,6 +141,9 @@ def fit(texts: DataFrame) -> Counted:
     few = [F.sum((F.col("contexts") == k).cast("long")) for k in (1, 2, 3, 4)]
     w = words.agg(F.count("contexts"), *few, F.sum((F.col("contexts") > 2).cast("long"))).first()
     vocabulary, of = w[0], [x or 0 for x in w[1:]]
+    shards = SHARDS
+    while distinct + vocabulary > shards * SHARD_KEYS:
+        shards *= 2
     low = _discounts(np.array(of[:4]))
     rest = (low[0] * of[0] + low[1] * of[1] + low[2] * of[4]) / distinct if distinct else 1.0
     floor = rest / (vocabulary + 1)
@@ -150,15 +156,15 @@ def fit(texts: DataFrame) -> Counted:
     cut = F.when(F.col("n") > 2, d[2]).when(F.col("n") == 2, d[1]).otherwise(d[0])
     p = F.greatest(F.col("n") - cut, F.lit(0.0)) / F.col("c") + F.col("back") * F.col("low")
     of_pair = j.select("key", (F.log10(F.least(p, F.lit(1.0))) - F.log10("back") - F.log10("low")).alias("value"))
-    table = of_word.union(of_pair).withColumn("shard", F.pmod("key", F.lit(SHARDS)).cast("int"))
-    table = table.repartition(SHARDS, "shard").sortWithinPartitions("shard", "key").select("shard", "key", "value")
+    table = of_word.union(of_pair).withColumn("shard", F.pmod("key", F.lit(shards)).cast("int"))
+    table = table.repartition(shards, "shard").sortWithinPartitions("shard", "key").select("shard", "key", "value")
     table = keep(table.mapInArrow(_blocks, "shard int, keys long, block binary"))
     known = np.zeros(FILTER_BITS // 8, np.uint8)
-    size = len(known) // SHARDS
-    for r in map_texts(table, _known(SHARDS), "shard int, bits binary").collect():  # parts of a filter of fixed size
+    size = len(known) // shards
+    for r in map_texts(table, _known(shards), "shard int, bits binary").collect():  # parts of a filter of fixed size
         known[r.shard * size : (r.shard + 1) * size] |= np.frombuffer(r.bits, np.uint8)
     start = words.filter(F.col("word") == _START).select(F.log10("back")).first()
-    return Counted(table, float(np.log10(min(floor, 1.0))) if distinct else 0.0, start[0] if start else 0.0, tokens, known)
+    return Counted(table, float(np.log10(min(floor, 1.0))) if distinct else 0.0, start[0] if start else 0.0, tokens, known, shards)
 
 
 # ------------------------------------------------------------------ the join
@@ -189,7 +195,7 @@ def _held(key: np.ndarray, doc: np.ndarray):
     return key[head], np.diff(np.append(head, len(key))), doc, times
 
 
-def _cut(salts: int, spread: int, names: list[str], known, unknown: float):
+def _cut(shards: int, salts: int, spread: int, names: list[str], known, unknown: float):
     """Batches of documents as blocks of their keys by shard, and as rows without their texts, with the score of unknown words."""
 
     def blocks(held, place):
@@ -199,12 +205,12 @@ def _cut(salts: int, spread: int, names: list[str], known, unknown: float):
         score = np.zeros(docs)
         for kind, key in ((WORDS, tokens), (PAIRS, _bigram_key(before, tokens))):
             key = signed(key)
-            seen = _in_filter(known.value, key, SHARDS)
+            seen = _in_filter(known.value, key, shards)
             if kind == WORDS:
                 score += np.bincount(doc[~seen], minlength=docs) * unknown
             key, runs, at, times = _held(key[seen], doc[seen])
             starts = np.cumsum(runs) - runs
-            for s, i in _by_shard(key % SHARDS, SHARDS):
+            for s, i in _by_shard(key % shards, shards):
                 n = runs[i]
                 # the places of all holders of the keys i, one key after the other
                 of = np.repeat(starts[i] - (np.cumsum(n) - n), n) + np.arange(n.sum())
@@ -213,7 +219,7 @@ def _cut(salts: int, spread: int, names: list[str], known, unknown: float):
         out = pa.BufferOutputStream()
         with pa.ipc.new_stream(out, rows.schema) as w:
             w.write_table(rows)
-        yield _row(SHARDS, number % spread, number, ROWS, docs, 0, 0, out.getvalue().to_pybytes())
+        yield _row(shards, number % spread, number, ROWS, docs, 0, 0, out.getvalue().to_pybytes())
 
     def run(batches):
         held, n, docs, place = [], 0, 0, 0
@@ -303,11 +309,11 @@ def score(docs: DataFrame, model: Counted, columns: list[F.Column]) -> DataFrame
     """``columns`` with n_tokens and score (log10 of the probability) of each whole text."""
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salts = max(1, width // SHARDS)
+    salts = max(1, width // model.shards)
     rows = docs.select(*columns, F.col("text").alias("_text"))
     names = rows.columns[:-1]
     known = spark.sparkContext.broadcast(model.known)  # FILTER_BITS, whatever the model's size
-    sent = map_texts(rows, _cut(salts, width, names, known, model.unknown), _JOIN)
+    sent = map_texts(rows, _cut(model.shards, salts, width, names, known, model.unknown), _JOIN)
     none = F.lit(0).cast("long")
     table = model.table.select("shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(-1).cast("long").alias("batch"),
                                F.lit(TABLE).alias("kind"), none.alias("docs"), "keys", none.alias("held"), "block")

@@ -1,8 +1,7 @@
 """Quality by the perplexity of a Kneser-Ney model of trusted text.
 
-The model is trained on a bounded sample of trusted documents
-(labelled good and not toxic): at most ``TRUSTED_DOCS``, none longer than
-``TRUSTED_CHARS``, chosen by a hash of doc_id from one half of them. The n-grams of
+The model is trained on trusted documents (labelled good and not toxic): on all whole
+texts of one half of them, chosen by a hash of doc_id. The n-grams of
 all documents are joined with its counts shard by shard (see ``countjoin``), so every
 whole text is scored.
 The other half of the trusted documents gives each language its threshold, the
@@ -13,8 +12,7 @@ the quantile of all languages.
 Defined results: a null text is an empty text; a null lang is a language of its own;
 without labels there is no threshold and everything is kept; a document
 labelled twice is trusted if all its labels are good; a null doc_id has no
-label; repeated rows give repeated results; a text of any length is scored whole (but not
-trained on beyond ``TRUSTED_CHARS``); an empty table gives an empty result; other columns are not read.
+label; repeated rows give repeated results; a text of any length is trained on and scored whole; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +24,9 @@ from pyspark.sql.window import Window
 from . import countjoin
 from .common import keep
 
-TRUSTED_DOCS, TRUSTED_CHARS, QUANTILE, LEAST = 20_000, 200_000, 0.995, 50
+QUANTILE, LEAST = 0.995, 50
+#: Trusted documents whose ids are sent to every task (32 MB); beyond, the texts are dealt by id to meet them.
+SENT_IDS = 4_000_000
 _BINS = 1000
 
 
@@ -42,11 +42,10 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     """doc_id, lang, n_tokens, perplexity, threshold, kept."""
     good = F.coalesce((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), F.lit(False))
     trusted = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(good.cast("int")).alias("good")).filter("good = 1").select("doc_id")
-    order = F.xxhash64(F.lit(2), "doc_id")
-    half = F.pmod(order, F.lit(2))
-    sample = trusted.filter(half == 0).orderBy(order, "doc_id").limit(TRUSTED_DOCS)  # its size is bounded
-    texts = docs.filter(F.length("text") <= TRUSTED_CHARS).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    model = countjoin.fit(texts.join(F.broadcast(sample), "doc_id", "left_semi"))
+    half = F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(2))
+    learned = keep(trusted.filter(half == 0))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    model = countjoin.fit(texts.join(F.broadcast(learned) if learned.count() <= SENT_IDS else learned, "doc_id", "left_semi"))
     s = countjoin.score(docs, model, [F.col("doc_id").cast("long").alias("doc_id"), F.col("lang")])
     s = keep(s.withColumn("bits", -F.col("score") / F.col("n_tokens")).select("doc_id", "lang", "n_tokens", "bits"))
     bins = s.join(trusted.filter(half == 1), "doc_id", "left_semi").groupBy("lang", F.floor(F.col("bits") * _BINS).alias("bin")).agg(F.count("*").alias("n"))

@@ -107,3 +107,26 @@ def test_thresholds_are_the_quantiles_of_each_language(spark, small_dir):
         want = at(bins(own if len(own) >= quality.LEAST else trusted))
         assert rows.threshold.nunique() == 1
         assert math.log10(rows.threshold.iloc[0]) * 1000 == pytest.approx(want, abs=1e-6)
+
+
+def test_all_trusted_texts_are_counted_whole(spark, monkeypatch):
+    """Also a long one, and in as many shards as the model needs; the other half is not learned from."""
+    from quarry.llm import countjoin
+
+    monkeypatch.setattr(countjoin, "SHARDS", 1)
+    monkeypatch.setattr(countjoin, "SHARD_KEYS", 4)
+    fitted = []
+    fit = countjoin.fit
+    monkeypatch.setattr(countjoin, "fit", lambda texts: fitted.append(fit(texts)) or fitted[-1])
+    texts = ["a bc d " * 40_000, *(f"good text number {i} of these" for i in range(40)), None]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    half = {r.doc_id for r in labels.filter(F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(2)) == 0).collect()}
+    if 0 not in half:  # the long text is to be learned from
+        texts[0], texts[min(half)] = texts[min(half)], texts[0]
+        docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    out = quality.classify(docs, labels).toPandas().set_index("doc_id")
+    assert fitted[0].tokens == sum(len((texts[i] or "").split()) + 1 for i in half) > 120_000
+    assert fitted[0].shards > 8
+    for i, want in zip(range(len(texts)), _brute([texts[i] for i in sorted(half)], texts)):
+        assert out.perplexity[i] == pytest.approx(10 ** (-want / out.n_tokens[i]), rel=1e-6)
