@@ -89,3 +89,12 @@ def test_cross_validation_covers_every_labelled_doc(spark, small_dir):
     assert cv.count() == d.count()
     acc = nb.accuracy(cv).first()
     assert 0.0 <= acc["accuracy"] <= 1.0 and acc["n"] == d.count()
+
+
+def test_terms_are_counted_where_the_texts_are_dealt(spark):
+    """One shuffle, of texts: no row for each term of a document is sent to be counted."""
+    rows = [(1, "The x x\ty  \x0b\f\r\n"), (2, None), (3, " \t "), (None, "Y and z"), (1, "x ON")]
+    tf = nb.term_frequencies(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"])
+    plan = tf._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(doc_id" in plan and "lambda" not in plan
+    assert {(r.doc_id, r.term): r.tf for r in tf.collect()} == {(1, "x"): 3, (1, "y"): 1, (None, "y"): 1, (None, "z"): 1}
