@@ -1,7 +1,7 @@
 """Quality by the perplexity of a Kneser-Ney model of trusted text.
 
 The model is trained on trusted documents (labelled good and not toxic): on all whole
-texts of one half of them, chosen by a hash of doc_id. The n-grams of
+texts (but nulls) of one half of them, chosen by a hash of doc_id. The n-grams of
 all documents are joined with its counts shard by shard (see ``countjoin``), so every
 whole text is scored.
 The other half of the trusted documents gives each language its threshold, the
@@ -44,7 +44,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     trusted = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(good.cast("int")).alias("good")).filter("good = 1").select("doc_id")
     half = F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(2))
     learned = keep(trusted.filter(half == 0))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model = countjoin.fit(texts.join(F.broadcast(learned) if learned.count() <= SENT_IDS else learned, "doc_id", "left_semi"))
     s = countjoin.score(docs, model, [F.col("doc_id").cast("long").alias("doc_id"), F.col("lang")])
     s = keep(s.withColumn("bits", -F.col("score") / F.col("n_tokens")).select("doc_id", "lang", "n_tokens", "bits"))
