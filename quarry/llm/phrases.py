@@ -52,8 +52,9 @@ SAMPLE_BYTES = 40_000
 _PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 _TABLE = bytes(0x0A if b in _PIECE_ENDS else 0x20 if b == 0x09 else b + 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
 
-# A key is the language in hexadecimal and the words, each followed by a space: then the
-# keys that begin with some words are neighbours in the order of bytes.
+# A key is the language (its name if that is a to z, else % and its bytes in hexadecimal) and the words,
+# each followed by a space: then the keys that begin with some words are neighbours in the order of bytes.
+# Short names leave more of the words in the first bytes, by which most keys are told apart when they are sorted.
 
 # ------------------------------------------------------------------ counting
 
@@ -174,7 +175,8 @@ def _runs(least: int):
 
 def counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(key, f): occurrences of the phrases of up to five words that occur ``least`` times, and of all words of each language."""
-    lang = F.hex(F.encode(F.coalesce(F.col("lang").cast("string"), F.lit("und")), "UTF-8"))
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
+    lang = F.when(lang.rlike(r"\A[a-z]+\z"), lang).otherwise(F.concat(F.lit("%"), F.hex(F.encode(lang, "UTF-8"))))
     texts = docs.select(lang.alias("lang"), F.col("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-7 * size // WINDOW_BYTES))
@@ -302,7 +304,7 @@ def _left_parts(seams):
 
 
 def candidates(docs: DataFrame, least: int = LEAST, per: int = PHRASES) -> DataFrame:
-    """key, a, l, r, n, score of every phrase of two words or more that no longer one of the same count contains."""
+    """key (language always in hexadecimal), a, l, r, n, score of every phrase of two words or more that no longer one of the same count contains."""
     c = counts(docs, least)
     words = F.split("key", " ")  # language, words, nothing
     turned = F.concat(words[0], F.lit(" "), F.array_join(F.transform(F.reverse(F.slice(words, F.lit(2), F.size(words) - 2)), lambda w: F.concat(w, F.lit(" "))), ""))
@@ -310,7 +312,10 @@ def candidates(docs: DataFrame, least: int = LEAST, per: int = PHRASES) -> DataF
     right = keep(stream.select("key", "f", "part").mapInArrow(_right_parts(seams), _STREAM))
     stream, seams = in_order(right, per)
     both = keep(stream.select("key", "f", "along", "part").mapInArrow(_left_parts(seams), "key string, a long, l long, r long, n long, score long"))
-    return both.filter("a is not null").join(both.filter("a is null").select("key").distinct(), "key", "left_anti")
+    found = both.filter("a is not null").join(both.filter("a is null").select("key").distinct(), "key", "left_anti")
+    lang = F.substring_index("key", " ", 1)
+    lang = F.when(lang.startswith("%"), F.substring(lang, 2, 1 << 30)).otherwise(F.hex(F.encode(lang, "UTF-8")))
+    return found.withColumn("key", F.concat(lang, F.expr("substring(key, instr(key, ' '))")))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:

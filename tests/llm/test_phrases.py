@@ -102,3 +102,13 @@ def test_documents_of_the_tables(spark, small_dir):
     rows = [(r.lang, r.text) for r in docs.collect()]
     assert got(phrases.collocations(docs, least=20)) == brute(rows, 20)
     assert phrases.collocations(docs.withColumn("lang", F.lit("x")), least=20).count()
+
+
+def test_languages_of_any_name_in_short_keys(spark):
+    """Names of a to z stand in the sorted keys as they are (hexadecimal before: twice as long); all others come back whole too."""
+    langs = ["en", "", "EN", "%656e", "a b", "é", "656e", None, "en\n"]
+    docs = spark.createDataFrame([(lang, "one two three. " * (3 + i)) for i, lang in enumerate(langs)], "lang string, text string")
+    keys = {r.key for r in phrases.counts(docs, least=3).collect()}
+    assert "en one two three " in keys and "und " in keys and "%454E one " in keys
+    got = {r.lang: (r.phrase, r.a) for r in phrases.collocations(docs, least=3).collect()}
+    assert got == {"und" if lang is None else lang: ("one two three", 3 + i) for i, lang in enumerate(langs)}
