@@ -76,3 +76,24 @@ def test_nulls_empties_repeats_long_texts_and_clashing_columns(spark):
     assert {r.lang_pred for r in got} <= {"en", "de", "und"} and all(0 <= r.score <= 1 for r in got)
     assert {(r.lang_pred, r.score) for r in langid.identify(docs.filter("doc_id = 8")).collect()} == {("und", 0.0)}
     assert langid.identify(docs.limit(0)).count() == 0
+
+
+def test_the_judge_learns_from_every_window(spark, monkeypatch):
+    """Not from the sample's windows alone: it only says where the network starts."""
+    g, rows = np.random.default_rng(3), []
+    for i in range(90):
+        letters = ["abcde ", "nopqr ", "vwxyz "][i % 3]
+        rows.append((i, "ABC"[i % 3], "".join(g.choice(list(letters), 64 * (5 + i % 9)))))
+    rows += [(90, None, "abc " * 50), (91, "A", None), (92, "A", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    refine, got = langid.refine, []
+    monkeypatch.setattr(langid, "SAMPLE_WINDOWS", 60)
+    monkeypatch.setattr(langid, "refine", lambda net, d, other: got.extend([net, *refine(net, d, other)]) or got[1:])
+    learn = F.col("doc_id") % 4 != 2
+    judge = langid.fit_judge(docs, learn)
+    begun, net, windows = got
+    assert windows == sum(-(-len(t) // langid.WINDOW) for i, lang, t in rows if lang and t and i % 4 != 2)
+    assert judge.net is net and all(np.isfinite(w).all() and (w != b).any() for w, b in zip(net.weights(), begun.weights()))
+    named = langid.predict(docs.filter(~learn & F.col("text").isNotNull()), net, [F.col("lang")]).filter("lang is not null").collect()
+    assert sum(r.lang == r.lang_pred for r in named) / len(named) > 0.9
+    assert 0 < judge.least <= 0.3 and 0.5 <= judge.most_other <= 1.0001
