@@ -15,11 +15,14 @@ words, of a value that depends on this word or pair alone, and joins by key give
 * A batch of documents becomes sorted distinct keys, each with the documents of the batch that hold it and how
   often (pre-aggregated), cut by hash into shards (``SHARDS``, more for a larger model). What is shuffled is one block for each batch and shard.
 * The table lies in the same shards, as sorted blocks. Shards are salted: each has as many copies as the
-  shuffle has partitions for it, and a batch goes to one of them, so neither a frequent word nor the
+  shuffle has partitions for it (a table of more than ``SALT_KEYS`` keys one), and a batch goes to one of them, so neither a frequent word nor the
   number of documents makes a hot task.
 * A task merges its shard's sorted keys with those of each batch and passes on one number per
   document; the numbers of a batch are added up where its ids and token counts arrive.
 
+The table is made and the texts are scored in ``ROUNDS``, so the disk holds the shuffle files of a part of them, and what
+only served the fit is given back.
+
 A batch is named by its partition and place, so ``docs`` must come in the same order when a lost task runs
 again (as scans and kept tables do).
 
@@ -31,6 +34,7 @@ model of no texts gives every token probability 1; further columns are those the
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep, map_texts, mix, signed
+from .common import keep, map_texts, mix, release, signed
 from .ngram import START, _bigram_key, _by_shard, _discounts, _pack, _tokens, _unpack
 
 #: The least number of shards; it is doubled while a shard would hold more than ``SHARD_KEYS`` keys of the table.
@@ -50,6 +54,11 @@ BATCH_TOKENS, BATCH_DOCS = 1_500_000, 1 << 15
 #: Keys of the table that make one block.
 BLOCK_KEYS = 1 << 18
 TABLE, WORDS, PAIRS, SUMS, ROWS = 0, 1, 2, 3, 4
+#: Keys that the copies of a table may add up to; a larger table has one copy (and shards enough for many tasks).
+SALT_KEYS = 1 << 23
+#: Parts in which the table is made (by shard) and the texts are scored (by hash), one after the other: only the shuffle files
+#: of one lie on the disks at a time.
+ROUNDS = 4
 _START = int(START.astype(np.int64))
 
 
@@ -57,7 +66,7 @@ _START = int(START.astype(np.int64))
 class Counted:
     """table: (shard, keys, block) of the sorted keys and their values; ``unknown``: value of an unknown word;
     ``start``: of every text; ``tokens``: how many were counted, ends too; ``known``: the filter of the table's keys;
-    ``shards``: how many the keys are cut into."""
+    ``shards``: how many the keys are cut into; ``keys``: how many there are."""
 
     table: DataFrame
     unknown: float
@@ -65,6 +74,7 @@ class Counted:
     tokens: int
     known: np.ndarray
     shards: int
+    keys: int
 
 
 # ------------------------------------------------------------------ the model
@@ -128,7 +138,7 @@ def _in_filter(known: np.ndarray, key: np.ndarray, shards: int) -> np.ndarray:
 def fit(texts: DataFrame) -> Counted:
     """Count the ``text`` column of all of ``texts``."""
     pairs = map_texts(texts.select("text"), _pairs, "key long, v long, w long, n long")
-    pairs = keep(pairs.groupBy("key", "v", "w").agg(F.sum("n").alias("n")))
+    pairs = keep(pairs.groupBy("key", "v", "w").agg(F.sum("n").alias("n")), clean=True)
     few = [F.sum((F.col("n") == k).cast("long")) for k in (1, 2, 3, 4)]
     total = pairs.agg(F.count("*"), F.sum("n"), *few).first()
     distinct, tokens = total[0], total[1] or 0
@@ -137,7 +147,7 @@ def fit(texts: DataFrame) -> Counted:
     after = pairs.groupBy(F.col("v").alias("word")).agg(
         F.sum("n").alias("c"), sum((F.sum(F.when(k, x).otherwise(0.0)) for k, x in zip((F.col("n") == 1, F.col("n") == 2, F.col("n") > 2), d)), F.lit(0.0)).alias("cut"))
     before = pairs.groupBy(F.col("w").alias("word")).agg(F.count("*").alias("contexts"))
-    words = keep(after.join(before, "word", "full"))
+    counted = words = keep(after.join(before, "word", "full"), clean=True)
     few = [F.sum((F.col("contexts") == k).cast("long")) for k in (1, 2, 3, 4)]
     w = words.agg(F.count("contexts"), *few, F.sum((F.col("contexts") > 2).cast("long"))).first()
     vocabulary, of = w[0], [x or 0 for x in w[1:]]
@@ -157,14 +167,19 @@ def fit(texts: DataFrame) -> Counted:
     p = F.greatest(F.col("n") - cut, F.lit(0.0)) / F.col("c") + F.col("back") * F.col("low")
     of_pair = j.select("key", (F.log10(F.least(p, F.lit(1.0))) - F.log10("back") - F.log10("low")).alias("value"))
     table = of_word.union(of_pair).withColumn("shard", F.pmod("key", F.lit(shards)).cast("int"))
-    table = table.repartition(shards, "shard").sortWithinPartitions("shard", "key").select("shard", "key", "value")
-    table = keep(table.mapInArrow(_blocks, "shard int, keys long, block binary"))
+    tables = []
+    for r in range(min(ROUNDS, shards)):
+        part = table.filter(F.pmod("key", F.lit(shards)) % ROUNDS == r)
+        part = part.repartition(shards, "shard").sortWithinPartitions("shard", "key").select("shard", "key", "value")
+        tables.append(keep(part.mapInArrow(_blocks, "shard int, keys long, block binary"), clean=True))
+    table = reduce(DataFrame.union, tables)
     known = np.zeros(FILTER_BITS // 8, np.uint8)
     size = len(known) // shards
     for r in map_texts(table, _known(shards), "shard int, bits binary").collect():  # parts of a filter of fixed size
         known[r.shard * size : (r.shard + 1) * size] |= np.frombuffer(r.bits, np.uint8)
     start = words.filter(F.col("word") == _START).select(F.log10("back")).first()
-    return Counted(table, float(np.log10(min(floor, 1.0))) if distinct else 0.0, start[0] if start else 0.0, tokens, known, shards)
+    release(pairs, counted)
+    return Counted(table, float(np.log10(min(floor, 1.0))) if distinct else 0.0, start[0] if start else 0.0, tokens, known, shards, distinct + vocabulary)
 
 
 # ------------------------------------------------------------------ the join
@@ -309,16 +324,20 @@ def score(docs: DataFrame, model: Counted, columns: list[F.Column]) -> DataFrame
     """``columns`` with n_tokens and score (log10 of the probability) of each whole text."""
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salts = max(1, width // model.shards)
+    salts = max(1, min(width // model.shards, SALT_KEYS // max(1, model.keys)))
     rows = docs.select(*columns, F.col("text").alias("_text"))
     names = rows.columns[:-1]
     known = spark.sparkContext.broadcast(model.known)  # FILTER_BITS, whatever the model's size
-    sent = map_texts(rows, _cut(model.shards, salts, width, names, known, model.unknown), _JOIN)
     none = F.lit(0).cast("long")
     table = model.table.select("shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(-1).cast("long").alias("batch"),
                                F.lit(TABLE).alias("kind"), none.alias("docs"), "keys", none.alias("held"), "block")
-    met = sent.union(table).repartition(width, "shard", "salt").sortWithinPartitions("shard", "salt", "batch", "kind")
-    met = map_texts(met, _joined(model.unknown), _JOIN)
-    met = met.repartition(width, "batch").sortWithinPartitions("batch", "kind", "shard")
     new = [T.StructField("n_tokens", T.LongType()), T.StructField("score", T.DoubleType())]
-    return map_texts(met, _added(model.start), T.StructType([*rows.schema[:-1], *new]))
+    scored = []
+    for r in range(ROUNDS):
+        part = rows.filter(F.pmod(F.xxhash64(*rows.columns), F.lit(ROUNDS)) == r)
+        sent = map_texts(part, _cut(model.shards, salts, width, names, known, model.unknown), _JOIN)
+        met = sent.union(table).repartition(width, "shard", "salt").sortWithinPartitions("shard", "salt", "batch", "kind")
+        met = map_texts(met, _joined(model.unknown), _JOIN)
+        met = met.repartition(width, "batch").sortWithinPartitions("batch", "kind", "shard")
+        scored.append(keep(map_texts(met, _added(model.start), T.StructType([*rows.schema[:-1], *new])), clean=True))
+    return reduce(DataFrame.union, scored)

@@ -130,3 +130,27 @@ def test_all_trusted_texts_are_counted_whole(spark, monkeypatch):
     assert fitted[0].shards > 8
     for i, want in zip(range(len(texts)), _brute([texts[i] for i in sorted(half) if texts[i] is not None], texts)):
         assert out.perplexity[i] == pytest.approx(10 ** (-want / out.n_tokens[i]), rel=1e-6)
+
+
+def test_disk_holds_one_round_and_no_table_that_only_served_the_fit(spark, monkeypatch):
+    """The counts of pairs and words are given back, a large table is not copied for salts, shuffle files go with their round."""
+    from quarry.llm import countjoin
+
+    kept, keep = [], countjoin.keep
+    monkeypatch.setattr(countjoin, "keep", lambda df, **how: kept.append((keep(df, **how), how)) or kept[-1][0])
+    monkeypatch.setattr(countjoin, "SHARDS", 2)
+    train = [f"a{i % 7} b{i % 5} c{i % 3} d{i}" for i in range(200)]
+    model = countjoin.fit(spark.createDataFrame([(t,) for t in train], "text string"))
+    rows = lambda df: spark.read.parquet(*{f.rpartition("/")[0] for f in df.inputFiles()}).count()
+    assert [rows(df) for df, _ in kept[:2]] == [0, 0] and rows(model.table) > 0
+    pairs = {p for t in train for w in [t.split()] for p in zip(["<s>", *w], [*w, "</s>"])}
+    assert model.keys == len(pairs) + len({w for _, w in pairs}) == model.table.agg(F.sum("keys")).first()[0]
+    docs = spark.createDataFrame(list(enumerate([*train, "b1 c1 x", None, ""])), "id long, text string")
+    once = {}
+    for copies in (1 << 23, 0):
+        monkeypatch.setattr(countjoin, "SALT_KEYS", copies)
+        del kept[:]
+        once[copies] = {r.id: r.score for r in countjoin.score(docs, model, [F.col("id")]).collect()}
+        assert len(kept) == countjoin.ROUNDS and all(how == {"clean": True} for _, how in kept)
+    for i, want in enumerate(_brute(train, [r.text for r in docs.orderBy("id").collect()])):
+        assert once[0][i] == pytest.approx(want, rel=1e-9) and once[1 << 23][i] == pytest.approx(want, rel=1e-9)
