@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import map_texts, row_slices, text_bytes
+from .common import hold_memory, map_texts, row_slices, text_bytes
 
 WINDOW, HIDDEN = 64, 8
 #: The bound of the training sample, and of the windows that one document gives to it.
@@ -75,23 +75,30 @@ class Network:
 
 
 def _softsign(x):
-    return x / (1 + np.abs(x))
+    """In place."""
+    x /= 1 + np.abs(x)
+    return x
 
 
 def _read(table, loop, steps):
-    """One direction over ``steps`` (time x batch bytes): all states, and what backpropagation needs."""
+    """One direction over ``steps`` (time x batch bytes): all states, and what backpropagation needs.
+
+    A step's numbers lie unit by unit, a whole batch in a row: numpy goes over rows of a few units many times slower."""
     hidden = len(loop)
-    h = np.zeros((steps.shape[1], hidden), loop.dtype)
-    states, kept = [], []
-    for byte in steps:
-        g, a = table[byte], h @ loop
-        zr = 0.5 + 0.5 * _softsign(g[:, : 2 * hidden] + a[:, : 2 * hidden])
-        z, r, q = zr[:, :hidden], zr[:, hidden:], a[:, 2 * hidden :]
-        n = _softsign(g[:, 2 * hidden :] + r * q)
+    table, loop = np.ascontiguousarray(table.T), np.ascontiguousarray(loop.T)
+    states, kept = np.zeros((len(steps) + 1, hidden, steps.shape[1]), loop.dtype), []
+    for h, new, byte in zip(states, states[1:], steps):
+        g, a = np.take(table, byte, axis=1), loop @ h
+        zr = _softsign(g[: 2 * hidden] + a[: 2 * hidden])
+        zr *= 0.5
+        zr += 0.5
+        z, r, q = zr[:hidden], zr[hidden:], a[2 * hidden :]
+        n = _softsign(g[2 * hidden :] + r * q)
         kept.append((h, z, r, q, n))
-        h = n + z * (h - n)
-        states.append(h)
-    return np.array(states), kept
+        np.subtract(h, n, out=new)
+        new *= z
+        new += n
+    return states[1:].transpose(0, 2, 1), kept
 
 
 def _gate_slope(gate):
@@ -102,43 +109,44 @@ def _gate_slope(gate):
 def _unroll(loop, kept, steps, d_states):
     """Gradients of the byte table and the loop weights, back through time."""
     hidden = len(loop)
-    d_loop, d_in, dh = np.zeros_like(loop), [], 0.0
+    d_in = np.empty((len(steps), 3 * hidden, steps.shape[1]), loop.dtype)
+    back = np.empty(d_in.shape[1:], loop.dtype)
+    d_loop, dh = np.zeros_like(loop), 0.0
     for t in range(len(steps) - 1, -1, -1):
         h, z, r, q, n = kept[t]
-        dh = dh + d_states[t]
-        da = dh * (1 - z) * (1 - np.abs(n)) ** 2
-        gates = [dh * (h - n) * _gate_slope(z), da * q * _gate_slope(r)]
-        back = np.concatenate([*gates, da * r], axis=1)
-        d_in.append(np.concatenate([*gates, da], axis=1))
-        d_loop += h.T @ back
-        dh = dh * z + back @ loop.T
-    d_in, bytes_ = np.concatenate(d_in[::-1]), steps.reshape(-1)
-    order = np.argsort(bytes_, kind="stable")
-    first = np.flatnonzero(np.append(True, np.diff(bytes_[order]) != 0))
-    d_table = np.zeros((256, 3 * hidden))
-    d_table[bytes_[order][first]] = np.add.reduceat(d_in[order], first, axis=0)
-    return d_table, d_loop
+        dh = dh + d_states[t].T
+        da = dh * (1 - z)
+        da *= (1 - np.abs(n)) ** 2
+        np.multiply(dh * (h - n), _gate_slope(z), out=back[:hidden])
+        np.multiply(da * q, _gate_slope(r), out=back[hidden : 2 * hidden])
+        np.multiply(da, r, out=back[2 * hidden :])
+        d_in[t, : 2 * hidden], d_in[t, 2 * hidden :] = back[: 2 * hidden], da
+        d_loop += h @ back.T
+        dh *= z
+        dh += loop @ back
+    bytes_ = steps.reshape(-1).astype(np.intp)
+    return np.stack([np.bincount(bytes_, d_in[:, k].reshape(-1), 256) for k in range(3 * hidden)], axis=1), d_loop
 
 
 def _gradients(net: Network, x: np.ndarray, lengths: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> list[np.ndarray]:
     """Gradients of all weights for windows ``x`` (time x batch bytes) of the classes ``y``, a window counting ``weight`` times."""
-    real = (np.arange(len(x))[:, None] < lengths)[..., None]
+    real = np.arange(len(x))[:, None] < lengths
     fwd, kept_f = _read(net.tables[0], net.loops[0], x)
     bwd, kept_b = _read(net.tables[1], net.loops[1], x[::-1])
-    both = np.concatenate([fwd, bwd[::-1]], axis=2)
-    logit = both @ net.out + net.bias
-    p = np.exp(logit - logit.max(axis=2, keepdims=True))
-    p /= p.sum(axis=2, keepdims=True)
-    d = p.copy()
-    d[:, np.arange(len(y)), y] -= 1
-    d *= real / max(1, real.sum())
-    if weight is not None:
-        d *= weight[:, None]
-    d_both = d @ net.out.T
+    by_unit = lambda a: a.transpose(0, 2, 1)
+    both = np.concatenate([by_unit(fwd), by_unit(bwd[::-1])], axis=1)
+    d = net.out.T @ both
+    d += net.bias[:, None]
+    d -= d.max(axis=1, keepdims=True)
+    np.exp(d, out=d)
+    d /= d.sum(axis=1, keepdims=True)
+    d[:, y, np.arange(len(y))] -= 1
+    d *= (real * ((1 if weight is None else weight) / max(1, real.sum()))).astype(d.dtype)[:, None]
+    d_both = net.out @ d
     h = net.loops[0].shape[0]
-    t0, l0 = _unroll(net.loops[0], kept_f, x, d_both[..., :h])
-    t1, l1 = _unroll(net.loops[1], kept_b, x[::-1], d_both[::-1, :, h:])
-    return [t0, t1, l0, l1, both.reshape(-1, 2 * h).T @ d.reshape(-1, d.shape[2]), d.sum(axis=(0, 1))]
+    t0, l0 = _unroll(net.loops[0], kept_f, x, by_unit(d_both[:, :h]))
+    t1, l1 = _unroll(net.loops[1], kept_b, x[::-1], by_unit(d_both[::-1, h:]))
+    return [t0, t1, l0, l1, (both @ by_unit(d)).sum(axis=0), d.sum(axis=(0, 2))]
 
 
 def _adam(net: Network, moments: list, grads: list[np.ndarray], rate: float, step: int) -> None:
@@ -377,6 +385,7 @@ def refine(net: Network, d: DataFrame, other: list[bytes]) -> tuple[Network, int
     extra, extra_len = _as_array(other)
 
     def run(batches):
+        hold_memory()
         part = TaskContext.get().partitionId()
         w = [x.copy() for x in begun]
         mine = Network(net.langs, w[:2], w[2:4], w[4], w[5])

@@ -97,3 +97,18 @@ def test_the_judge_learns_from_every_window(spark, monkeypatch):
     named = langid.predict(docs.filter(~learn & F.col("text").isNotNull()), net, [F.col("lang")]).filter("lang is not null").collect()
     assert sum(r.lang == r.lang_pred for r in named) / len(named) > 0.9
     assert 0 < judge.least <= 0.3 and 0.5 <= judge.most_other <= 1.0001
+
+
+def test_training_goes_over_rows_of_a_whole_batch():
+    """numpy goes over rows of a few units many times slower: each unit's numbers of a batch lie one after the other."""
+    net = langid.Network.fresh(["a", "b"], langid.HIDDEN, 1)
+    x = np.random.default_rng(2).integers(0, 256, (langid.WINDOW, 50)).astype(np.uint8)
+    states, kept = langid._read(net.tables[0], net.loops[0], x)
+    assert states.shape == (langid.WINDOW, 50, langid.HIDDEN) and states.strides[1] == states.itemsize
+    assert all(a.shape == (langid.HIDDEN, 50) and a.strides[1] == a.itemsize for step in kept for a in step)
+    y, lengths = np.arange(50) % 2, np.arange(50) + 1
+    changed = np.where(np.arange(langid.WINDOW)[:, None] < lengths, x, 0)
+    grads = langid._gradients(net, changed, lengths, y)
+    assert all(np.isfinite(g).all() and g.any() for g in grads)
+    doubled = langid._gradients(net, changed, lengths, y, np.full(50, 2.0))
+    assert all(b == pytest.approx(2 * a, abs=1e-12) for a, b in zip(grads, doubled))
