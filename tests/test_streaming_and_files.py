@@ -31,3 +31,13 @@ def test_read_documents_base_name(spark):
             f.write(text)
     docs = {r["doc_id"]: r["text"] for r in read_documents(spark, os.path.join(d, "doc_*.txt")).collect()}
     assert docs == {"doc_1.txt": "a b c d\nsecond line", "doc_10.txt": "b c d e"}
+
+
+def test_many_small_files_are_read_in_few_tasks(spark, tmp_path):
+    """Spark alone counts 4 MB for each file: 32 files a task, however small they are."""
+    for i in range(1500):
+        (tmp_path / f"doc_{i}.txt").write_text(f"text {i}\n")
+    docs = read_documents(spark, str(tmp_path / "doc_*.txt"))
+    tasks = docs.selectExpr("spark_partition_id() as task", "doc_id", "text").collect()
+    assert len({r.task for r in tasks}) <= 4 * spark.sparkContext.defaultParallelism
+    assert {r.doc_id: r.text for r in tasks} == {f"doc_{i}.txt": f"text {i}\n" for i in range(1500)}
