@@ -65,3 +65,20 @@ def test_edges_are_computed_once(spark):
         got = {r["id"]: r["rank"] for r in g.run(1).collect()}
         assert got == pytest.approx({k: float(v) for k, v in EXPECTED[1].items()}) and seen.value - before == 6
         g.unpersist()
+
+
+def test_shuffles_go_when_the_lineage_is_cut(spark):
+    """Rounds leave no shuffle files behind that nothing reads again."""
+    import time
+
+    from quarry.session import cut_lineage
+
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    files = lambda: {f for f in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    before, clean = files(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    kept = cut_lineage(spark.range(1000).repartition(7, "id").groupBy("id").count())
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert kept.count() == 1000 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == clean
